@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wordbase.functions.parse import relation_name
 from wordbase.operators.keyed import matching
-from wordbase.runtime import checkpointed
+from wordbase.runtime import stored
 
 
 def relation_edges(edges: DataFrame, relation: str) -> DataFrame:
@@ -68,8 +68,10 @@ def degree_clusters(
     midpoints, so labelling is a plain expression over the degrees.
     """
     histogram = node_degrees.groupBy("degree").agg(F.count("*").alias("nodes"))
+    # n distinct degrees need at least n * n / 4 edges, so the histogram stays small; one sorted
+    # piece makes the fit repeatable
+    histogram = stored(histogram.repartition(1).sortWithinPartitions("degree"), "degrees")
     features = VectorAssembler(inputCols=["degree"], outputCol="features").transform(histogram)
-    features = checkpointed(features.repartition(1).sortWithinPartitions("degree"))
     models = [
         KMeans(k=k, seed=seed + i, weightCol="nodes", maxIter=50, tol=0.0).fit(features)
         for i in range(restarts)

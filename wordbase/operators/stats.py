@@ -88,7 +88,7 @@ def _mean():
 
 def _median():
     # weighted by count over the histogram: no row is ever repeated
-    return F.percentile("wordLength", 0.5, "count").alias("median_length")
+    return F.percentile(F.col("wordLength"), 0.5, F.col("count")).alias("median_length")
 
 
 def mean_length(histogram: DataFrame) -> DataFrame:

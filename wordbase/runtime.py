@@ -1,4 +1,4 @@
-"""Where intermediate tables go, and how small inputs are spread over the cores."""
+"""Where intermediate tables go, and how inputs in few pieces are spread over the cores."""
 
 from __future__ import annotations
 
@@ -29,12 +29,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written once to reliable storage, for inputs that several jobs read."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(_shared_folder(spark))
-    return df.checkpoint()
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder, for inputs that are read repeatedly.
+
+    The table survives lost executors, and its known size lets Spark choose joins by fact
+    instead of by an estimate through explodes and aggregates.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
