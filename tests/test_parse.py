@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import fnmatch
+
+import pytest
+from pyspark.sql import functions as F
+
+from wordbase.functions.parse import (
+    key_matches,
+    mirror_word,
+    relation_name,
+    relation_type,
+    safe_count,
+    safe_double,
+)
+
+
+def values(spark, kind, items, make):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(items)], f"i int, v {kind}")
+    return [r[1] for r in df.select("i", make(F.col("v"))).orderBy("i").collect()]
+
+
+def test_counts(spark):
+    texts = ["3", "12.5", "bad", " 7 ", "+4", "-2", "1_000", "1__0", "", None]
+    assert values(spark, "string", texts, lambda c: safe_count(c, "string")) == [
+        3, 0, 0, 7, 4, -2, 1000, 0, 0, 0,
+    ]
+    floats = [12.7, -12.7, float("nan"), 5.0]
+    assert values(spark, "double", floats, lambda c: safe_count(c, "double")) == [12, -12, 0, 5]
+
+
+def test_scores(spark):
+    texts = ["0.9", " 1e-2 ", "", "  ", "bad", "1.5f", "2d", "1_0.5", None]
+    assert values(spark, "string", texts, safe_double) == [
+        0.9, 0.01, None, None, None, None, None, 10.5, None,
+    ]
+    assert values(spark, "string", ["inf", "-Infinity"], safe_double) == [float("inf"), -float("inf")]
+
+
+KEYS = ["lexicon:a", "lexicon:ab", "word:a", "lexicon:a.c", "lexicon:*", "other"]
+
+
+@pytest.mark.parametrize("pattern", ["*", "lexicon:?", "word:*", "*a*", "lexicon:[ab]*", "lexicon:a.c", "x*"])
+def test_globs_agree_with_the_usual_ones(spark, pattern):
+    df = spark.createDataFrame([(k,) for k in KEYS], "key string")
+    got = {r.key for r in df.filter(key_matches(F.col("key"), pattern)).collect()}
+    assert got == set(fnmatch.filter(KEYS, pattern))
+
+
+def test_globs_with_negation_and_quoting(spark):
+    df = spark.createDataFrame([(k,) for k in KEYS], "key string")
+    pick = lambda p: {r.key for r in df.filter(key_matches(F.col("key"), p)).collect()}
+    assert pick("lexicon:[^a]") == {"lexicon:*"}
+    assert pick(r"lexicon:\*") == {"lexicon:*"}
+    assert pick("lexicon:a") == {"lexicon:a"}
+
+
+def test_mirror_words(spark):
+    assert values(spark, "string", KEYS[:3], mirror_word) == ["a", "ab", None]
+
+
+def test_relations(spark):
+    texts = ["synonym", " Antonym_Of ", "HYPERNYM_OF", "related", "", None, "holonym"]
+    assert values(spark, "string", texts, relation_type) == [
+        "SYNONYM_OF", "ANTONYM_OF", "HYPERNYM_OF", None, None, None, "HOLONYM_OF",
+    ]
+    assert relation_name(" meronym ") == "MERONYM_OF"
+    with pytest.raises(ValueError):
+        relation_name("related")

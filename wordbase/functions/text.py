@@ -27,5 +27,5 @@ def capitalised(label: Column) -> Column:
 
 
 def percent_text(value: Column) -> Column:
-    """``12.345`` as ``12.35%``."""
-    return F.format_string("%.2f%%", value)
+    """``12.5`` as ``12.50%``; an exact half goes to the even digit, as in Python's ``.2f``."""
+    return F.concat(F.format_number(value, 2), F.lit("%"))

@@ -158,9 +158,10 @@ VIEWS = {
 }
 
 _POS_TABLE = """
-    SELECT coalesce("POS", 'UNKNOWN') AS pos, count(*) AS "count",
-        round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM nodes), 6) AS percentage
-    FROM nodes GROUP BY 1"""
+    SELECT pos, "count", round(share, 6) AS percentage, format('{:.2f}%', share) AS percent
+    FROM (SELECT coalesce("POS", 'UNKNOWN') AS pos, count(*) AS "count",
+            100.0::DOUBLE * count(*) / (SELECT count(*) FROM nodes) AS share
+        FROM nodes GROUP BY 1)"""
 
 _REPLACED = f"""
     SELECT {_ROUNDED} FROM corpus_lexicon WHERE word NOT IN (SELECT word FROM patch)
@@ -240,10 +241,12 @@ ORACLES = {
             AS json FROM records""",
     "pos_segment": "SELECT pos, count(*) AS words FROM lexicon WHERE pos <> '' GROUP BY pos",
     "sentiment_proportion": """
-        SELECT s AS sentiment, upper(left(s, 1)) || substring(s, 2) AS label, count(word) AS words,
-            round(count(word)::DOUBLE / sum(count(word)) OVER (), 6) AS proportion
-        FROM (SELECT unnest(['positive', 'negative', 'neutral']) AS s)
-        LEFT JOIN lexicon ON sentiment = s GROUP BY s""",
+        SELECT sentiment, upper(left(sentiment, 1)) || substring(sentiment, 2) AS label, words,
+            round(share, 6) AS proportion, format('{:.2f}%', 100 * share) AS percent
+        FROM (SELECT s AS sentiment, count(word) AS words,
+                count(word)::DOUBLE / sum(count(word)) OVER () AS share
+            FROM (SELECT unnest(['positive', 'negative', 'neutral']) AS s)
+            LEFT JOIN lexicon ON sentiment = s GROUP BY s)""",
     "pos_distribution": _POS_TABLE,
     "pos_sorted_desc": _POS_TABLE,
     "pos_sorted_asc_limit": f'{_POS_TABLE} ORDER BY "count", pos LIMIT 3',
@@ -278,11 +281,11 @@ ORACLES = {
     "sentiment_lookup_unknown": "SELECT word FROM new_words_only",
     "coverage_words": "SELECT word, occurrences, in_mirror OR in_graph AS found FROM existence",
     "coverage_percent": """
-        SELECT sum(occurrences)::BIGINT AS asked,
-            sum(CASE WHEN in_mirror OR in_graph THEN occurrences ELSE 0 END)::BIGINT AS found,
-            round(100.0::DOUBLE * sum(CASE WHEN in_mirror OR in_graph THEN occurrences ELSE 0 END)
-                / sum(occurrences), 6) AS coverage
-        FROM existence""",
+        SELECT asked, found, round(100.0::DOUBLE * found / asked, 6) AS coverage,
+            format('{:.2f}%', 100.0::DOUBLE * found / asked) AS percent
+        FROM (SELECT sum(occurrences)::BIGINT AS asked,
+                sum(CASE WHEN in_mirror OR in_graph THEN occurrences ELSE 0 END)::BIGINT AS found
+            FROM existence)""",
     "word_existence": "SELECT *, in_mirror OR in_graph AS found FROM existence",
     "lexicon_size": """
         SELECT (SELECT count(*) FROM batch_counts) AS mirror_words,

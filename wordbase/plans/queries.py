@@ -239,22 +239,22 @@ def pos_segment(i):
 @query()
 def sentiment_proportion(i):
     shares = sentiment.sentiment_proportions(i.lexicon)
-    return _rounded(shares, "proportion").drop("percent")
+    return _rounded(shares, "proportion")
 
 
 @query()
 def pos_distribution(i):
-    return _rounded(stats.pos_distribution(i.nodes), "percentage").drop("percent")
+    return _rounded(stats.pos_distribution(i.nodes), "percentage")
 
 
 @query()
 def pos_sorted_desc(i):
-    return _rounded(stats.sorted_pos(i.nodes), "percentage").drop("percent")
+    return _rounded(stats.sorted_pos(i.nodes), "percentage")
 
 
 @query()
 def pos_sorted_asc_limit(i):
-    return _rounded(stats.sorted_pos(i.nodes, "asc", 3), "percentage").drop("percent")
+    return _rounded(stats.sorted_pos(i.nodes, "asc", 3), "percentage")
 
 
 @query()
@@ -320,7 +320,7 @@ def coverage_words(i):
 
 @query()
 def coverage_percent(i):
-    return _rounded(stats.coverage(i.word_list, i.mirror, i.nodes), "coverage").drop("percent")
+    return _rounded(stats.coverage(i.word_list, i.mirror, i.nodes), "coverage")
 
 
 @query()
@@ -475,7 +475,7 @@ def batch_rows(i):
     return stats.row_total(i.batch_counts)
 
 
-@query("counts", "records")
+@query("counts", "records", "batch_counts")
 def import_update(i):
     """New words exported, annotated, imported again; the lexicon after it."""
     root = scratch_path(i.spark, "update")
@@ -516,13 +516,13 @@ def insert_records(i):
     )
 
 
-@query("counts")
+@query("counts", "batch_counts")
 def insert_absent(i):
     """Manual entries: new words come in with count 1."""
     return _rounded(changes.enter_new(_corpus_lexicon(i), i.entries).lexicon, "sentiment_scores")
 
 
-@query("counts")
+@query("counts", "batch_counts")
 def insert_absent_rejects(i):
     return changes.enter_new(_corpus_lexicon(i), i.entries).rejects
 
@@ -532,19 +532,19 @@ def upsert_words(i):
     return _rounded(changes.upsert(_corpus_lexicon(i), i.upserts), "sentiment_scores")
 
 
-@query("counts")
+@query("counts", "batch_counts")
 def update_fields(i):
     """Manual updates keep the stored count."""
     return _rounded(changes.update_fields(_corpus_lexicon(i), i.entries).lexicon, "sentiment_scores")
 
 
-@query("counts")
+@query("counts", "batch_counts")
 def corrections(i):
     lexicon, _ = changes.correct(_corpus_lexicon(i), i.corrections)
     return _rounded(lexicon, "sentiment_scores")
 
 
-@query("counts")
+@query("counts", "batch_counts")
 def correction_outcomes(i):
     return changes.correct(_corpus_lexicon(i), i.corrections)[1]
 
@@ -552,7 +552,7 @@ def correction_outcomes(i):
 # --- graph changes --------------------------------------------------------------------
 
 
-@query("counts")
+@query("counts", "batch_counts")
 def create_nodes(i):
     """Batch words become nodes unless the graph has them."""
     return _rounded(graph_changes.create_nodes(i.nodes, i.batch_nodes), "sentiment_score")
@@ -574,12 +574,12 @@ def merge_pairs_rejects(i):
     return graph_changes.merge_pairs(i.nodes, i.edges, i.pairs).rejects
 
 
-@query("counts")
+@query("counts", "batch_counts")
 def patch_nodes(i):
     return _rounded(graph_changes.patch_nodes(i.nodes, i.node_patch).nodes, "sentiment_score")
 
 
-@query("counts")
+@query("counts", "batch_counts")
 def patch_nodes_rejects(i):
     return graph_changes.patch_nodes(i.nodes, i.node_patch).rejects
 

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordbase.functions.parse import mirror_key
+from wordbase.operators.keyed import matching
 from wordbase.operators.lookups import node_json
 from wordbase.operators.records import append_records, build_lexicon, shape_records
 from wordbase.operators.sentiment import score_sentiment
@@ -27,6 +28,14 @@ from wordbase.operators.tokens import token_rows, word_counts
 from wordbase.runtime import spread, stored
 from wordbase.schemas import EDGE
 
+# The given tables the queries read; declared, so that no file is opened to plan a query
+TABLES = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "benchmark": "item_id long, text string",
+    "pages": "page_id long, url string, html string",
+}
+
 # Fixed values of the rules
 NOUN_ENDINGS = ("tion", "ment")
 ADVERB_ENDINGS = ("ly",)
@@ -39,10 +48,7 @@ NODE_MIN_COUNT = 2
 
 
 def _ends(word: Column, endings) -> Column:
-    hit = F.lit(False)
-    for ending in endings:
-        hit = hit | word.endswith(ending)
-    return hit
+    return word.rlike(f"({'|'.join(endings)})$")
 
 
 def pos_rule(word: Column, count: Column) -> Column:
@@ -100,7 +106,7 @@ class Inputs:
         self.spark, self.sf_dir, self.keep = spark, sf_dir, keep
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def documents(self, *columns: str) -> DataFrame:
         """Documents with the named columns, the key first."""
@@ -221,33 +227,25 @@ class Inputs:
         """
         words = self.counts.select("word")
         word = F.col("word")
-
-        def relation(name: str, dst: Column) -> Column:
-            return F.struct(F.lit(name).alias("rel"), dst.alias("dst"))
-
-        by_ending = [
-            F.when(
-                word.endswith(e) & (F.length(word) >= len(e) + 2),
+        by_stem = stems(words).select(
+            word.alias("src"),
+            F.explode(
                 F.array(
-                    relation("HYPERNYM_OF", F.left(word, F.length(word) - len(e))),
-                    relation("MERONYM_OF", F.lit(e)),
-                ),
-            )
-            for e in ENDINGS
-        ]
-        by_negation = [
-            F.when(
-                word.startswith(n) & (F.length(word) >= len(n) + 2),
-                F.array(relation("ANTONYM_OF", F.substring(word, len(n) + 1, 2**31 - 1))),
-            )
-            for n in NEGATIONS
-        ]
-        possible = F.flatten(F.array_compact(F.array(*by_ending, *by_negation)))
-        derived = (
-            words.select(word.alias("src"), F.explode(possible).alias("to"))
-            .select("src", "to.rel", "to.dst")
-            .join(words.select(word.alias("dst")), "dst", "left_semi")
+                    F.struct(F.lit("HYPERNYM_OF").alias("rel"), F.col("stem").alias("dst")),
+                    F.struct(F.lit("MERONYM_OF").alias("rel"), F.col("ending").alias("dst")),
+                )
+            ).alias("to"),
+        ).select("src", "to.*")
+        negated = F.filter(
+            F.array(*(F.lit(n) for n in NEGATIONS)),
+            lambda n: F.startswith(word, n) & (F.length(word) >= F.length(n) + 2),
+        )
+        by_negation = words.select(word, F.explode(negated).alias("n")).select(
+            word.alias("src"),
+            F.lit("ANTONYM_OF").alias("rel"),
+            F.right(word, F.length(word) - F.length("n")).alias("dst"),
         )
+        derived = matching(by_stem.unionByName(by_negation), words.select(word.alias("dst")), "dst")
         letters = F.array_join(F.array_sort(F.split(word, "")), "").alias("letters")
         spelled = words.select("word", letters)
         first = spelled.groupBy("letters").agg(F.min("word").alias("dst"))
