@@ -1,0 +1,30 @@
+"""Every registered query against its SQL in DuckDB."""
+
+from __future__ import annotations
+
+import pytest
+from compare import database, differences
+
+import __spark_entry__ as entry
+
+SF = "/root/testdata/sf0.001"
+STATEMENTS = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return database(SF)
+
+
+def test_every_query_has_its_sql():
+    assert set(entry.queries()) == set(STATEMENTS)
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, con, name):
+    df = entry.queries()[name](spark, SF)
+    assert not differences(df, con, STATEMENTS[name])
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["word", "count"]

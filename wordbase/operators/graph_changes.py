@@ -18,7 +18,7 @@ from wordbase.functions.parse import (
     relation_type,
     safe_double,
 )
-from wordbase.operators.keyed import last_given, matching, one_per_key, without
+from wordbase.operators.keyed import last_given, matching, one_per_key, spread_join, without
 from wordbase.operators.lookups import mirror_names
 from wordbase.schemas import EDGE, NODE, NODE_PROPERTIES
 
@@ -137,12 +137,14 @@ def split_by_ends(patch: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFr
     ends = patch.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
     known = matching(nodes, ends, "name").select("name")
     src, dst = (known.withColumnRenamed("name", c) for c in ("src", "dst"))
-    no_src = without(patch, src, "src")
-    with_src = matching(patch, src, "src")
-    rejects = _reject(no_src, "unknown word", "src", "dst").unionByName(
-        _reject(without(with_src, dst, "dst"), "unknown related word", "src", "dst")
+    checked = spread_join(patch, src.withColumn("has_src", F.lit(True)), "src", "left")
+    checked = spread_join(checked, dst.withColumn("has_dst", F.lit(True)), "dst", "left")
+    reason = F.when(F.col("has_src").isNull(), "unknown word").when(
+        F.col("has_dst").isNull(), "unknown related word"
     )
-    return matching(with_src, dst, "dst"), rejects
+    judged = checked.withColumn("reason", reason)
+    accepted = judged.filter(F.col("reason").isNull()).select(*patch.columns)
+    return accepted, judged.filter(F.col("reason").isNotNull()).select("src", "dst", "reason")
 
 
 def set_relations(nodes: DataFrame, edges: DataFrame, patch: DataFrame) -> Graph:
@@ -175,6 +177,7 @@ def delete_nodes(nodes: DataFrame, edges: DataFrame, requests: DataFrame) -> Gra
 
     ``requests(name, confirm)``: the confirmation has to repeat the word.
     """
+    requests = requests.select("name", "confirm").distinct()
     known = matching(nodes, requests, "name").select("name")
     confirmed = F.coalesce(F.trim("confirm") == F.col("name"), F.lit(False))
     asked = matching(requests, known, "name")
@@ -184,7 +187,7 @@ def delete_nodes(nodes: DataFrame, edges: DataFrame, requests: DataFrame) -> Gra
     )
     kept = edges
     for end in ("src", "dst"):
-        kept = without(kept, doomed.withColumnRenamed("name", end), end)
+        kept = spread_join(kept, doomed.withColumnRenamed("name", end), end, "left_anti")
     return Graph(without(nodes, doomed, "name"), kept.select(*EDGE.names), rejects)
 
 

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wordbase.schemas import rows_to_table
 
+# A key with more than this part of all rows is joined in pieces.
+HOT_PARTS = 1000
 
 
 def as_keys(table: DataFrame, words: DataFrame | list[str], name: str = "word") -> DataFrame:
@@ -13,8 +20,13 @@ def as_keys(table: DataFrame, words: DataFrame | list[str], name: str = "word")
         return words.select(F.col("word").alias(name)).distinct()
     if not isinstance(words, (list, tuple)):
         raise ValueError("expected a list of words or a table with a word column")
-    rows = [(word,) for word in dict.fromkeys(words)]
-    return table.sparkSession.createDataFrame(rows, f"`{name}` string")
+    return listed(table, dict.fromkeys(words), name)
+
+
+def listed(table: DataFrame, words: Iterable[str], name: str = "word") -> DataFrame:
+    """A driver-side list of words as a table, repeats kept."""
+    schema = T.StructType([T.StructField(name, T.StringType())])
+    return rows_to_table(table.sparkSession, ((word,) for word in words), schema)
 
 
 def matching(table: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
@@ -34,6 +46,27 @@ def without(table: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame
     return table.join(keys.select(*on), on, "left_anti")
 
 
+def spread_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """Join a table whose keys repeat, possibly a third of it with the same key, to one with
+    unique keys (for ``left_semi`` and ``left_anti`` the keys may repeat on both sides).
+
+    Keys with more than a thousandth of the rows are hot: there are fewer than a thousand of
+    them, which bounds what is broadcast. Their rows are cut by hash into pieces of about a
+    thousandth each, and the right side's row is copied to each piece, fewer than two
+    thousand copies in all. Adaptive execution cannot be relied on for this: it splits a side
+    only if the other comes straight out of a shuffle, not out of an aggregate.
+    """
+    sizes = left.groupBy(on).agg(F.count("*").alias("_size"))
+    total = sizes.agg(F.sum("_size")).scalar()
+    pieces = F.ceil(F.col("_size") * HOT_PARTS / total).cast("int").alias("_pieces")
+    hot = F.broadcast(sizes.filter(F.col("_size") * HOT_PARTS > total).select(on, pieces))
+    piece = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_pieces")), F.lit(0)).cast("int")
+    copies = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
+    cut = left.join(hot, on, "left").withColumn("_piece", piece).drop("_pieces")
+    copied = right.join(hot, on, "left").withColumn("_piece", F.explode(copies)).drop("_pieces")
+    return cut.join(copied, [on, "_piece"], how).drop("_piece")
+
+
 def look_up(keys: DataFrame, table: DataFrame, on: str = "word") -> DataFrame:
     """Every key with the table's columns, null where the table lacks the key."""
     return keys.join(matching(table, keys, on), on, "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wordbase.functions.parse import mirror_key, mirror_word
 from wordbase.functions.text import capitalised
-from wordbase.operators.keyed import as_keys, look_up, matching
+from wordbase.operators.keyed import as_keys, listed, look_up, matching, spread_join
 from wordbase.operators.records import usable
 from wordbase.schemas import FLAT, NODE, NODE_PROPERTIES
 
@@ -107,7 +107,7 @@ def word_existence(
     is one row from then on.
     """
     if not isinstance(words, DataFrame):
-        words = nodes.sparkSession.createDataFrame([(w,) for w in words], "word string")
+        words = listed(nodes, words)
     wanted = words.groupBy(F.col("word").alias("name")).agg(F.count("*").alias("occurrences"))
     flags = {
         "in_mirror": mirror_names(mirror),
@@ -129,14 +129,17 @@ def word_existence(
 def neighbours(
     edges: DataFrame, nodes: DataFrame, words: DataFrame | list[str] | None = None
 ) -> DataFrame:
-    """Outgoing relations with the related node's properties, one row per relation."""
+    """Outgoing relations with the related node's properties, one row per relation.
+
+    Hubs, from which or to which a large part of all relations leads, are joined in pieces.
+    """
     wanted = edges
     if words is not None:
-        wanted = matching(edges, as_keys(edges, words, "src"), "src")
+        wanted = spread_join(edges, as_keys(edges, words, "src"), "src", "left_semi")
     related = nodes.select(
         F.col("name").alias("dst"), F.struct(*NODE.names).alias("related")
     )
-    return wanted.join(related, "dst").select(
+    return spread_join(wanted, related, "dst").select(
         F.col("src").alias("word"), F.col("rel").alias("relationship"), "related"
     )
 

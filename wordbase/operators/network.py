@@ -58,7 +58,7 @@ def graph_summary(edges: DataFrame, relation: str) -> DataFrame:
 
 
 def degree_clusters(
-    node_degrees: DataFrame, k: int = 3, seed: int = 7, restarts: int = 3
+    node_degrees: DataFrame, k: int = 3, seed: int = 1, restarts: int = 3
 ) -> DataFrame:
     """Nodes with the cluster of their degree; clusters are numbered by rising degree.
 

@@ -151,6 +151,21 @@ VIEWS = {
         FROM word_list GROUP BY word""",
     "meronyms": """SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM edges
         WHERE rel = 'MERONYM_OF'""",
+    "degrees": """SELECT node, count(*) AS degree
+        FROM (SELECT a AS node FROM meronyms UNION ALL SELECT b FROM meronyms) GROUP BY node""",
+    "degree_histogram": "SELECT degree, count(*) AS n FROM degrees GROUP BY degree",
+    # the best of all ways to cut the degrees into three ranges
+    "best_cut": """SELECT lo, hi FROM (
+            SELECT lo, hi, part, sum(n * degree * degree) - sum(n * degree) ** 2 / sum(n) AS cost
+            FROM (SELECT a.degree AS lo, b.degree AS hi, h.degree, h.n::DOUBLE AS n,
+                    CASE WHEN h.degree <= a.degree THEN 0 WHEN h.degree <= b.degree THEN 1 ELSE 2 END AS part
+                FROM degree_histogram a JOIN degree_histogram b ON a.degree < b.degree
+                JOIN degree_histogram h ON true
+                WHERE b.degree < (SELECT max(degree) FROM degrees))
+            GROUP BY ALL)
+        GROUP BY lo, hi ORDER BY sum(cost), lo, hi LIMIT 1""",
+    "clusters": """SELECT node, degree, CASE WHEN degree <= (SELECT lo FROM best_cut) THEN 0
+            WHEN degree <= (SELECT hi FROM best_cut) THEN 1 ELSE 2 END AS cluster FROM degrees""",
     "new_words_only": """SELECT word, "count" FROM batch_counts
         WHERE word NOT IN (SELECT word FROM counts)""",
     "keys_left": """SELECT 'lexicon:' || word AS key FROM batch_counts
@@ -332,9 +347,9 @@ ORACLES = {
     "graph_summary": " UNION ALL ".join(
         _summary(r) for r in ("SYNONYM_OF", "ANTONYM_OF", "HYPERNYM_OF", "MERONYM_OF")
     ),
-    "degree": """
-        SELECT node, count(*) AS degree
-        FROM (SELECT a AS node FROM meronyms UNION ALL SELECT b FROM meronyms) GROUP BY node""",
+    "degree": "SELECT node, degree FROM degrees",
+    "degree_clusters": "SELECT node, degree, cluster FROM clusters",
+    "degree_clusters_first": "SELECT node, degree, cluster FROM clusters ORDER BY node LIMIT 5",
     "graph_round_trip": """
         SELECT rel AS kind, count(*) AS rows, sum(length(src) + length(dst))::BIGINT AS letters
         FROM edges GROUP BY rel

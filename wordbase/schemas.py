@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,9 +103,20 @@ def default_for(kind: T.DataType) -> Column:
     return F.lit(NO_TEXT)
 
 
+_ARROW = {_STR: pa.string(), _LONG: pa.int64(), _DOUBLE: pa.float64(), _INT: pa.int32()}
+
+
 def rows_to_table(spark: SparkSession, rows: Iterable, schema: T.StructType) -> DataFrame:
-    """A short driver-side list as a table. The schema is explicit, so no rows is fine too."""
-    return spark.createDataFrame(list(rows), schema)
+    """A short driver-side list as a table; the schema is explicit, so no rows is fine too.
+
+    Handed over as Arrow, the list is a local table whose size Spark knows, and joins with it
+    are planned accordingly. A list handed over row by row has no known size.
+    """
+    rows = list(rows)
+    columns = [
+        pa.array([row[i] for row in rows], _ARROW[field.dataType]) for i, field in enumerate(schema)
+    ]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
 
 
 def empty_like(df: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wordbase.operators.keyed import spread_join
 
 def category_titles(
     articles: DataFrame, limit: int, category: str | None = None
@@ -49,6 +50,6 @@ def article_texts(titles: DataFrame, articles: DataFrame, unique: bool = False)
             .agg(F.min(F.struct(*order, "text")).alias("first"))
             .select("title", "first.text")
         )
-    return titles.join(found, "title", "left").withColumn(
+    return spread_join(titles, found, "title", "left").withColumn(
         "text", F.coalesce("text", F.lit(""))
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordbase.operators.keyed import spread_join
 from wordbase.schemas import TITLES
 
 # A title listing call returns at most this many titles, and one call makes one message.
@@ -21,7 +22,7 @@ def title_messages(titles: DataFrame, titles_per_message: int = TITLES_PER_MESSA
     sizes = titles.groupBy("category").agg(F.count("*").alias("size"))
     part = F.pmod(F.xxhash64("title"), F.ceil(F.col("size") / F.lit(titles_per_message)))
     return (
-        titles.join(sizes, "category")
+        spread_join(titles, sizes, "category")
         .withColumn("part", part)
         .groupBy("category", "part")
         .agg(F.to_json(F.sort_array(F.collect_list("title"))).alias("value"))
