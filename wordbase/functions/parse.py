@@ -16,22 +16,29 @@ def blank_to_null(value: Column) -> Column:
     return F.nullif(F.trim(value), F.lit(""))
 
 
-def _digits(value: Column) -> Column:
-    # underscores between digits are allowed in numbers given as text
-    return F.regexp_replace(F.trim(value.cast("string")), r"(?<=\d)_(?=\d)", "")
+# Numbers as text: single underscores may stand between digits
+_DIGITS = r"\d+(?:_\d+)*"
+_WHOLE = rf"^\s*([+-]?{_DIGITS})\s*$"
+_DECIMAL = (
+    rf"(?i)^\s*([+-]?(?:(?:{_DIGITS}\.?(?:{_DIGITS})?|\.{_DIGITS})(?:e[+-]?{_DIGITS})?"
+    r"|inf|infinity|nan))\s*$"
+)
+
+
+def _number(text: Column, pattern: str, kind: str) -> Column:
+    # no match extracts "", which is no number either
+    return F.translate(F.regexp_extract(text, pattern, 1), "_", "").try_cast(kind)
 
 
 def safe_count(value: Column, kind: str) -> Column:
     """A whole number, 0 when the text is no whole number; a float is cut towards zero."""
-    parsed = _digits(value).try_cast("long") if kind == "string" else value.try_cast("long")
+    parsed = _number(value, _WHOLE, "long") if kind == "string" else value.try_cast("long")
     return F.coalesce(parsed, F.lit(0).cast("long"))
 
 
 def safe_double(value: Column) -> Column:
     """A number, null for blank or bad text."""
-    text = F.nullif(_digits(value), F.lit(""))
-    # Java also reads 1.5f and 1d as numbers
-    return F.when(~text.rlike(r"[0-9.][dDfF]$"), text.try_cast("double"))
+    return _number(value, _DECIMAL, "double")
 
 
 def relation_type(text: Column) -> Column:

@@ -138,7 +138,9 @@ def split_by_ends(patch: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFr
     known = matching(nodes, ends, "name").select("name")
     src, dst = (known.withColumnRenamed("name", c) for c in ("src", "dst"))
     checked = spread_join(patch, src.withColumn("has_src", F.lit(True)), "src", "left")
-    checked = spread_join(checked, dst.withColumn("has_dst", F.lit(True)), "dst", "left")
+    checked = spread_join(
+        checked, dst.withColumn("has_dst", F.lit(True)), "dst", "left", patch
+    )
     reason = F.when(F.col("has_src").isNull(), "unknown word").when(
         F.col("has_dst").isNull(), "unknown related word"
     )
@@ -187,7 +189,7 @@ def delete_nodes(nodes: DataFrame, edges: DataFrame, requests: DataFrame) -> Gra
     )
     kept = edges
     for end in ("src", "dst"):
-        kept = spread_join(kept, doomed.withColumnRenamed("name", end), end, "left_anti")
+        kept = spread_join(kept, doomed.withColumnRenamed("name", end), end, "left_anti", edges)
     return Graph(without(nodes, doomed, "name"), kept.select(*EDGE.names), rejects)
 
 

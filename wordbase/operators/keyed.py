@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,25 +48,39 @@ def without(table: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame
     return table.join(keys.select(*on), on, "left_anti")
 
 
-def spread_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+def spread_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | list[str],
+    how: str = "inner",
+    sizes_of: DataFrame | None = None,
+) -> DataFrame:
     """Join a table whose keys repeat, possibly a third of it with the same key, to one with
     unique keys (for ``left_semi`` and ``left_anti`` the keys may repeat on both sides).
 
     Keys with more than a thousandth of the rows are hot: there are fewer than a thousand of
     them, which bounds what is broadcast. Their rows are cut by hash into pieces of about a
     thousandth each, and the right side's row is copied to each piece, fewer than two
-    thousand copies in all. Adaptive execution cannot be relied on for this: it splits a side
-    only if the other comes straight out of a shuffle, not out of an aggregate.
+    thousand copies in all. Rows without a key match nothing and are spread alike. Adaptive
+    execution cannot be relied on for this: it splits a side only if the other comes straight
+    out of a shuffle, not out of an aggregate.
+
+    Sizes are counted on ``left``, or on the table ``sizes_of`` that it was narrowed from, which
+    saves planning the narrowing twice.
     """
-    sizes = left.groupBy(on).agg(F.count("*").alias("_size"))
+    on = [on] if isinstance(on, str) else on
+    counted = left if sizes_of is None else sizes_of
+    sizes = counted.groupBy(*on).agg(F.count("*").alias("_size"))
     total = sizes.agg(F.sum("_size")).scalar()
     pieces = F.ceil(F.col("_size") * HOT_PARTS / total).cast("int").alias("_pieces")
-    hot = F.broadcast(sizes.filter(F.col("_size") * HOT_PARTS > total).select(on, pieces))
-    piece = F.coalesce(F.pmod(F.xxhash64(*left.columns), F.col("_pieces")), F.lit(0)).cast("int")
+    hot = F.broadcast(sizes.filter(F.col("_size") * HOT_PARTS > total).select(*on, pieces))
+    keyless = reduce(or_, (F.col(c).isNull() for c in on))
+    parts = F.when(keyless, HOT_PARTS).otherwise(F.coalesce("_pieces", F.lit(1)))
+    piece = F.pmod(F.xxhash64(*left.columns), parts).cast("int")
     copies = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
     cut = left.join(hot, on, "left").withColumn("_piece", piece).drop("_pieces")
     copied = right.join(hot, on, "left").withColumn("_piece", F.explode(copies)).drop("_pieces")
-    return cut.join(copied, [on, "_piece"], how).drop("_piece")
+    return cut.join(copied, [*on, "_piece"], how).drop("_piece")
 
 
 def look_up(keys: DataFrame, table: DataFrame, on: str = "word") -> DataFrame:

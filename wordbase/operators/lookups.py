@@ -139,7 +139,7 @@ def neighbours(
     related = nodes.select(
         F.col("name").alias("dst"), F.struct(*NODE.names).alias("related")
     )
-    return spread_join(wanted, related, "dst").select(
+    return spread_join(wanted, related, "dst", sizes_of=edges).select(
         F.col("src").alias("word"), F.col("rel").alias("relationship"), "related"
     )
 

@@ -83,7 +83,7 @@ def category_titles_one(i):
 def titles_text(i):
     """Texts of all article titles; page addresses are titles without an article."""
     titles = _articles(i).unionByName(i.table("pages").select(F.col("url").alias("title")))
-    return articles.article_texts(titles, _articles(i, "text"))
+    return articles.article_texts(titles, _articles(i, "text"), unique=True)
 
 
 @query()
@@ -379,7 +379,7 @@ def read_through_fill(i):
 # --- the relation graph --------------------------------------------------------
 
 
-@query("counts")
+@query("counts", "edges")
 def neighbours(i):
     """Outgoing relations of the listed words."""
     found = lookups.neighbours(i.edges, i.nodes, i.word_list)
@@ -392,7 +392,7 @@ def neighbours(i):
     )
 
 
-@query("counts")
+@query("counts", "edges")
 def neighbours_all(i):
     """Outgoing relations of every word."""
     found = lookups.neighbours(i.edges, i.nodes)
@@ -600,7 +600,7 @@ def delete_nodes(i):
     return _rounded(nodes, "sentiment_score")
 
 
-@query("counts")
+@query("counts", "edges")
 def delete_edges(i):
     return graph_changes.delete_nodes(i.nodes, i.edges, i.delete_requests).edges
 

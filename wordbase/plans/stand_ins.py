@@ -246,7 +246,7 @@ class Inputs:
             F.right(word, F.length(word) - F.length("n")).alias("dst"),
         )
         derived = matching(by_stem.unionByName(by_negation), words.select(word.alias("dst")), "dst")
-        letters = F.array_join(F.array_sort(F.split(word, "")), "").alias("letters")
+        letters = F.array_join(F.sort_array(F.split(word, "")), "").alias("letters")
         spelled = words.select("word", letters)
         first = spelled.groupBy("letters").agg(F.min("word").alias("dst"))
         synonyms = (

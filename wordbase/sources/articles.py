@@ -31,25 +31,31 @@ def category_titles(
     )
 
 
-def article_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:
-    """The text of each title, ``""`` when there is none.
+def found_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:
+    """The texts of the titles that have one; titles may repeat.
+
+    ``articles(title, text)`` may hold several pages per title, in ``page`` order; the first page
+    that has a text wins. ``unique=True`` promises one page per title.
 
-    ``articles(title, text)`` may hold several pages per title, with an optional ``page``
-    order; the first page that has a text wins. ``unique=True`` promises one page per title
-    and saves the step that finds the first.
+    Texts are by far the widest column, so they move once at most: which page comes first is
+    found without them, and a short title list is broadcast to the articles.
     """
-    pages = articles.filter(F.col("text").isNotNull()).join(
-        titles.select("title").distinct(), "title", "left_semi"
-    )
+    pages = articles.filter(F.col("text").isNotNull())
     if unique:
-        found = pages.select("title", "text")
-    else:
-        order = [c for c in ("page",) if c in articles.columns]
-        found = (
-            pages.groupBy("title")
-            .agg(F.min(F.struct(*order, "text")).alias("first"))
-            .select("title", "first.text")
-        )
-    return spread_join(titles, found, "title", "left").withColumn(
-        "text", F.coalesce("text", F.lit(""))
+        return spread_join(titles, pages.select("title", "text"), "title")
+    if "page" not in articles.columns:
+        only = pages.groupBy("title").agg(F.min("text").alias("text"))
+        return spread_join(titles, only, "title")
+    first = pages.groupBy("title").agg(F.min("page").alias("page"))
+    wanted = spread_join(titles, first, "title")
+    keys = ["title", "page"]
+    return spread_join(wanted, pages.select(*keys, "text"), keys).drop("page")
+
+
+def article_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:
+    """The text of each title as by ``found_texts``, ``""`` when there is none."""
+    having = articles.filter(F.col("text").isNotNull()).select("title")
+    missing = spread_join(titles, having, "title", "left_anti")
+    return found_texts(titles, articles, unique).unionByName(
+        missing.withColumn("text", F.lit(""))
     )

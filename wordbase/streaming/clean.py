@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wordbase.operators.tokens import token_rows, word_counts
 from wordbase.schemas import MESSAGE
-from wordbase.sources.articles import article_texts
+from wordbase.sources.articles import found_texts
 from wordbase.sources.messages import decode_titles
 from wordbase.sources.runs import CLEANED, run_path
 
@@ -42,7 +42,8 @@ def read_messages(spark: SparkSession, source: str, format: str = "json", **opti
 
 def message_word_counts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:
     """Word counts of each message's articles; counts of different messages are kept apart."""
-    texts = article_texts(titles, articles, unique)
+    # a title without a text has no words, so the titles that have one are enough
+    texts = found_texts(titles, articles, unique)
     return word_counts(token_rows(texts, "message_id"), "message_id")
 
 
