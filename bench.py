@@ -18,23 +18,18 @@ from pyspark.sql import SparkSession
 from wordbase.plans.queries import QUERIES
 
 HEADLINE = """
-    word_count token_rows category_titles titles_text stream_word_count
-    sentiment_scored sentiment_scored_by_model csv_round_trip
-    records_shaped records_flat most_common_word least_common_word
-    pos_segment sentiment_proportion pos_distribution pos_general_counts
-    length_histogram length_mean_median
-    word_lookup sentiment_lookup coverage_percent lexicon_size store_compare read_through mirror_refresh
-    neighbours neighbours_all related_words_top graph_summary degree degree_clusters
-    new_words new_words_corpus_count import_update
-    insert_absent upsert_words corrections
-    merge_pairs_nodes merge_pairs_edges patch_nodes set_relation delete_edges delete_keys node_csv_import
+    word_count titles_text stream_word_count sentiment_scored sentiment_scored_by_model csv_round_trip
+    records_flat most_common_word sentiment_proportion pos_distribution length_mean_median
+    word_lookup coverage_percent lexicon_size read_through
+    neighbours graph_summary degree_clusters
+    new_words import_update corrections merge_pairs_nodes set_relation delete_edges
 """.split()
 
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINE
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
