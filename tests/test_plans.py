@@ -121,11 +121,28 @@ def test_a_hub_is_split_over_tasks(spark, settings):
     assert max(per_task) < 60_000 / 8 * 1.3
 
 
+def test_a_short_side_is_broadcast_and_the_long_one_not_shuffled(spark, tmp_path):
+    rows = [(f"w{i % 900}", "SYNONYM_OF", f"x{i}") for i in range(3000)]
+    edges = saved(spark, tmp_path, EDGE, rows)
+    few = rows_to_table(spark, [("w1",)], T.StructType([T.StructField("src", T.StringType())]))
+    text = plan(keyed.spread_join(edges, few, "src", "left_anti"))
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    titles = few.withColumnRenamed("src", "title")
+    pages = edges.selectExpr("src as title", "dst as text")
+    text = plan(articles.found_texts(titles, pages, unique=True))
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    # the only shuffles are those of the key counts
+    assert "Exchange hashpartitioning(title" in text and "text#" not in "".join(
+        line for line in text.splitlines() if "Exchange hashpartitioning" in line
+    )
+
+
+@pytest.mark.parametrize("wide", [False, True])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_joining_in_pieces_changes_no_result(spark, how):
+def test_joining_in_pieces_changes_no_result(spark, how, wide):
     left = spark.range(5000).select(F.col("id").alias("n"), F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, F.lit(None)).otherwise((F.col("id") % 1500).cast("string")).alias("k"))
     right = spark.createDataFrame([("hot", 1), ("5", 2), ("7", 3), (None, 4), ("gone", 5)], "k string, v int")
-    got = keyed.spread_join(left, right, "k", how)
+    got = keyed.spread_join(left, right, "k", how, wide_right=wide)
     want = left.join(right, "k", how)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from wordbase.schemas import rows_to_table
 
-# A key with more than this part of all rows is joined in pieces.
+# A key with more than a HOT_PARTS-th of all rows is joined in PIECES pieces.
 HOT_PARTS = 1000
+PIECES = 256
 
 
 def as_keys(table: DataFrame, words: DataFrame | list[str], name: str = "word") -> DataFrame:
@@ -54,32 +55,44 @@ def spread_join(
     on: str | list[str],
     how: str = "inner",
     sizes_of: DataFrame | None = None,
+    wide_right: bool = False,
 ) -> DataFrame:
     """Join a table whose keys repeat, possibly a third of it with the same key, to one with
     unique keys (for ``left_semi`` and ``left_anti`` the keys may repeat on both sides).
 
     Keys with more than a thousandth of the rows are hot: there are fewer than a thousand of
-    them, which bounds what is broadcast. Their rows are cut by hash into pieces of about a
-    thousandth each, and the right side's row is copied to each piece, fewer than two
-    thousand copies in all. Rows without a key match nothing and are spread alike. Adaptive
-    execution cannot be relied on for this: it splits a side only if the other comes straight
-    out of a shuffle, not out of an aggregate.
-
-    Sizes are counted on ``left``, or on the table ``sizes_of`` that it was narrowed from, which
-    saves planning the narrowing twice.
+    them, which bounds what is broadcast here. Their rows are cut by hash into pieces, and the
+    right side's row is copied to each piece. Rows without a key match nothing and are spread
+    alike. Adaptive execution cannot be relied on for this: it splits a side only if the other
+    comes straight out of a shuffle, not out of an aggregate.
+
+    Both sides keep a size Spark can estimate, so it still broadcasts a short one instead of
+    shuffling the other. ``wide_right`` reads the right side once instead of twice, for sides that
+    are too wide to be short. Key sizes are counted on ``left``, or on the table ``sizes_of``
+    that it was narrowed from, which saves planning the narrowing again.
     """
     on = [on] if isinstance(on, str) else on
-    counted = left if sizes_of is None else sizes_of
-    sizes = counted.groupBy(*on).agg(F.count("*").alias("_size"))
+    sizes = (left if sizes_of is None else sizes_of).groupBy(*on).agg(F.count("*").alias("_size"))
     total = sizes.agg(F.sum("_size")).scalar()
-    pieces = F.ceil(F.col("_size") * HOT_PARTS / total).cast("int").alias("_pieces")
-    hot = F.broadcast(sizes.filter(F.col("_size") * HOT_PARTS > total).select(*on, pieces))
+    keys = sizes.filter(F.col("_size") * HOT_PARTS > total).select(*on)
+    hot = F.broadcast(keys)
+
+    piece = F.pmod(F.xxhash64(*left.columns), F.lit(PIECES)).cast("int")
     keyless = reduce(or_, (F.col(c).isNull() for c in on))
-    parts = F.when(keyless, HOT_PARTS).otherwise(F.coalesce("_pieces", F.lit(1)))
-    piece = F.pmod(F.xxhash64(*left.columns), parts).cast("int")
-    copies = F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)
-    cut = left.join(hot, on, "left").withColumn("_piece", piece).drop("_pieces")
-    copied = right.join(hot, on, "left").withColumn("_piece", F.explode(copies)).drop("_pieces")
+    calm = left.join(hot, on, "left_anti").withColumn(
+        "_piece", F.when(keyless, piece).otherwise(0)
+    )
+    cut = calm.unionByName(left.join(hot, on, "left_semi").withColumn("_piece", piece))
+
+    if wide_right:
+        marked = right.join(F.broadcast(keys.withColumn("_hot", F.lit(True))), on, "left")
+        pieces = F.sequence(F.lit(0), F.when(F.col("_hot"), PIECES - 1).otherwise(0))
+        copied = marked.withColumn("_piece", F.explode(pieces)).drop("_hot")
+    else:
+        more = F.explode(F.sequence(F.lit(1), F.lit(PIECES - 1)))
+        copied = right.withColumn("_piece", F.lit(0)).unionByName(
+            right.join(hot, on, "left_semi").withColumn("_piece", more)
+        )
     return cut.join(copied, [*on, "_piece"], how).drop("_piece")
 
 

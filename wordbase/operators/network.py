@@ -65,12 +65,14 @@ def degree_clusters(
     Equal degrees always share a cluster, so k-means is fitted on the distinct degrees weighted
     by their number of nodes: the objective is the same and the input no longer grows with the
     graph. The best of a few restarts is used. In one dimension nearest centre means between two
-    midpoints, so labelling is a plain expression over the degrees.
+    midpoints, so labelling is a plain expression over the degrees. The degrees are written once,
+    because both steps read them.
     """
+    node_degrees = stored(node_degrees.select("node", "degree"), "degrees")
     histogram = node_degrees.groupBy("degree").agg(F.count("*").alias("nodes"))
     # n distinct degrees need at least n * n / 4 edges, so the histogram stays small; one sorted
     # piece makes the fit repeatable
-    histogram = stored(histogram.repartition(1).sortWithinPartitions("degree"), "degrees")
+    histogram = stored(histogram.repartition(1).sortWithinPartitions("degree"), "histogram")
     features = VectorAssembler(inputCols=["degree"], outputCol="features").transform(histogram)
     models = [
         KMeans(k=k, seed=seed + i, weightCol="nodes", maxIter=50, tol=0.0).fit(features)

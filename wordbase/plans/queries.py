@@ -426,12 +426,12 @@ def degree(i):
     return _meronym_degrees(i)
 
 
-@query("counts", "edges")
+@query("counts")
 def degree_clusters(i):
     return network.degree_clusters(_meronym_degrees(i))
 
 
-@query("counts", "edges")
+@query("counts")
 def degree_clusters_first(i):
     return network.first_nodes(network.degree_clusters(_meronym_degrees(i)))
 

@@ -254,7 +254,8 @@ class Inputs:
             .filter(F.col("dst") != word)
             .select(word.alias("src"), F.lit("SYNONYM_OF").alias("rel"), "dst")
         )
-        return derived.select(*EDGE.names).unionByName(synonyms).distinct()
+        # each word meets each ending and negation once, so no relation can come twice
+        return derived.select(*EDGE.names).unionByName(synonyms)
 
     @view
     def corrections(self) -> DataFrame:

@@ -42,14 +42,14 @@ def found_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) ->
     """
     pages = articles.filter(F.col("text").isNotNull())
     if unique:
-        return spread_join(titles, pages.select("title", "text"), "title")
+        return spread_join(titles, pages.select("title", "text"), "title", wide_right=True)
     if "page" not in articles.columns:
         only = pages.groupBy("title").agg(F.min("text").alias("text"))
-        return spread_join(titles, only, "title")
+        return spread_join(titles, only, "title", wide_right=True)
     first = pages.groupBy("title").agg(F.min("page").alias("page"))
     wanted = spread_join(titles, first, "title")
     keys = ["title", "page"]
-    return spread_join(wanted, pages.select(*keys, "text"), keys).drop("page")
+    return spread_join(wanted, pages.select(*keys, "text"), keys, wide_right=True).drop("page")
 
 
 def article_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:

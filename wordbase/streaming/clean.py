@@ -57,7 +57,7 @@ def clean_messages(
     unique: bool = False,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Start cleaning: one folder of counts (headed CSV) and one of rejects per micro-batch.
+    """Start cleaning: folders of titles, counts (headed CSV) and rejects per micro-batch.
 
     ``stamp`` names the run; a restart passes the same one. Folders are named by batch and
     overwritten, so a batch that is repeated after a failure leaves its counts once.
@@ -65,12 +65,15 @@ def clean_messages(
     run = run_path(root, CLEANED, stamp, owner)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        place = {part: f"{run}/{part}/batch_id={batch_id}" for part in ("titles", "counts", "rejects")}
         titles, rejects = decode_titles(batch, "message_id")
+        rejects.write.mode("overwrite").option("header", True).csv(place["rejects"])
+        # a written table has a known size: a short title list is broadcast to the articles,
+        # which are then not shuffled batch after batch
+        titles.write.mode("overwrite").parquet(place["titles"])
+        titles = batch.sparkSession.read.schema(titles.schema).parquet(place["titles"])
         counts = message_word_counts(titles, articles, unique)
-        for part, table in (("counts", counts), ("rejects", rejects)):
-            table.write.mode("overwrite").option("header", True).csv(
-                f"{run}/{part}/batch_id={batch_id}"
-            )
+        counts.write.mode("overwrite").option("header", True).csv(place["counts"])
 
     writer = messages.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:
