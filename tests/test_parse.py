@@ -5,6 +5,7 @@ import fnmatch
 import pytest
 from pyspark.sql import functions as F
 
+from wordbase import runtime
 from wordbase.functions.parse import (
     key_matches,
     mirror_word,
@@ -67,3 +68,10 @@ def test_relations(spark):
     assert relation_name(" meronym ") == "MERONYM_OF"
     with pytest.raises(ValueError):
         relation_name("related")
+
+
+def test_scratch_paths_are_fresh_and_in_the_named_folder(spark):
+    first, second = (runtime.scratch_path(spark, "t") for _ in range(2))
+    assert first != second
+    assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert runtime._local_folder("a") == runtime._local_folder("a")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,9 +20,12 @@ def _shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    fallback = tempfile.mkdtemp(prefix="wordbase-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@lru_cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"wordbase-{application}-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
