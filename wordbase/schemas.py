@@ -113,6 +113,8 @@ def rows_to_table(spark: SparkSession, rows: Iterable, schema: T.StructType) ->
     are planned accordingly. A list handed over row by row has no known size.
     """
     rows = list(rows)
+    if any(field.dataType not in _ARROW for field in schema):
+        return spark.createDataFrame(rows, schema)  # nested columns
     columns = [
         pa.array([row[i] for row in rows], _ARROW[field.dataType]) for i, field in enumerate(schema)
     ]
