@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordbase.llm import chat, exact_dedup, packing, simhash, token_counts
+from wordbase.llm import chat, decontaminate, exact_dedup, language, lattice, packing, pii, simhash, token_counts
 from wordbase.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+SUBWORDS = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def _fold(modulus: int):
+    """Whether a document is held out: crc32 of its id as text leaves 1."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == 1, F.lit(False))
 
 
 def query(build: Query) -> Query:
@@ -32,16 +38,44 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.format_conversations(turns))
 
 
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_spans(documents(spark, sf_dir))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(documents(spark, sf_dir), words=3, radius=3)
 
 
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of benchmark items, with the items; clean documents have no row."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+    return found.select("doc_id", "item_id", "found", "share", F.lit(True).alias("contaminated"))
+
+
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.fit(docs.where(~_fold(3)))
+    guess = language.language(docs, model).alias("guess")
+    return docs.select("doc_id", _fold(3).alias("held_out"), guess).select(
+        "doc_id", "held_out", F.col("guess.lang").alias("lang_pred"), "guess.score"
+    )
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir), keep="largest")
 
 
+@query
+def op8_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.document_scores(documents(spark, sf_dir), _fold(5), SUBWORDS)
+
+
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), VOCABULARY, max_len=2048, closing_id=1)
