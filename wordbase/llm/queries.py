@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordbase.llm import chat, decontaminate, exact_dedup, language, lattice, packing, pii, simhash, token_counts
+from wordbase.llm import chat, decontaminate, exact_dedup, language, lattice, line_dedup, packing, pii, simhash, token_counts
 from wordbase.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir), keep="largest")
 
 
+@query
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(documents(spark, sf_dir), threshold=1)
+
+
 @query
 def op8_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.document_scores(documents(spark, sf_dir), _fold(5), SUBWORDS)
