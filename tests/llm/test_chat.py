@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+
+from wordbase.llm import chat
+
+TRICKY = ["", "\\", "<", ">", "</turn>", "<turn user>", "\\</turn>\\", "<image 0>", "a\\\\<b", r"\### Assistant: </turn> ok", "é😀\n<\\>"]
+
+
+def turns(spark, rows):
+    parts = [(c, t, r, [dict(zip(("kind", "text", "ref", "width", "height", "seconds", "pages"), p, strict=True)) for p in ps]) for c, t, r, ps in rows]
+    return spark.createDataFrame(parts, f"conv_id long, turn long, role string, parts {chat.PARTS}")
+
+
+def text(t):
+    return ("text", t, None, None, None, None, None)
+
+
+def test_escape_is_reversible_and_leaves_no_control_string():
+    for a in TRICKY:
+        for b in TRICKY:
+            escaped = chat.escape(a + b)
+            assert chat.unescape(escaped) == a + b
+            formatted = f"<turn {chat.escape(b)}>{escaped}</turn>\n"
+            assert list(chat.read_turns(iter([formatted]))) == [(b, a + b)]
+
+
+def test_reading_does_not_depend_on_how_the_text_is_cut():
+    formatted = "".join(f"<turn r{i}>{chat.escape(t)}</turn>\n" for i, t in enumerate(TRICKY))
+    want = [(f"r{i}", t) for i, t in enumerate(TRICKY)]
+    assert list(chat.read_turns(iter([formatted]))) == want
+    assert list(chat.read_turns(iter(formatted))) == want
+
+
+def test_digests(spark):
+    rows = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(TRICKY)]
+    rows += [(2, 0, "user", None), (2, 1, "assistant", "x"), (None, None, None, "y"), (3, 1, "assistant", "twice"), (3, 1, "assistant", "twice")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("parts", chat.text_part("text"))
+    segments = chat.format_conversations(table)
+    got = {r["conv_id"]: r for r in chat.conversation_digests(segments).collect()}
+    assert set(got) == {1, 2, 3, None}
+    for conv, r in got.items():
+        own = sorted((x for x in rows if x[0] == conv), key=lambda x: x[1] or 0)
+        spoken = "".join(f"{role or ''}\n{t or ''}\n" for _, _, role, t in own)
+        learned = "".join(t for _, _, role, t in own if role == "assistant")
+        formatted = "".join(f"<turn {role or ''}>{chat.escape(t or '')}</turn>\n" for _, _, role, t in own)
+        assert (r["n_turns"], r["turns_sha256"]) == (len(own), hashlib.sha256(spoken.encode()).hexdigest())
+        assert (r["loss_chars"], r["loss_sha256"]) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
+        assert r["formatted_chars"] == len(formatted)
+
+
+def test_parts(spark):
+    rows = [
+        (1, 0, "user", [text("see <this>"), ("image", None, "s3/a.png", 1000, 600, None, None), ("audio", None, "b.wav", None, None, 2.5, None)]),
+        (1, 1, "assistant", [text("ok"), ("document", None, "c.pdf", None, None, None, 3), text("end")]),
+        (2, 0, "user", []),
+    ]
+    got = chat.format_conversations(turns(spark, rows)).orderBy("conv_id", "turn").collect()
+    assert got[0]["segment"] == "<turn user>see \\<this\\><image 0><audio 1></turn>\n"
+    assert got[1]["segment"] == "<turn assistant>ok<document 2>end</turn>\n"
+    images = [(a["number"], a["kind"], a["ref"], a["tokens"]) for r in got for a in r["attachments"]]
+    assert images == [(0, "image", "s3/a.png", 85 + 170 * 4), (1, "audio", "b.wav", 63), (2, "document", "c.pdf", 768)]
+    first = got[0]["attachments"][0]
+    assert got[0]["segment"][len("<turn user>") + first["at"] :].startswith("<image 0>")
+    assert (got[0]["loss_from"], got[0]["loss_to"]) == (11, 11)
+    assert got[1]["segment"][got[1]["loss_from"] : got[1]["loss_to"]] == "ok<document 2>end"
+    assert got[2]["segment"] == "<turn user></turn>\n"
+
+
+def test_unknown_part_is_refused(spark):
+    with pytest.raises(Exception, match="unknown kind of part"):
+        chat.format_conversations(turns(spark, [(1, 0, "user", [("video", None, None, None, None, None, None)])])).collect()
+
+
+def test_empty(spark):
+    assert chat.conversation_digests(chat.format_conversations(turns(spark, []))).count() == 0

@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import hashlib
+from collections import defaultdict
+
+import pytest
+
+from tests.llm.conftest import AWKWARD
+from wordbase.llm import exact_dedup
+
+
+def brute(rows, keep):
+    groups = defaultdict(list)
+    for i, t, *_ in rows:
+        groups[t or ""].append(i)
+    out = []
+    for text, ids in groups.items():
+        known = [i for i in ids if i is not None]
+        best = (min if keep == "smallest" else max)(known) if known else None
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        marks = [i == best for i in ids]
+        first = marks.index(True)
+        out += [(i, best, len(ids), n == first, digest) for n, i in enumerate(ids)]
+    return out
+
+
+def key(row):
+    return tuple(str(x) for x in row)
+
+
+@pytest.mark.parametrize("keep", ["smallest", "largest"])
+def test_groups(table, awkward, keep):
+    rows = [(i, f"text {i % 7}") for i in range(300)] + [(1000 + i, f"own {i}") for i in range(200)] + AWKWARD
+    got = [tuple(r) for r in exact_dedup.exact_groups(table(rows), keep).collect()]
+    assert sorted(got, key=key) == sorted(brute(rows, keep), key=key)
+
+
+def test_two_rounds(spark, table):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rows = [(i, f"text {i % 50}") for i in range(1000)]
+        got = [tuple(r) for r in exact_dedup.exact_groups(table(rows), "largest").collect()]
+        assert sorted(got) == sorted(brute(rows, "largest"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_empty_and_argument(empty):
+    assert exact_dedup.exact_groups(empty).count() == 0
+    with pytest.raises(ValueError):
+        exact_dedup.exact_groups(empty, "any")
+
+
+def test_drop_keeps_one_row_of_each_text(awkward):
+    kept = exact_dedup.drop_exact_copies(awkward, "largest")
+    assert kept.columns == awkward.columns
+    texts = [r["text"] or "" for r in kept.collect()]
+    assert sorted(texts) == sorted({t or "" for _, t in AWKWARD})
+
+
+def test_all_native(awkward):
+    plan = exact_dedup.exact_groups(awkward)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
