@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from tests.llm.conftest import AWKWARD
+from wordbase.llm import pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    doubled = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(digits))]
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for kind, pattern in PLAIN.items():
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": True,
+                "ip": all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m[0].split(".")) if kind == "ip" else None,
+                "card": 14 <= len(digits) <= 19 and luhn(digits),
+                "phone": 10 <= len(digits) <= 15,
+            }[kind]
+            if good:
+                out.append((m.start(), pii.KINDS.index(kind), kind, m.end()))
+    return [f"{k}:{s}:{e}" for s, _, k, e in sorted(out)]
+
+
+def compare(table, rows):
+    got = pii.find_spans(table(rows)).collect()
+
+    def row(spans):
+        counts = [sum(s.startswith(k + ":") for s in spans) for k in pii.KINDS]
+        return (*counts, hashlib.sha256(",".join(spans).encode()).hexdigest())
+
+    want = sorted(((i, *row(base_spans(t or ""))) for i, t in rows), key=str)
+    assert sorted((tuple(r)[:6] for r in got), key=str) == want
+    for r in got:
+        spans = r["spans"].split(",") if r["spans"] else []
+        added = r["added"].split(",") if r["added"] else []
+        assert len(added) == r["n_added"] and set(added) <= set(spans)
+        base = [s for s in spans if s not in added]
+        assert hashlib.sha256(",".join(base).encode()).hexdigest() == r["base_sha256"]
+        order = [(int(s.split(":")[1]), pii.KINDS.index(s.split(":")[0])) for s in spans]
+        assert order == sorted(order)
+    return {r["doc_id"]: r for r in got}
+
+
+def test_base_spans_of_random_texts(table):
+    rng = random.Random(11)
+    bits = ["a@b.c", "x_y@d-e.fr", "@", ".", "+1 (487) 555-7209", "+", "(", ")", "-", " ", "1.2.3.4", "300.1.1.1", "4111 1111-1111 1111", "4111111111111112",
+            "79927398713", "0", "12", "é😀", "255.255.255.255.1.1.1.1", "a.b", "_", "\n", "5500005555555559", "%", "--", "  "]
+    rows = [(i, "".join(rng.choices(bits, k=rng.randint(1, 40)))) for i in range(400)]
+    rows += [(i + 500, "".join(rng.choices("0123456789 -.+@a", k=200))) for i in range(300)]
+    compare(table, rows)
+
+
+def test_awkward_rows(table, empty):
+    rows = [*AWKWARD, (20, "1 " * 40_000), (21, "7" * 40_000 + ".1.1.1"), (22, "+1" + " " * 40_000), (23, "a." * 30_000 + "@b.c"), (24, "8.8.8.8 " * 3_000)]
+    compare(table, rows)
+    assert pii.find_spans(empty).count() == 0
+    assert pii.find_spans(table([(1, "nothing"), (2, None)])).count() == 2
+
+
+def test_labelers_add_spans(table):
+    rng = random.Random(2)
+    rows = []
+    for i in range(300):
+        a, b, c = rng.randint(200, 999), rng.randint(200, 999), rng.randint(1000, 9999)
+        rows.append((4 * i, f"call me, phone +1 ({a}) {b}-{c} or mail to user{i}@site.com today"))
+        rows.append((4 * i + 1, f"server host {rng.randint(1, 223)}.{a % 256}.{b % 256}.9 answered"))
+        rows.append((4 * i + 2, f"phone: {a}-{b}-{c} is my number" if i % 2 else f"part x{a}-{b}-{c}y of order"))
+        rows.append((4 * i + 3, f"contact: user{i} [at] site [dot] com please" if i % 2 else "plain text"))
+    got = compare(table, rows)
+    wanted = [r["n_added"] for i, r in got.items() if i % 4 in (2, 3) and (i // 4) % 2]
+    clean = [r["n_added"] for i, r in got.items() if i % 4 in (2, 3) and not (i // 4) % 2]
+    assert sum(wanted) >= 0.9 * len(wanted) and sum(clean) == 0
+    assert got[7]["added"] == "email:9:34"
+
+
+def test_reliabilities():
+    """A labeler that votes at random says nothing, one that agrees with the others says much."""
+    rng = random.Random(4)
+    counts: dict = {}
+    for _ in range(20_000):
+        true = rng.random() < 0.3
+        good = [1 if (true if rng.random() < p else not true) else -1 for p in (0.9, 0.85, 0.8)]
+        votes = (*good, rng.choice((-1, 1)))
+        counts[votes] = counts.get(votes, 0) + 1
+    posterior = pii.reliabilities(list(counts.items()))
+    assert posterior[1, 1, 1, 1] > 0.95 and posterior[-1, -1, -1, 1] < 0.05
+    assert abs(posterior[1, 1, -1, 1] - posterior[1, 1, -1, -1]) < 0.1
+
+
+def test_no_python_in_tasks(table):
+    plan = pii.matches(table([(1, "a@b.c")]))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("kind, strict, pattern, needs", pii.PATTERNS)
+def test_patterns_have_no_marks(kind, strict, pattern, needs):
+    assert "\u0001" not in pattern and kind in pii.KINDS
