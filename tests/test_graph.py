@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
+import random
 
 import pytest
 
@@ -183,10 +185,35 @@ def test_clusters_are_ordered_stable_and_optimal(spark):
     values = list(degree_of.values())
     best = min(cost(values, cut) for cut in itertools.combinations(sorted(set(values)), 2))
     bounds = [max(degree_of[n] for n in clusters if clusters[n] == c) for c in (0, 1)]
-    assert cost(values, bounds) <= best * 1.2
+    assert math.isclose(cost(values, bounds), best)
     assert [r.node for r in network.first_nodes(network.degree_clusters(df)).collect()] == [f"n{i:03}" for i in range(5)]
 
 
+def test_ranges_are_the_best(spark):
+    rng = random.Random(5)
+    for _ in range(40):
+        histogram = sorted({rng.randint(1, 60): rng.randint(1, 9) for _ in range(rng.randint(4, 14))}.items())
+        values = [v for v, n in histogram for _ in range(n)]
+        for k in (1, 2, 3, 4):
+            ends = network.best_ranges(histogram, k)
+            assert len(ends) == k and ends[-1] == histogram[-1][0]
+            best = min(cost(values, cut) for cut in itertools.combinations([v for v, _ in histogram[:-1]], k - 1))
+            assert math.isclose(cost(values, ends[:-1]), best, abs_tol=1e-6)
+    assert network.best_ranges([], 3) == [] and network.best_ranges([(2, 5)], 3) == [2]
+
+
 def test_fewer_degrees_than_clusters(spark):
     df = spark.createDataFrame([("a", 1), ("b", 1), ("c", 2)], "node string, degree long")
     assert {r.node: r.cluster for r in network.degree_clusters(df).collect()} == {"a": 0, "b": 0, "c": 1}
+
+
+def test_confirmed_words_leave_all_three_tables(spark):
+    nodes = rows_to_table(spark, [(n, None, None, None, None) for n in "abc"], NODE)
+    edges = rows_to_table(spark, [("a", "SYNONYM_OF", "b"), ("b", "SYNONYM_OF", "c"), ("c", "SYNONYM_OF", "a")], EDGE)
+    mirror = spark.createDataFrame([(f"lexicon:{n}", "{}") for n in "abcd"], "key string, value string")
+    asked = spark.createDataFrame([("a", "\ta \n"), ("b", "no"), ("d", "d")], "name string, confirm string")
+    done = graph_changes.delete_nodes(nodes, edges, asked, mirror)
+    assert sorted(r.name for r in done.nodes.collect()) == ["b", "c"]
+    assert [tuple(r) for r in done.edges.collect()] == [("b", "SYNONYM_OF", "c")]
+    assert sorted(r.key for r in done.mirror.collect()) == ["lexicon:b", "lexicon:c", "lexicon:d"]
+    assert sorted(tuple(r) for r in done.rejects.collect()) == [("b", "not confirmed"), ("d", "unknown word")]

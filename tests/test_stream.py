@@ -20,13 +20,13 @@ def test_stream_equals_batch_and_a_restart_adds_nothing(spark, tmp_path):
     root = str(tmp_path)
     documents = spark.read.parquet(DOCUMENTS)
     articles = documents.selectExpr("source as category", "cast(doc_id as string) as title", "text")
-    write_messages(title_messages(articles).select("message_id", "value"), f"{root}/in")
-    streamed = run(spark, root, articles.select("title", "text"))
+    write_messages(title_messages(articles), f"{root}/in")
+    streamed = run(spark, root, articles)
     batch = word_counts(token_rows(documents, "source"), "source")
     key = "replace(message_id, '/0') as source"
     assert sorted(streamed.selectExpr(key, "word", "count").collect()) == sorted(batch.collect())
     before = streamed.count()
-    assert run(spark, root, articles.select("title", "text")).count() == before
+    assert run(spark, root, articles).count() == before
 
 
 def test_messages_are_counted_apart_and_bad_ones_set_aside(spark, tmp_path):

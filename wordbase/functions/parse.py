@@ -12,8 +12,19 @@ from wordbase.schemas import MIRROR_PREFIX, RELATIONS, WORD_PREFIX
 _RELATION_STEMS = tuple(name.removesuffix("_OF") for name in RELATIONS)
 
 
+# Fixed value: the characters a strip takes off
+WHITE_SPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    map(chr, range(0x2000, 0x200B))
+)
+
+
+def stripped(value: Column) -> Column:
+    """The text without white space of any kind at either end."""
+    return F.btrim(value, F.lit(WHITE_SPACE))
+
+
 def blank_to_null(value: Column) -> Column:
-    return F.nullif(F.trim(value), F.lit(""))
+    return F.nullif(stripped(value), F.lit(""))
 
 
 # Numbers as text: single underscores may stand between digits
@@ -43,7 +54,7 @@ def safe_double(value: Column) -> Column:
 
 def relation_type(text: Column) -> Column:
     """Stored relation name for either spelling (``synonym``, ``SYNONYM_OF``); null if unknown."""
-    name = F.regexp_replace(F.upper(F.trim(text)), "_OF$", "")
+    name = F.regexp_replace(F.upper(stripped(text)), "_OF$", "")
     return F.when(name.isin(*_RELATION_STEMS), F.concat(name, F.lit("_OF")))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordbase.functions.parse import safe_double
-from wordbase.operators.keyed import look_up, one_per_key, without
+from wordbase.operators.keyed import look_up, matching, one_per_key, without
 from wordbase.schemas import FLAT, default_for, empty_like
 
 ORDER = "seq"
@@ -60,8 +60,8 @@ def upsert(lexicon: DataFrame, data: DataFrame) -> DataFrame:
 
 def insert_absent(lexicon: DataFrame, data: DataFrame) -> DataFrame:
     """Add words the lexicon does not have; known words stay as they are."""
-    new = without(complete(_last(data)), lexicon, "word")
-    return lexicon.unionByName(new)
+    rows = complete(_last(data))
+    return lexicon.unionByName(without(rows, matching(lexicon, rows, "word"), "word"))
 
 
 def _entry(data: DataFrame, count: Column) -> tuple[DataFrame, DataFrame]:
@@ -75,9 +75,10 @@ def _entry(data: DataFrame, count: Column) -> tuple[DataFrame, DataFrame]:
 def enter_new(lexicon: DataFrame, data: DataFrame) -> Changed:
     """Manual entry of new words with count 1; known words are refused."""
     entered, bad = _entry(_last(data), F.lit(1).cast("long"))
-    known = entered.join(lexicon.select("word"), "word", "left_semi")
-    refused = known.select("word", F.lit("already exists").alias("reason"))
-    return Changed(insert_absent(lexicon, entered), bad.unionByName(refused))
+    known = matching(lexicon, entered, "word").select("word")
+    refused = matching(entered, known, "word").select("word", F.lit("already exists").alias("reason"))
+    new = complete(without(entered, known, "word"))
+    return Changed(lexicon.unionByName(new), bad.unionByName(refused))
 
 
 def update_fields(lexicon: DataFrame, data: DataFrame) -> Changed:

@@ -17,6 +17,7 @@ from wordbase.functions.parse import (
     mirror_key,
     relation_type,
     safe_double,
+    stripped,
 )
 from wordbase.operators.keyed import last_given, matching, one_per_key, spread_join, without
 from wordbase.operators.lookups import mirror_names
@@ -31,6 +32,13 @@ class Graph(NamedTuple):
     rejects: DataFrame
 
 
+class Deleted(NamedTuple):
+    nodes: DataFrame
+    edges: DataFrame
+    mirror: DataFrame | None
+    rejects: DataFrame
+
+
 class Nodes(NamedTuple):
     nodes: DataFrame
     rejects: DataFrame
@@ -49,9 +57,10 @@ def create_nodes(nodes: DataFrame, new: DataFrame, mirror: DataFrame | None = No
     If a new word comes several times, its first row by ``seq`` is the one created.
     """
     first = one_per_key(new, "name", ORDER, last=False) if ORDER in new.columns else new
-    absent = without(first.select(*NODE.names), nodes, "name")
+    rows = first.select(*NODE.names)
+    absent = without(rows, matching(nodes, rows, "name"), "name")
     if mirror is not None:
-        absent = without(absent, mirror_names(mirror), "name")
+        absent = without(absent, matching(mirror_names(mirror), rows, "name"), "name")
     return nodes.select(*NODE.names).unionByName(absent)
 
 
@@ -98,10 +107,12 @@ def merge_pairs(nodes: DataFrame, edges: DataFrame, pairs: DataFrame) -> Graph:
 
     patch = _folded(side(1).unionByName(side(2)), [ORDER, "side"])
     created = without(patch, matching(nodes, patch, "name"), "name")
-    relations = valid.select(F.col("word1").alias("src"), "rel", F.col("word2").alias("dst"))
+    relations = valid.select(F.col("word1").alias("src"), "rel", F.col("word2").alias("dst")).distinct()
+    # stored relations are unique, so only the new ones are compared
+    there = matching(edges, relations, EDGE.names).select(*EDGE.names)
     return Graph(
         _patched(nodes, patch).unionByName(created.select(*NODE.names)),
-        edges.select(*EDGE.names).unionByName(relations).distinct(),
+        edges.select(*EDGE.names).unionByName(without(relations, there, EDGE.names).select(*EDGE.names)),
         _reject(
             typed.filter(F.col("rel").isNull()), "unknown relation", "word1", "word2", "relationship"
         ),
@@ -133,18 +144,14 @@ def patch_nodes(nodes: DataFrame, patch: DataFrame) -> Nodes:
 
 
 def split_by_ends(patch: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Relation rows whose two words exist, and the others with the reason."""
-    ends = patch.select(F.explode(F.array("src", "dst")).alias("name")).distinct()
-    known = matching(nodes, ends, "name").select("name")
-    src, dst = (known.withColumnRenamed("name", c) for c in ("src", "dst"))
-    checked = spread_join(patch, src.withColumn("has_src", F.lit(True)), "src", "left")
-    checked = spread_join(
-        checked, dst.withColumn("has_dst", F.lit(True)), "dst", "left", patch
-    )
-    reason = F.when(F.col("has_src").isNull(), "unknown word").when(
-        F.col("has_dst").isNull(), "unknown related word"
-    )
-    judged = checked.withColumn("reason", reason)
+    """Relation rows whose two words exist, and the others with the reason. Rows that repeat are one."""
+    sides = F.array(*(F.struct(F.lit(c).alias("side"), F.col(c).alias("name")) for c in ("src", "dst")))
+    ends = patch.select(*patch.columns, F.explode(sides).alias("end")).select(*patch.columns, "end.*")
+    known = matching(nodes, ends.select("name").distinct(), "name").select("name", F.lit(True).alias("known"))
+    checked = spread_join(ends, known, "name", "left")
+    has = {c: F.coalesce(F.bool_or((F.col("side") == c) & F.col("known")), F.lit(False)).alias(f"has_{c}") for c in ("src", "dst")}
+    reason = F.when(~F.col("has_src"), "unknown word").when(~F.col("has_dst"), "unknown related word")
+    judged = checked.groupBy(*patch.columns).agg(*has.values()).withColumn("reason", reason)
     accepted = judged.filter(F.col("reason").isNull()).select(*patch.columns)
     return accepted, judged.filter(F.col("reason").isNotNull()).select("src", "dst", "reason")
 
@@ -174,14 +181,17 @@ def set_relations(nodes: DataFrame, edges: DataFrame, patch: DataFrame) -> Graph
 # --- deletes ------------------------------------------------------------
 
 
-def delete_nodes(nodes: DataFrame, edges: DataFrame, requests: DataFrame) -> Graph:
-    """Delete confirmed words with all relations from and to them.
+def delete_nodes(
+    nodes: DataFrame, edges: DataFrame, requests: DataFrame, mirror: DataFrame | None = None
+) -> Deleted:
+    """Delete confirmed words with all relations from and to them, and their mirror rows.
 
-    ``requests(name, confirm)``: the confirmation has to repeat the word.
+    ``requests(name, confirm)``: the confirmation has to repeat the word. Words that are unknown or not
+    confirmed keep their mirror rows.
     """
     requests = requests.select("name", "confirm").distinct()
     known = matching(nodes, requests, "name").select("name")
-    confirmed = F.coalesce(F.trim("confirm") == F.col("name"), F.lit(False))
+    confirmed = F.coalesce(stripped(F.col("confirm")) == F.col("name"), F.lit(False))
     asked = matching(requests, known, "name")
     doomed = asked.filter(confirmed).select("name").distinct()
     rejects = _reject(without(requests, known, "name"), "unknown word", "name").unionByName(
@@ -190,7 +200,8 @@ def delete_nodes(nodes: DataFrame, edges: DataFrame, requests: DataFrame) -> Gra
     kept = edges
     for end in ("src", "dst"):
         kept = spread_join(kept, doomed.withColumnRenamed("name", end), end, "left_anti", edges)
-    return Graph(without(nodes, doomed, "name"), kept.select(*EDGE.names), rejects)
+    left = None if mirror is None else drop_mirrored(mirror, doomed)
+    return Deleted(without(nodes, doomed, "name"), kept.select(*EDGE.names), left, rejects)
 
 
 def drop_mirrored(mirror: DataFrame, names: DataFrame) -> DataFrame:

@@ -12,9 +12,7 @@ from pyspark.sql import types as T
 
 from wordbase.schemas import rows_to_table
 
-# A key with more than a HOT_PARTS-th of all rows is joined in PIECES pieces.
-HOT_PARTS = 1000
-PIECES = 256
+PIECES_A_PARTITION = 16
 
 
 def as_keys(table: DataFrame, words: DataFrame | list[str], name: str = "word") -> DataFrame:
@@ -49,51 +47,97 @@ def without(table: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame
     return table.join(keys.select(*on), on, "left_anti")
 
 
+def _key(on: list[str]) -> Column:
+    """One number for the key columns, whatever their types; null only if a key is."""
+    keyless = reduce(or_, (F.col(c).isNull() for c in on))
+    return F.when(~keyless, F.xxhash64(*(F.col(c).cast("string") for c in on)))
+
+
+def hot_keys(table: DataFrame, on: list[str], size: str | None = None) -> tuple[dict[int, list[int | None]], int]:
+    """Keys with many rows for one shuffle partition, by the number of pieces each needs; and the size of a piece.
+
+    ``size`` names a column of ``table`` with counts made before; without it the rows are counted.
+
+    Pieces hold a sixteenth of what a partition gets on average, so that they spread evenly; a key with more
+    rows is hot. So there are fewer hot keys than 16 times the partitions, which bounds what is collected here.
+    Numbers of pieces are powers of two; all together they are at most 32 times the partitions. One pass
+    counts the keys and their total.
+    """
+    parts = PIECES_A_PARTITION * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = (
+        table.select(_key(on).alias("key"), *([F.col(size).alias("size")] if size else []))
+        .rollup("key")
+        .agg((F.sum("size") if size else F.count("*")).alias("size"), F.grouping("key").alias("all"))
+        .orderBy(F.desc("all"), F.desc("size"))
+        .limit(parts)
+        .collect()
+    )
+    if not counts or not counts[0]["size"]:
+        return {}, 1
+    target = max(1, -(-counts[0]["size"] // parts))
+    pieces: dict[int, list[int | None]] = {}
+    for row in counts[1:]:
+        if row["size"] > target:
+            pieces.setdefault(1 << (-(-row["size"] // target) - 1).bit_length(), []).append(row["key"])
+    return pieces, target
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     on: str | list[str],
     how: str = "inner",
     sizes_of: DataFrame | None = None,
-    wide_right: bool = False,
+    size: str | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """Join a table whose keys repeat, possibly a third of it with the same key, to one with
     unique keys (for ``left_semi`` and ``left_anti`` the keys may repeat on both sides).
 
-    Keys with more than a thousandth of the rows are hot: there are fewer than a thousand of
-    them, which bounds what is broadcast here. Their rows are cut by hash into pieces, and the
-    right side's row is copied to each piece. Rows without a key match nothing and are spread
-    alike. Adaptive execution cannot be relied on for this: it splits a side only if the other
-    comes straight out of a shuffle, not out of an aggregate.
+    Keys are counted first, on ``left`` or on the table ``sizes_of``, by rows or by its column ``size``. Rows of hot
+    keys are cut by hash into pieces, and the right side's row is copied to each piece; rows without a
+    key match nothing and are only spread. Without a hot key this is a plain join. Adaptive execution
+    cannot be relied on for this: it splits a side only if the other comes straight out of a shuffle, not out
+    of an aggregate.
+
+    ``repeats`` says that whole rows may repeat, as in a list of titles: equal rows are then counted before the join, cut
+    into pieces by their number, and repeated after it.
 
-    Both sides keep a size Spark can estimate, so it still broadcasts a short one instead of
-    shuffling the other. ``wide_right`` reads the right side once instead of twice, for sides that
-    are too wide to be short. Key sizes are counted on ``left``, or on the table ``sizes_of``
-    that it was narrowed from, which saves planning the narrowing again.
+    Each side is read once here and keeps a size Spark can estimate, so Spark still broadcasts a short
+    side instead of shuffling the other.
     """
     on = [on] if isinstance(on, str) else on
-    sizes = (left if sizes_of is None else sizes_of).groupBy(*on).agg(F.count("*").alias("_size"))
-    total = sizes.agg(F.sum("_size")).scalar()
-    keys = sizes.filter(F.col("_size") * HOT_PARTS > total).select(*on)
-    hot = F.broadcast(keys)
-
-    piece = F.pmod(F.xxhash64(*left.columns), F.lit(PIECES)).cast("int")
-    keyless = reduce(or_, (F.col(c).isNull() for c in on))
-    calm = left.join(hot, on, "left_anti").withColumn(
-        "_piece", F.when(keyless, piece).otherwise(0)
-    )
-    cut = calm.unionByName(left.join(hot, on, "left_semi").withColumn("_piece", piece))
-
-    if wide_right:
-        marked = right.join(F.broadcast(keys.withColumn("_hot", F.lit(True))), on, "left")
-        pieces = F.sequence(F.lit(0), F.when(F.col("_hot"), PIECES - 1).otherwise(0))
-        copied = marked.withColumn("_piece", F.explode(pieces)).drop("_hot")
-    else:
-        more = F.explode(F.sequence(F.lit(1), F.lit(PIECES - 1)))
-        copied = right.withColumn("_piece", F.lit(0)).unionByName(
-            right.join(hot, on, "left_semi").withColumn("_piece", more)
-        )
-    return cut.join(copied, [*on, "_piece"], how).drop("_piece")
+    hot, target = hot_keys(left if sizes_of is None else sizes_of, on, size)
+    if not hot:
+        return left.join(right, on, how)
+
+    def pieces(known: bool) -> Column:
+        """The number of pieces of a row's key."""
+        value = F.lit(1)
+        for n, keys in hot.items():
+            given = [k for k in keys if k is not None]
+            if given:
+                value = F.when(_key(on).isin(given), n).otherwise(value)
+            if known and None in keys:
+                value = F.when(_key(on).isNull(), n).otherwise(value)
+        return value
+
+    names, cut = left.columns, left
+    if repeats:
+        counted = left.groupBy(*names).agg(F.count("*").alias("_times"))
+        part = F.posexplode(F.sequence(F.lit(1).cast("long"), F.col("_times"), F.lit(target).cast("long")))
+        cut = counted.select("*", part.alias("_part", "_from")).withColumn(
+            "_times", F.least(F.col("_times") - F.col("_from") + 1, F.lit(target).cast("long"))
+        ).drop("_from")
+    shift = F.col("_part") if repeats else F.lit(0)
+    # halves of hashes, so that adding the part cannot overflow
+    piece = F.pmod(F.shiftright(F.xxhash64(*names), 1) + shift, pieces(True)).cast("int")
+    cut = cut.withColumn("_piece", piece)
+    copied = right.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces(False) - 1)))
+    joined = cut.join(copied, [*on, "_piece"], how)
+    if repeats:
+        joined = joined.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).drop("_time", "_times", "_part")
+    return joined.drop("_piece")
 
 
 def look_up(keys: DataFrame, table: DataFrame, on: str = "word") -> DataFrame:

@@ -144,6 +144,24 @@ def neighbours(
     )
 
 
+def word_cards(words: DataFrame | list[str], nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """Properties of each word in the graph, with one row per relation it has (or one row without).
+
+    Words the graph does not have give no row.
+    """
+    keys = as_keys(nodes, words, "name")
+    known = matching(nodes, keys, "name").select(*NODE.names)
+    own = known.select(F.col("name").alias("src"), *NODE_PROPERTIES)
+    wanted = spread_join(edges, own.select("src"), "src", "left_semi")
+    having = spread_join(wanted, own, "src", sizes_of=edges).select(
+        F.col("src").alias("name"), *NODE_PROPERTIES, F.col("rel").alias("relationship"), F.col("dst").alias("related_name")
+    )
+    alone = own.join(wanted.select("src").distinct(), "src", "left_anti").select(
+        F.col("src").alias("name"), *NODE_PROPERTIES, *(F.lit(None).cast("string").alias(c) for c in ("relationship", "related_name"))
+    )
+    return having.unionByName(alone)
+
+
 def read_through(
     words: DataFrame | list[str], mirror: DataFrame, nodes: DataFrame
 ) -> tuple[DataFrame, DataFrame]:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+from fractions import Fraction
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,32 +57,59 @@ def graph_summary(edges: DataFrame, relation: str) -> DataFrame:
     return size.select(F.lit(relation_name(relation)).alias("relation"), "nodes", "edges")
 
 
-def degree_clusters(
-    node_degrees: DataFrame, k: int = 3, seed: int = 1, restarts: int = 3
-) -> DataFrame:
+def best_ranges(histogram: list[tuple[int, int]], k: int) -> list[int]:
+    """The upper ends of the ``k`` ranges of values with the least squared distance to their means.
+
+    ``histogram`` is sorted (value, weight). Best clusters of numbers are ranges, so the best ones come from a table: the least
+    cost of the first values in so many ranges, in n log n steps for each range. Fewer values than ranges are a range each.
+    """
+    values = [v for v, _ in histogram]
+    weight, total, squares = [0], [0], [0]
+    for value, n in histogram:
+        weight.append(weight[-1] + n)
+        total.append(total[-1] + n * value)
+        squares.append(squares[-1] + n * value * value)
+
+    def cost(i: int, j: int) -> Fraction:
+        n, s = weight[j] - weight[i], total[j] - total[i]
+        return squares[j] - squares[i] - Fraction(s * s, n)
+
+    count = len(values)
+    k = min(k, count)
+    best: list[Fraction] = [Fraction(0), *(cost(0, j) for j in range(1, count + 1))]
+    cuts: list[list[int]] = []
+    for parts in range(2, k + 1):
+        now, cut = [Fraction(0)] * (count + 1), [0] * (count + 1)
+        # the best last cut never moves back as more values come in, so halves can be searched apart
+        open_ = [(parts, count, parts - 1, count - 1)]
+        while open_:
+            low, high, first, last = open_.pop()
+            if low > high:
+                continue
+            j = (low + high) // 2
+            now[j], cut[j] = min((best[i] + cost(i, j), i) for i in range(first, min(last, j - 1) + 1))
+            open_ += [(low, j - 1, first, cut[j]), (j + 1, high, cut[j], last)]
+        best = now
+        cuts.append(cut)
+    ends = [count] if values else []
+    for cut in reversed(cuts):
+        ends.append(cut[ends[-1]])
+    return [values[j - 1] for j in reversed(ends)]
+
+
+def degree_clusters(node_degrees: DataFrame, k: int = 3) -> DataFrame:
     """Nodes with the cluster of their degree; clusters are numbered by rising degree.
 
-    Equal degrees always share a cluster, so k-means is fitted on the distinct degrees weighted
-    by their number of nodes: the objective is the same and the input no longer grows with the
-    graph. The best of a few restarts is used. In one dimension nearest centre means between two
-    midpoints, so labelling is a plain expression over the degrees. The degrees are written once,
-    because both steps read them.
+    Equal degrees always share a cluster, so the clusters are found on the distinct degrees weighted
+    by their number of nodes, as the exact solution in one dimension. n distinct degrees need at least n * n / 4 edges,
+    so the histogram stays short. The degrees are written once, because both steps read them.
     """
     node_degrees = stored(node_degrees.select("node", "degree"), "degrees")
-    histogram = node_degrees.groupBy("degree").agg(F.count("*").alias("nodes"))
-    # n distinct degrees need at least n * n / 4 edges, so the histogram stays small; one sorted
-    # piece makes the fit repeatable
-    histogram = stored(histogram.repartition(1).sortWithinPartitions("degree"), "histogram")
-    features = VectorAssembler(inputCols=["degree"], outputCol="features").transform(histogram)
-    models = [
-        KMeans(k=k, seed=seed + i, weightCol="nodes", maxIter=50, tol=0.0).fit(features)
-        for i in range(restarts)
-    ]
-    best = min(models, key=lambda model: model.summary.trainingCost)
-    centres = sorted(float(centre[0]) for centre in best.clusterCenters())
+    rows = node_degrees.groupBy("degree").agg(F.count("*").alias("nodes")).collect()
+    ends = best_ranges(sorted((r["degree"], r["nodes"]) for r in rows), k)
     cluster = F.lit(0)
-    for low, high in zip(centres, centres[1:]):
-        cluster = cluster + (F.col("degree") > (low + high) / 2).cast("int")
+    for end in ends[:-1]:
+        cluster = cluster + (F.col("degree") > end).cast("int")
     return node_degrees.select("node", "degree", cluster.alias("cluster"))
 
 

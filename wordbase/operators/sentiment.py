@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wordbase.functions.scoring import neutral_band
 from wordbase.functions.text import capitalised, percent_text
-from wordbase.operators.keyed import as_keys, look_up, without
+from wordbase.operators.keyed import as_keys, look_up, matching, without
 from wordbase.schemas import (
     FREQUENCY,
     NO_SCORE,
@@ -106,4 +106,4 @@ def word_sentiment(
             for c in ("sentiment", "sentiment_scores")
         ),
     )
-    return found, without(keys, lexicon, "word")
+    return found, without(keys, matching(lexicon, keys, "word"), "word")

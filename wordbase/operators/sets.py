@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordbase.operators.keyed import without
+from wordbase.operators.keyed import matching, without
 from wordbase.operators.records import append_records, build_lexicon, shape_records
 from wordbase.operators.tokens import word_counts
 from wordbase.schemas import COMPLETED
@@ -15,9 +15,14 @@ from wordbase.sources import runs
 
 
 def new_words(batch: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """Distinct words of the batch that the lexicon does not have; nulls compare equal."""
-    # distinct first: the set difference then moves each word once, not once per occurrence
-    return batch.select("word").distinct().subtract(lexicon.select("word"))
+    """Distinct words of the batch that the lexicon does not have; nulls compare equal.
+
+    The lexicon is narrowed to the batch's words first: a short batch is broadcast, and the lexicon only scanned.
+    """
+    words = batch.select("word").distinct()
+    same = F.col("lexicon.word").eqNullSafe(F.col("words.word"))
+    known = lexicon.select("word").alias("lexicon").join(words.alias("words"), same, "left_semi")
+    return words.subtract(known)
 
 
 def new_word_counts(batch: DataFrame, lexicon: DataFrame, frequency: str = "reference") -> DataFrame:
@@ -29,7 +34,8 @@ def new_word_counts(batch: DataFrame, lexicon: DataFrame, frequency: str = "refe
     if frequency == "reference":
         return word_counts(new_words(batch, lexicon))
     if frequency == "corpus":
-        return without(batch.select("word", "count"), lexicon, "word")
+        rows = batch.select("word", "count")
+        return without(rows, matching(lexicon, rows, "word"), "word")
     raise ValueError("frequency must be 'reference' or 'corpus'")
 
 

@@ -11,10 +11,10 @@ import re
 from wordbase.plans.stand_ins import (
     ADJECTIVE_ENDINGS,
     ADVERB_ENDINGS,
+    ASKED,
     ENDINGS,
-    FUNCTION_WORD_COUNT,
+    FUNCTION_WORD_LENGTH,
     NEGATIONS,
-    NODE_MIN_COUNT,
     NOUN_ENDINGS,
     VERB_ENDINGS,
 )
@@ -37,12 +37,12 @@ def _tokens(columns: str, table: str) -> str:
         ) WHERE regexp_full_match(word, '[a-z]{{2,}}')"""
 
 
-def _pos(word: str, count: str) -> str:
+def _pos(word: str) -> str:
     return f"""CASE WHEN {_ends(word, NOUN_ENDINGS)} THEN 'noun'
         WHEN {_ends(word, ADVERB_ENDINGS)} THEN 'adverb'
         WHEN {_ends(word, VERB_ENDINGS)} THEN 'verb'
         WHEN {_ends(word, ADJECTIVE_ENDINGS)} THEN 'adjective'
-        WHEN {count} >= {FUNCTION_WORD_COUNT} THEN 'function' END"""
+        WHEN length({word}) <= {FUNCTION_WORD_LENGTH} THEN 'function' END"""
 
 
 def _band(label: str, score: str) -> str:
@@ -70,7 +70,7 @@ VIEWS = {
     "batch_scored": f"""SELECT word, "count", {_band("label", "score")}
         FROM batch_counts JOIN scores USING (word)""",
     "completed_rows": f"""SELECT word, "count", sentiment, sentiment_score,
-        'm_' || word AS meaning, {_pos("word", '"count"')} AS "POS" FROM scored""",
+        'm_' || word AS meaning, {_pos("word")} AS "POS" FROM scored""",
     "records": f"""
         SELECT word, "count", sentiment, sentiment_score AS sentiment_scores, {_DASHES},
             meaning, "POS" AS pos, 1::BIGINT AS seq FROM completed_rows
@@ -81,10 +81,10 @@ VIEWS = {
     "lexicon": """SELECT word, "count", meaning, coalesce(pos, '-') AS pos, sentiment,
         sentiment_scores, synonyms, antonyms, hypernyms, meronyms FROM records
         QUALIFY row_number() OVER (PARTITION BY word ORDER BY seq DESC) = 1""",
-    "nodes": f"""SELECT word AS name, {_pos("word", '"count"')} AS "POS", sentiment, sentiment_score,
-        'm_' || word AS meaning FROM scored WHERE "count" >= {NODE_MIN_COUNT}""",
-    "batch_nodes": f"""SELECT word AS name, {_pos("word", '"count"')} AS "POS", sentiment,
-        sentiment_score, 'c_' || word AS meaning FROM batch_scored""",
+    "nodes": f"""SELECT word AS name, {_pos("word")} AS "POS", sentiment, sentiment_score,
+        'm_' || word AS meaning FROM scored""",
+    "batch_nodes": f"""SELECT word AS name, {_pos("word")} AS "POS", sentiment,
+        sentiment_score, CASE WHEN length(word) % 2 = 0 THEN 'm_' ELSE 'c_' END || word AS meaning FROM batch_scored""",
     "possible_edges": f"""
         SELECT word AS src, 'HYPERNYM_OF' AS rel, left(word, length(word) - length(e)) AS dst
         FROM counts, (SELECT unnest([{_list(ENDINGS)}]) AS e)
@@ -111,7 +111,7 @@ VIEWS = {
             WHEN word LIKE '%t' THEN '?' ELSE 'Y' END AS is_correct,
         CASE WHEN word LIKE 'a%' THEN 'N' WHEN word LIKE 'o%' THEN '?' ELSE 'Y' END AS proceed
         FROM batch_scored""",
-    "outcomes": """SELECT word, c.count AS stored, CASE
+    "outcomes": """SELECT e.*, c.count AS stored, CASE
             WHEN c.word IS NULL AND e.sentiment_scores IS NULL THEN 'score is no number'
             WHEN c.word IS NULL THEN 'inserted'
             WHEN is_correct = 'Y' THEN 'kept'
@@ -155,19 +155,16 @@ VIEWS = {
         FROM (SELECT a AS node FROM meronyms UNION ALL SELECT b FROM meronyms) GROUP BY node""",
     "degree_histogram": "SELECT degree, count(*) AS n FROM degrees GROUP BY degree",
     # the best of all ways to cut the degrees into three ranges
-    "best_cut": """SELECT lo, hi FROM (
-            SELECT lo, hi, part, sum(n * degree * degree) - sum(n * degree) ** 2 / sum(n) AS cost
-            FROM (SELECT a.degree AS lo, b.degree AS hi, h.degree, h.n::DOUBLE AS n,
-                    CASE WHEN h.degree <= a.degree THEN 0 WHEN h.degree <= b.degree THEN 1 ELSE 2 END AS part
-                FROM degree_histogram a JOIN degree_histogram b ON a.degree < b.degree
-                JOIN degree_histogram h ON true
-                WHERE b.degree < (SELECT max(degree) FROM degrees))
-            GROUP BY ALL)
-        GROUP BY lo, hi ORDER BY sum(cost), lo, hi LIMIT 1""",
+    "running": """SELECT degree, sum(n) OVER w AS c, sum(n * degree) OVER w AS s, sum(n * degree * degree) OVER w AS q
+        FROM (SELECT degree, n::DOUBLE AS n FROM degree_histogram) WINDOW w AS (ORDER BY degree)""",
+    "best_cut": """SELECT a.degree AS lo, b.degree AS hi
+        FROM running a JOIN running b ON a.degree < b.degree
+        JOIN (SELECT * FROM running ORDER BY degree DESC LIMIT 1) t ON b.degree < t.degree
+        ORDER BY (a.q - a.s * a.s / a.c) + (b.q - a.q - (b.s - a.s) ** 2 / (b.c - a.c))
+            + (t.q - b.q - (t.s - b.s) ** 2 / (t.c - b.c)), lo, hi LIMIT 1""",
     "clusters": """SELECT node, degree, CASE WHEN degree <= (SELECT lo FROM best_cut) THEN 0
             WHEN degree <= (SELECT hi FROM best_cut) THEN 1 ELSE 2 END AS cluster FROM degrees""",
-    "new_words_only": """SELECT word, "count" FROM batch_counts
-        WHERE word NOT IN (SELECT word FROM counts)""",
+    "new_words_only": """SELECT word, b."count" FROM batch_counts b ANTI JOIN counts USING (word)""",
     "keys_left": """SELECT 'lexicon:' || word AS key FROM batch_counts
         WHERE NOT regexp_full_match(word, '[a-e].*.n')""",
 }
@@ -179,7 +176,7 @@ _POS_TABLE = """
         FROM nodes GROUP BY 1)"""
 
 _REPLACED = f"""
-    SELECT {_ROUNDED} FROM corpus_lexicon WHERE word NOT IN (SELECT word FROM patch)
+    SELECT {_ROUNDED} FROM corpus_lexicon ANTI JOIN patch USING (word)
     UNION ALL SELECT {_FLAT} FROM patch"""
 
 
@@ -252,8 +249,10 @@ ORACLES = {
         SELECT * REPLACE (round(sentiment_scores, 6) AS sentiment_scores) FROM records
         ORDER BY "count", word, seq LIMIT 1""",
     "records_json": """
-        SELECT to_json({'word': word, 'count': "count", 'meaning': meaning, 'pos': pos, 'seq': seq})::VARCHAR
-            AS json FROM records""",
+        SELECT to_json({'word': word, 'count': "count", 'annotation': {'sentiment': sentiment,
+                'sentiment_scores': round(100 * round(sentiment_scores, 2))::BIGINT, 'synonyms': synonyms,
+                'antonyms': antonyms, 'hypernyms': hypernyms, 'meronyms': meronyms},
+            'meaning': meaning, 'pos': pos, 'seq': seq})::VARCHAR AS json FROM records""",
     "pos_segment": "SELECT pos, count(*) AS words FROM lexicon WHERE pos <> '' GROUP BY pos",
     "sentiment_proportion": """
         SELECT sentiment, upper(left(sentiment, 1)) || substring(sentiment, 2) AS label, words,
@@ -294,6 +293,10 @@ ORACLES = {
             coalesce(round(sentiment_scores, 2)::VARCHAR, 'N/A') AS sentiment_scores
         FROM (SELECT DISTINCT word FROM word_list) LEFT JOIN lexicon l USING (word)""",
     "sentiment_lookup_unknown": "SELECT word FROM new_words_only",
+    "word_list_lookup": f"""
+        SELECT word, asked, coalesce("count", 0) AS "count"
+        FROM (SELECT word, count(*) AS asked FROM (SELECT unnest([{_list(ASKED)}]) AS word) GROUP BY word)
+        LEFT JOIN lexicon USING (word)""",
     "coverage_words": "SELECT word, occurrences, in_mirror OR in_graph AS found FROM existence",
     "coverage_percent": """
         SELECT asked, found, round(100.0::DOUBLE * found / asked, 6) AS coverage,
@@ -313,8 +316,13 @@ ORACLES = {
         UNION ALL SELECT {_NODE} FROM batch_nodes WHERE name NOT IN (SELECT name FROM nodes)""",
     "mirror_refresh_report": "SELECT count(*) AS records, count(name) AS written FROM nodes",
     "store_compare": """
-        SELECT w.word, b.meaning AS mirror_meaning, b.sentiment AS mirror_sentiment,
-            n."POS" AS part_of_speech, n.meaning AS definition, b.name IS NULL AND n.name IS NULL AS agree
+        SELECT w.word, b."POS" AS mirror_pos, b.sentiment AS mirror_sentiment,
+            round(b.sentiment_score, 6) AS mirror_sentiment_score, b.meaning AS mirror_meaning,
+            n."POS" AS part_of_speech, n.sentiment AS graph_sentiment,
+            round(n.sentiment_score, 6) AS graph_sentiment_score, n.meaning AS definition,
+            (b.name IS NULL) = (n.name IS NULL) AND b."POS" IS NOT DISTINCT FROM n."POS"
+                AND b.sentiment IS NOT DISTINCT FROM n.sentiment AND b.meaning IS NOT DISTINCT FROM n.meaning
+                AND b.sentiment_score IS NOT DISTINCT FROM n.sentiment_score AS agree
         FROM (SELECT DISTINCT word FROM word_list) w
         LEFT JOIN batch_nodes b ON b.name = w.word LEFT JOIN nodes n ON n.name = w.word""",
     "read_through": """
@@ -337,6 +345,9 @@ ORACLES = {
         FROM edges JOIN nodes ON dst = name WHERE src IN (SELECT word FROM word_list)""",
     "neighbours_all": """
         SELECT src AS word, rel AS relationship, name AS related_name FROM edges JOIN nodes ON dst = name""",
+    "word_card": f"""
+        SELECT {_NODE}, rel AS relationship, dst AS related_name FROM nodes LEFT JOIN edges ON src = name
+        WHERE name IN (SELECT word FROM word_list)""",
     "related_words_top": """
         SELECT src AS word, dst AS related FROM edges
         WHERE rel = 'SYNONYM_OF' AND src IN (
@@ -392,19 +403,19 @@ ORACLES = {
         WITH patch AS (
             SELECT word, coalesce(c."count", 0) AS "count", meaning, pos, sentiment, sentiment_scores,
                 synonyms, antonyms, hypernyms, meronyms
-            FROM entries LEFT JOIN counts c USING (word) WHERE sentiment_scores IS NOT NULL)
+            FROM (SELECT * FROM entries WHERE sentiment_scores IS NOT NULL) LEFT JOIN counts c USING (word))
         {_REPLACED}""",
     "corrections": f"""
         WITH patch AS (
             SELECT word, CASE WHEN outcome = 'inserted' THEN 1 ELSE stored END AS "count", meaning, pos,
                 sentiment, sentiment_scores, synonyms, antonyms, hypernyms, meronyms
-            FROM entries JOIN outcomes USING (word) WHERE outcome IN ('inserted', 'updated'))
+            FROM outcomes WHERE outcome IN ('inserted', 'updated'))
         {_REPLACED}""",
     "correction_outcomes": "SELECT word, outcome FROM outcomes",
     # graph changes
     "create_nodes": f"""
         SELECT {_NODE} FROM nodes
-        UNION ALL SELECT {_NODE} FROM batch_nodes WHERE name NOT IN (SELECT name FROM nodes)""",
+        UNION ALL SELECT {_NODE} FROM batch_nodes ANTI JOIN nodes USING (name) WHERE length('lexicon:' || name) % 2 = 1""",
     "merge_pairs_nodes": """
         SELECT name, coalesce(p."POS", n."POS") AS "POS", sentiment,
             round(sentiment_score, 6) AS sentiment_score, coalesce(p.meaning, n.meaning) AS meaning
@@ -441,15 +452,16 @@ ORACLES = {
         FROM requests WHERE NOT confirmed OR name NOT IN (SELECT name FROM nodes)""",
     "delete_mirrored": """
         SELECT 'lexicon:' || word AS key FROM batch_counts
-        WHERE word NOT IN (SELECT word FROM word_list)""",
+        WHERE word NOT IN (SELECT name FROM doomed)""",
     "delete_keys": "SELECT key FROM keys_left",
     "delete_keys_report": """
         SELECT (SELECT count(*) FROM batch_counts) - count(*) AS deleted FROM keys_left""",
     "node_csv_import": f"""
         SELECT {_NODE} FROM nodes
         UNION ALL
-        SELECT name, coalesce("POS", ''), sentiment, round(sentiment_score, 6), meaning
-        FROM batch_nodes WHERE name NOT IN (SELECT name FROM nodes)""",
+        SELECT name, coalesce("POS", ''), sentiment, round(sentiment_score, 6),
+            CASE WHEN name LIKE '%e' THEN 'a "b",' || chr(10) || meaning ELSE meaning END
+        FROM batch_nodes ANTI JOIN nodes USING (name)""",
 }
 
 

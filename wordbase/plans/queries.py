@@ -24,10 +24,10 @@ from wordbase.operators import (
     stats,
     tokens,
 )
-from wordbase.operators.keyed import one_per_key
-from wordbase.plans.stand_ins import Inputs
+from wordbase.operators.keyed import listed
+from wordbase.plans.stand_ins import ASKED, Inputs
 from wordbase.runtime import scratch_path
-from wordbase.schemas import COMPLETED, FLAT, FREQUENCY, NODE, SCORED
+from wordbase.schemas import NODE, NODE_PROPERTIES, SCORED
 from wordbase.sources import articles, csv, messages, runs, stores
 from wordbase.streaming import clean
 
@@ -82,8 +82,9 @@ def category_titles_one(i):
 @query()
 def titles_text(i):
     """Texts of all article titles; page addresses are titles without an article."""
-    titles = _articles(i).unionByName(i.table("pages").select(F.col("url").alias("title")))
-    return articles.article_texts(titles, _articles(i, "text"), unique=True)
+    addresses = i.table("pages").select(F.col("url").alias("title"), F.lit(None).cast("string").alias("category"))
+    titles = _articles(i, "source").unionByName(addresses)
+    return articles.article_texts(titles, _articles(i, "source", "text"), unique=True).select("title", "text")
 
 
 @query()
@@ -108,10 +109,10 @@ def stream_word_count(i):
     """Publish the title lists, clean them as a stream, add the messages of a category up."""
     root = scratch_path(i.spark, "stream")
     sent = messages.title_messages(_articles(i, "source"))
-    messages.write_messages(sent.select("message_id", "value"), f"{root}/messages")
+    messages.write_messages(sent, f"{root}/messages")
     clean.clean_messages(
         clean.read_messages(i.spark, f"{root}/messages"),
-        _articles(i, "text"),
+        _articles(i, "source", "text"),
         root,
         STAMP,
         OWNER,
@@ -226,9 +227,10 @@ def least_common_word(i):
 
 @query()
 def records_json(i):
-    """Every record as JSON text."""
-    rows = i.records.select("word", "count", "meaning", "pos", "seq")
-    return lookups.record_json(rows)
+    """Every record as JSON text, its annotation included; scores in hundredths."""
+    score = (100 * F.round("annotation.sentiment_scores", 2)).cast("long")
+    whole = i.records.withColumn("annotation", F.col("annotation").withField("sentiment_scores", score))
+    return lookups.record_json(whole, "word", "count", "annotation", "meaning", "pos", "seq")
 
 
 @query()
@@ -352,15 +354,25 @@ def mirror_refresh_report(i):
 
 @query()
 def store_compare(i):
+    """Every property of the listed words in both stores."""
     both = lookups.compare_stores(i.word_list, i.mirror, i.nodes)
-    return both.select(
+    flat = both.select(
         "word",
-        F.col("mirror_data.meaning").alias("mirror_meaning"),
-        F.col("mirror_data.sentiment").alias("mirror_sentiment"),
+        *(F.col(f"mirror_data.{c}").alias(f"mirror_{c.lower()}") for c in NODE_PROPERTIES),
         F.col("graph_data.part_of_speech"),
+        F.col("graph_data.sentiment").alias("graph_sentiment"),
+        F.col("graph_data.sentiment_score").alias("graph_sentiment_score"),
         F.col("graph_data.definition"),
         "agree",
     )
+    return _rounded(flat, "mirror_sentiment_score", "graph_sentiment_score")
+
+
+@query()
+def word_list_lookup(i):
+    """Counts of words that come as a list of the caller, in the order asked."""
+    asked = listed(i.lexicon, ASKED)
+    return asked.groupBy("word").agg(F.count("*").alias("asked")).join(lookups.stored_counts(i.lexicon, ASKED), "word")
 
 
 @query()
@@ -399,6 +411,12 @@ def neighbours_all(i):
     return found.select("word", "relationship", F.col("related.name").alias("related_name"))
 
 
+@query("counts", "edges")
+def word_card(i):
+    """Properties of the listed words with their relations: one row each, one without for a word that has none."""
+    return _rounded(lookups.word_cards(i.word_list, i.nodes, i.edges), "sentiment_score")
+
+
 @query("counts")
 def related_words_top(i):
     return network.related_words(i.edges, "synonym")
@@ -554,8 +572,9 @@ def correction_outcomes(i):
 
 @query("counts", "batch_counts")
 def create_nodes(i):
-    """Batch words become nodes unless the graph has them."""
-    return _rounded(graph_changes.create_nodes(i.nodes, i.batch_nodes), "sentiment_score")
+    """Batch words become nodes unless the graph or the mirror has them; half of the mirror is there yet."""
+    filled = i.mirror.filter(F.length("key") % 2 == 0)
+    return _rounded(graph_changes.create_nodes(i.nodes, i.batch_nodes, filled), "sentiment_score")
 
 
 @query("counts", "pairs")
@@ -610,11 +629,10 @@ def delete_rejects(i):
     return graph_changes.delete_nodes(i.nodes, i.edges, i.delete_requests).rejects
 
 
-@query()
+@query("counts")
 def delete_mirrored(i):
-    """Mirror keys left after the listed words are dropped."""
-    names = i.delete_requests.select("name")
-    return graph_changes.drop_mirrored(i.mirror, names).select("key")
+    """Mirror keys left after the confirmed words are deleted."""
+    return graph_changes.delete_nodes(i.nodes, i.edges, i.delete_requests, i.mirror).mirror.select("key")
 
 
 @query()
@@ -631,10 +649,9 @@ def delete_keys_report(i):
 
 @query()
 def node_csv_import(i):
-    """Batch nodes written as CSV and imported into the graph."""
+    """Batch nodes, some with a line break or a quote in their meaning, written as CSV and imported into the graph."""
     path = scratch_path(i.spark, "nodes")
-    exported = i.batch_nodes.withColumnRenamed("name", "word")
-    csv.write_csv(exported, path)
-    return _rounded(
-        graph_changes.create_nodes(i.nodes, csv.read_node_csv(i.spark, path)), "sentiment_score"
-    )
+    broken = F.when(F.col("name").endswith("e"), F.concat(F.lit('a "b",\n'), "meaning")).otherwise(F.col("meaning"))
+    csv.write_csv(i.batch_nodes.withColumn("meaning", broken).withColumnRenamed("name", "word"), path)
+    read = csv.read_node_csv(i.spark, path, multi_line=True)
+    return _rounded(graph_changes.create_nodes(i.nodes, read), "sentiment_score")

@@ -25,7 +25,7 @@ from wordbase.operators.lookups import node_json
 from wordbase.operators.records import append_records, build_lexicon, shape_records
 from wordbase.operators.sentiment import score_sentiment
 from wordbase.operators.tokens import token_rows, word_counts
-from wordbase.runtime import spread, stored
+from wordbase.runtime import stored
 from wordbase.schemas import EDGE
 
 # The given tables the queries read; declared, so that no file is opened to plan a query
@@ -43,21 +43,22 @@ VERB_ENDINGS = ("ing", "ed")
 ADJECTIVE_ENDINGS = ("able", "ble", "less", "ful")
 ENDINGS = NOUN_ENDINGS + ADVERB_ENDINGS + VERB_ENDINGS + ADJECTIVE_ENDINGS
 NEGATIONS = ("un", "in", "non")
-FUNCTION_WORD_COUNT = 50
-NODE_MIN_COUNT = 2
+FUNCTION_WORD_LENGTH = 3
+# A list of words as a caller gives it, repeats and unknown words among them
+ASKED = ["the", "that", "tion", "die", "und", "que", "les", "thing", "the", "nosuchword"]
 
 
 def _ends(word: Column, endings) -> Column:
     return word.rlike(f"({'|'.join(endings)})$")
 
 
-def pos_rule(word: Column, count: Column) -> Column:
+def pos_rule(word: Column) -> Column:
     return (
         F.when(_ends(word, NOUN_ENDINGS), "noun")
         .when(_ends(word, ADVERB_ENDINGS), "adverb")
         .when(_ends(word, VERB_ENDINGS), "verb")
         .when(_ends(word, ADJECTIVE_ENDINGS), "adjective")
-        .when(count >= FUNCTION_WORD_COUNT, "function")
+        .when(F.length(word) <= FUNCTION_WORD_LENGTH, "function")
     )
 
 
@@ -84,7 +85,7 @@ def stems(words: DataFrame) -> DataFrame:
 def _relation_text(ending: Column) -> Column:
     return (
         F.when(ending.isin(*NOUN_ENDINGS), " synonym ")
-        .when(ending.isin(*VERB_ENDINGS), "Hyponym_Of")
+        .when(ending.isin(*VERB_ENDINGS), "\tHyponym_Of\n")
         .when(ending.isin(*ADVERB_ENDINGS), "related")
         .otherwise("HOLONYM_OF")
     )
@@ -110,7 +111,7 @@ class Inputs:
 
     def documents(self, *columns: str) -> DataFrame:
         """Documents with the named columns, the key first."""
-        return spread(self.table("documents").select("doc_id", *columns), "doc_id")
+        return self.table("documents").select("doc_id", *columns)
 
     @view
     def counts(self) -> DataFrame:
@@ -147,7 +148,7 @@ class Inputs:
     @view
     def completed_rows(self) -> DataFrame:
         """Completed annotation rows of the corpus."""
-        word, count = F.col("word"), F.col("count")
+        word = F.col("word")
         return self.scored.select(
             "word",
             "count",
@@ -155,7 +156,7 @@ class Inputs:
             "sentiment_score",
             *(F.lit("-").alias(c) for c in ("synonym", "antonyms", "hypernyms", "meronyms")),
             F.concat(F.lit("m_"), word).alias("meaning"),
-            pos_rule(word, count).alias("POS"),
+            pos_rule(word).alias("POS"),
         )
 
     @view
@@ -185,29 +186,26 @@ class Inputs:
 
     @view
     def nodes(self) -> DataFrame:
-        """Corpus words seen more than once."""
-        frequent = self.counts.filter(F.col("count") >= NODE_MIN_COUNT)
-        word, count = F.col("word"), F.col("count")
-        return (
-            score_sentiment(frequent, self.scores)
-            .select(
-                word.alias("name"),
-                pos_rule(word, count).alias("POS"),
-                "sentiment",
-                "sentiment_score",
-                F.concat(F.lit("m_"), word).alias("meaning"),
-            )
+        """All corpus words."""
+        word = F.col("word")
+        return self.scored.select(
+            word.alias("name"),
+            pos_rule(word).alias("POS"),
+            "sentiment",
+            "sentiment_score",
+            F.concat(F.lit("m_"), word).alias("meaning"),
         )
 
     @view
     def batch_nodes(self) -> DataFrame:
-        word, count = F.col("word"), F.col("count")
+        """Words of the batch; those with an even number of letters mean the same as in the corpus."""
+        word = F.col("word")
         return self.batch_scored.select(
             word.alias("name"),
-            pos_rule(word, count).alias("POS"),
+            pos_rule(word).alias("POS"),
             "sentiment",
             "sentiment_score",
-            F.concat(F.lit("c_"), word).alias("meaning"),
+            F.concat(F.when(F.length(word) % 2 == 0, "m_").otherwise("c_"), word).alias("meaning"),
         )
 
     @view
@@ -298,7 +296,7 @@ class Inputs:
         word = F.col("name")
         return self.batch_nodes.select(
             "name",
-            F.when(word.endswith("n"), " ").otherwise("patched").alias("POS"),
+            F.when(word.endswith("n"), " \t\n").otherwise("patched").alias("POS"),
             F.lit("").alias("sentiment"),
             F.when(word.endswith("e"), "bad").when(word.endswith("s"), "").otherwise("0.9").alias("sentiment_score"),
             F.concat(F.lit("p_"), word).alias("meaning"),
@@ -338,5 +336,5 @@ class Inputs:
             self.word_list
             .select(F.col("word").alias("name"))
             .distinct()
-            .withColumn("confirm", F.when(name.startswith("b"), "no").otherwise(F.concat(name, F.lit(" "))))
+            .withColumn("confirm", F.when(name.startswith("b"), "no").otherwise(F.concat(name, F.lit(" \t"))))
         )

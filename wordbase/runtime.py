@@ -1,4 +1,4 @@
-"""Where intermediate tables go, and how inputs in few pieces are spread over the cores."""
+"""Where intermediate tables go."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 
+_written: dict[str, list[str]] = {}  # paths by application
+
+
 def _shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
@@ -30,7 +33,9 @@ def _local_folder(application: str) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for one written table."""
-    return f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -44,14 +49,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use every core on an input that was stored in too few pieces.
+def clear_stored(spark: SparkSession) -> int:
+    """Delete what this session has written with ``scratch_path`` and ``stored``; returns how many paths that were.
 
-    A scan with fewer partitions than cores holds at most
-    ``cores * spark.sql.files.maxPartitionBytes``, so the shuffle added here is bounded by
-    that size. Larger inputs already have enough partitions and pass through unchanged.
+    The caller runs it when all results are read: until then they are read from these tables.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        there = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+    return len(paths)

@@ -88,7 +88,7 @@ NODE = _struct(
 MIRROR = _struct(("key", _STR), ("value", _STR))
 EDGE = _struct(("src", _STR), ("rel", _STR), ("dst", _STR))
 HISTOGRAM = _struct(("wordLength", _INT), ("count", _LONG))
-MESSAGE = _struct(("message_id", _STR), ("value", _STR))
+MESSAGE = _struct(("message_id", _STR), ("category", _STR), ("part", _INT), ("parts", _INT), ("value", _STR))
 TITLES = T.ArrayType(_STR)
 
 NODE_PROPERTIES = tuple(name for name in NODE.names if name != "name")

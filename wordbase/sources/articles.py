@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordbase.operators.keyed import spread_join
 
+
 def category_titles(
     articles: DataFrame, limit: int, category: str | None = None
 ) -> DataFrame:
@@ -31,31 +32,60 @@ def category_titles(
     )
 
 
-def found_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:
-    """The texts of the titles that have one; titles may repeat.
+#: Titles of so many categories are fetched by naming the categories to the scan.
+NAMED_CATEGORIES = 1000
+
+
+def _place(titles: DataFrame, articles: DataFrame) -> list[str]:
+    """What names an article: its title, and its category where both tables have one."""
+    both = "category" in titles.columns and "category" in articles.columns
+    return ["category", "title"] if both else ["title"]
+
+
+def of_categories(articles: DataFrame, titles: DataFrame) -> DataFrame:
+    """The articles of the titles' categories.
+
+    Their names become a filter, which prunes a table that is partitioned by category. Of more than
+    ``NAMED_CATEGORIES`` categories all articles are left to the join.
+    """
+    if "category" not in _place(titles, articles):
+        return articles
+    names = titles.select("category").distinct().limit(NAMED_CATEGORIES + 1).collect()
+    if len(names) > NAMED_CATEGORIES:
+        return articles
+    return articles.filter(F.col("category").isin([r["category"] for r in names if r["category"] is not None]))
 
-    ``articles(title, text)`` may hold several pages per title, in ``page`` order; the first page
-    that has a text wins. ``unique=True`` promises one page per title.
 
-    Texts are by far the widest column, so they move once at most: which page comes first is
+def _with_texts(titles: DataFrame, articles: DataFrame, unique: bool, how: str) -> DataFrame:
+    """``titles`` joined to the text of the first page that has one.
+
+    Texts are by far the widest column, so they are read and moved once: which page comes first is
     found without them, and a short title list is broadcast to the articles.
     """
+    on = _place(titles, articles)
     pages = articles.filter(F.col("text").isNotNull())
     if unique:
-        return spread_join(titles, pages.select("title", "text"), "title", wide_right=True)
+        return spread_join(titles, pages.select(*on, "text"), on, how, repeats=True)
     if "page" not in articles.columns:
-        only = pages.groupBy("title").agg(F.min("text").alias("text"))
-        return spread_join(titles, only, "title", wide_right=True)
-    first = pages.groupBy("title").agg(F.min("page").alias("page"))
-    wanted = spread_join(titles, first, "title")
-    keys = ["title", "page"]
-    return spread_join(wanted, pages.select(*keys, "text"), keys, wide_right=True).drop("page")
+        only = pages.groupBy(*on).agg(F.min("text").alias("text"))
+        return spread_join(titles, only, on, how, repeats=True)
+    first = pages.groupBy(*on).agg(F.min("page").alias("page"))
+    wanted = spread_join(titles, first, on, how, repeats=True)
+    keys = [*on, "page"]
+    return spread_join(wanted, pages.select(*keys, "text"), keys, how, repeats=True)
+
+
+def found_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:
+    """The texts of the titles that have one; titles may repeat.
+
+    ``articles(title, text)`` may hold several pages per title, in ``page`` order; the first page
+    that has a text wins. ``unique=True`` promises one page per title. Where both tables have a ``category``, an
+    article is named by category and title.
+    """
+    return _with_texts(titles, articles, unique, "inner").select(*titles.columns, "text")
 
 
 def article_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:
     """The text of each title as by ``found_texts``, ``""`` when there is none."""
-    having = articles.filter(F.col("text").isNotNull()).select("title")
-    missing = spread_join(titles, having, "title", "left_anti")
-    return found_texts(titles, articles, unique).unionByName(
-        missing.withColumn("text", F.lit(""))
-    )
+    found = _with_texts(titles, articles, unique, "left")
+    return found.select(*titles.columns, F.coalesce("text", F.lit("")).alias("text"))

@@ -27,7 +27,7 @@ def read_csv(
     types are applied as part of the plan, so there is no inference pass over the data.
     Declared columns the file lacks are left out, other columns stay text.
     """
-    raw = spark.read.option("header", True).option("multiLine", multi_line).csv(path)
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     kinds = {field.name: field.dataType for field in schema}
     return raw.select(
         *(
@@ -37,22 +37,19 @@ def read_csv(
     )
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Write a headed CSV, replacing what was there.
-
-    ``single_file`` sends everything through one task; use it for hand-sized exports only.
-    """
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """Write a headed CSV, replacing what was there. Line breaks stay, in quotes; quotes are doubled."""
+    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def read_node_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_node_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Node rows of a ``word, POS, sentiment, sentiment_score, meaning`` CSV.
 
     Blank text stays blank, a blank or bad score becomes null, and ``bad_score`` marks the
-    bad ones. ``seq`` is the place of the row: file, then position in the file.
+    bad ones. ``seq`` is the place of the row: file, then position in the file. With ``multi_line``, quoted
+    fields may hold line breaks; each file is then read by one task.
     """
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     score = F.col("sentiment_score")
     return raw.select(
         F.col("word").alias("name"),

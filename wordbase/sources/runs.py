@@ -34,11 +34,9 @@ def run_path(root: str, area: str, stamp: str, owner: str) -> str:
     return f"{root}/{area}/run_ts={stamp}/owner={owner}"
 
 
-def write_run(
-    df: DataFrame, root: str, area: str, stamp: str, owner: str, single_file: bool = False
-) -> str:
+def write_run(df: DataFrame, root: str, area: str, stamp: str, owner: str) -> str:
     path = run_path(root, area, stamp, owner)
-    write_csv(df, path, single_file)
+    write_csv(df, path)
     return path
 
 

@@ -9,8 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wordbase.operators.tokens import token_rows, word_counts
 from wordbase.schemas import MESSAGE
-from wordbase.sources.articles import found_texts
-from wordbase.sources.messages import decode_titles
+from wordbase.sources.articles import found_texts, of_categories
+from wordbase.sources.messages import parsed_messages, split_parsed
 from wordbase.sources.runs import CLEANED, run_path
 
 MESSAGE_COUNTS = T.StructType(
@@ -25,6 +25,7 @@ MESSAGE_COUNTS = T.StructType(
 def read_messages(spark: SparkSession, source: str, format: str = "json", **options) -> DataFrame:
     """The message stream from its beginning: a folder, or a topic with ``format="kafka"``.
 
+    The category of a message comes from its column, or from the key of a topic's message.
     Progress is kept in the checkpoint of the query that reads it.
     """
     if format == "kafka":
@@ -36,14 +37,15 @@ def read_messages(spark: SparkSession, source: str, format: str = "json", **opti
             .load()
         )
         place = F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
-        return raw.select(place.alias("message_id"), F.col("value").cast("string").alias("value"))
+        category = F.regexp_extract(F.col("key").cast("string"), "(?s)^(.*)/[0-9]+$", 1)
+        return raw.select(place.alias("message_id"), F.nullif(category, F.lit("")).alias("category"), F.col("value").cast("string").alias("value"))
     return spark.readStream.schema(MESSAGE).options(**options).format(format).load(source)
 
 
 def message_word_counts(titles: DataFrame, articles: DataFrame, unique: bool = False) -> DataFrame:
     """Word counts of each message's articles; counts of different messages are kept apart."""
     # a title without a text has no words, so the titles that have one are enough
-    texts = found_texts(titles, articles, unique)
+    texts = found_texts(titles, of_categories(articles, titles), unique)
     return word_counts(token_rows(texts, "message_id"), "message_id")
 
 
@@ -60,18 +62,20 @@ def clean_messages(
     """Start cleaning: folders of titles, counts (headed CSV) and rejects per micro-batch.
 
     ``stamp`` names the run; a restart passes the same one. Folders are named by batch and
-    overwritten, so a batch that is repeated after a failure leaves its counts once.
+    overwritten, so a batch that is repeated after a failure leaves its counts once. Where ``articles`` has a
+    category, articles are named by category and title, and only those of the batch's categories are read.
     """
     run = run_path(root, CLEANED, stamp, owner)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         place = {part: f"{run}/{part}/batch_id={batch_id}" for part in ("titles", "counts", "rejects")}
-        titles, rejects = decode_titles(batch, "message_id")
-        rejects.write.mode("overwrite").option("header", True).csv(place["rejects"])
-        # a written table has a known size: a short title list is broadcast to the articles,
-        # which are then not shuffled batch after batch
-        titles.write.mode("overwrite").parquet(place["titles"])
-        titles = batch.sparkSession.read.schema(titles.schema).parquet(place["titles"])
+        keep = ["message_id", *(c for c in ("category",) if c in batch.columns and c in articles.columns)]
+        # the batch is read once; a written table also has a known size: a short title list is broadcast to
+        # the articles, which are then not shuffled batch after batch
+        parsed = parsed_messages(batch, *keep)
+        parsed.write.mode("overwrite").parquet(place["titles"])
+        titles, rejects = split_parsed(batch.sparkSession.read.schema(parsed.schema).parquet(place["titles"]), *keep)
+        rejects.select("message_id", "value", "reason").write.mode("overwrite").option("header", True).csv(place["rejects"])
         counts = message_word_counts(titles, articles, unique)
         counts.write.mode("overwrite").option("header", True).csv(place["counts"])
 
