@@ -43,7 +43,7 @@ def _lines(docs: DataFrame, *names: str) -> DataFrame:
 
 
 def _visible() -> Column:
-    return F.length(F.trim(F.translate("line", "\t\r\u000b\u000c", "    "))) > 0
+    return F.col("line").rlike("[^ \\t\\r\\x0B\\f]")
 
 
 def segment(length: Column, number: int, threshold: int) -> tuple[Column, Column]:
