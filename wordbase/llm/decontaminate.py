@@ -83,32 +83,36 @@ def classify(word: str) -> tuple[int, int, bool]:
     return kind, _hash(low), ends
 
 
+class _Known(dict):
+    """The numbers of words; a word that is not known yet is classified. Kinds, hashes and ends are arrays by number."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.kind, self.hash, self.ends = (np.zeros(1024, t) for t in (np.int8, np.uint64, bool))
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        if number == len(self.kind):
+            self.kind, self.hash, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kind, self.hash, self.ends))
+        self.kind[number], self.hash[number], self.ends[number] = classify(word)
+        return number
+
+
 class Canon:
     """Words to template words, for one worker."""
 
     def __init__(self) -> None:
-        self.known: dict[str, int] = {}
-        self.rows: list[tuple[int, int, bool]] = []
+        self.known = _Known()
         self.slots = np.array([_hash(f"<{k}>") for k in range(6)], np.uint64)
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Literal hashes, template hashes and whether a word is a slot, of the words of a text."""
-        words = text.replace("\n", f" {_BREAK} ").split()
         if len(self.known) > KNOWN_WORDS:
-            self.known, self.rows = {}, []
-        known, rows = self.known, self.rows
-        at = []
-        for word in words:
-            i = known.get(word)
-            if i is None:
-                i = known[word] = len(rows)
-                rows.append(classify(word))
-            at.append(i)
-        got = [rows[i] for i in at]
-        kind = np.fromiter((g[0] for g in got), np.int8, len(got))
-        own = np.fromiter((g[1] for g in got), np.uint64, len(got))
-        ends = np.fromiter((g[2] for g in got), bool, len(got))
-        first = np.concatenate([[True], ends[:-1]])[: len(got)]
+            self.known = _Known()
+        known = self.known
+        at = np.array([known[w] for w in text.replace("\n", f" {_BREAK} ").split()], np.int64)
+        kind, own, ends = known.kind[at], known.hash[at], known.ends[at]
+        first = np.concatenate([[True], ends[:-1]])[: len(at)]
         # punctuation alone and line breaks pass on what came before them
         solid = kind != BLANK
         for i in np.flatnonzero(~solid):
