@@ -52,9 +52,10 @@ def _encoder(vocabulary: str) -> tiktoken.Encoding:
 
 
 def token_ids(vocabulary: str, text: str, closing_id: int) -> np.ndarray:
-    ids = _encoder(vocabulary).encode(text, allowed_special="all")
-    ids.append(closing_id)
-    return np.array(ids, dtype="<u4")
+    encoder = _encoder(vocabulary)
+    special = {s for s in encoder.special_tokens_set if s in text}
+    ids = encoder.encode_to_numpy(text, allowed_special=special, disallowed_special=())
+    return np.append(ids, np.uint32(closing_id)).astype("<u4", copy=False)
 
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, closing_id: int = 1) -> DataFrame:
