@@ -38,7 +38,7 @@ def test_fingerprint():
         assert simhash.fingerprint(text.encode()) == brute_print(text)
 
 
-@pytest.mark.parametrize("radius", [1, 2, 3])
+@pytest.mark.parametrize("radius", [1, 3])
 def test_links(spark, radius):
     rng = random.Random(radius)
     prints = set()
@@ -67,7 +67,9 @@ def test_links(spark, radius):
 
 def test_a_dense_group_costs_its_size():
     prints = np.unique(np.random.default_rng(1).integers(0, 1 << 12, 4000).astype(np.uint64))
-    keys, own = simhash._emit(prints, 3)
+    keys, rest = simhash._emit(prints, 3)
+    own = simhash._emitted_by(keys, rest)
+    assert set(own.tolist()) == set(prints.tolist())
     a, _ = simhash._collisions(keys, own, 3)
     assert len(a) < 40 * len(keys)
 

@@ -2,10 +2,11 @@
 
 Two fingerprints that differ in ``2 h`` bits meet in a variant that is ``h`` bits from each. So every distinct fingerprint
 emits all variants within half the radius, variants are shuffled, and those that collide are linked.
-An odd radius has no middle: there the 64 bits are cut into four blocks, and each fingerprint emits its variants once
+An odd radius has no middle: so the 64 bits are cut into four blocks, and each fingerprint emits its variants once
 for each block, with that block left out. Of an odd number of differing bits, some block holds an odd
 number, and without it an even number is left. For three bits that makes 4 * 49 variants for each fingerprint,
-where two-bit balls on both sides would take 2,081.
+where two-bit balls on both sides would take 2,081. What is shuffled is a variant, the bits of the block and
+which bit was flipped, 9 bytes; the fingerprint follows from these.
 
 Fingerprints that collide with block ``b`` left out differ in at most ``2 h`` other bits, so they are within
 the radius if they differ in at most one bit of the block. That is looked up value by value of the block,
@@ -80,19 +81,32 @@ def _value(fps: np.ndarray, block: int) -> np.ndarray:
     return fps >> np.uint64(BLOCK * block) & np.uint64((1 << BLOCK) - 1)
 
 
-def _masks(bits: int, flips: int) -> np.ndarray:
-    """All masks with up to ``flips`` (0 or 1) bits."""
-    return np.array([0, *(1 << i for i in range(bits) if flips)], dtype=np.uint64)
-
-
 def _emit(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Variants as (key, fingerprint); the upper bits of a key tell the block that is left out."""
-    masks = _masks(64 if radius == 2 else 48, radius // 2)
-    if radius == 2:
-        keys = [(fps[:, None] ^ masks).ravel()]
-    else:
-        keys = [((_without(fps, b)[:, None] ^ masks) | np.uint64(b << 48)).ravel() for b in range(4)]
-    return np.concatenate(keys), np.concatenate([np.repeat(fps, len(masks))] * len(keys))
+    """Variants for each block that is left out. The upper bits of a key tell the block.
+
+    The second array has the bits of the block and, above them, the flipped bit plus one.
+    """
+    flips = range(49 if radius == 3 else 1)
+    masks = np.array([1 << (f - 1) if f else 0 for f in flips], np.uint64)
+    tags = np.arange(len(masks), dtype=np.uint64) << np.uint64(BLOCK)
+    keys = [(_without(fps, b)[:, None] ^ masks) | np.uint64(b << 48) for b in range(4)]
+    rest = [_value(fps, b)[:, None] | tags for b in range(4)]
+    return np.concatenate([k.ravel() for k in keys]), np.concatenate([r.ravel() for r in rest])
+
+
+def _emitted_by(keys: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The fingerprints that emitted these variants."""
+    flip = rest >> np.uint64(BLOCK)
+    masks = np.array([1 << (f - 1) if f else 0 for f in range(49)], np.uint64)
+    own = (keys & np.uint64((1 << 48) - 1)) ^ masks[flip]
+    value = rest & np.uint64((1 << BLOCK) - 1)
+    out = np.empty_like(keys)
+    for b in range(4):
+        here = keys >> np.uint64(48) == b
+        low = own[here] & np.uint64((1 << BLOCK * b) - 1)
+        high = (own[here] ^ low) << np.uint64(BLOCK) if b < 3 else np.uint64(0)
+        out[here] = low | value[here] << np.uint64(BLOCK * b) | high
+    return out
 
 
 def _found(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -118,10 +132,6 @@ def _collisions(keys: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndar
         a.append(left[near])
         b.append(right[near])
 
-    if radius == 2:  # all that share a variant are within the radius
-        same = group[1:] == group[:-1]
-        link(fps[1:][same], fps[:-1][same])
-        return np.concatenate(a), np.concatenate(b)
     for block in range(4):
         here = keys >> np.uint64(48) == block
         if not here.any():
@@ -151,31 +161,37 @@ def _collisions(keys: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndar
 
 def near_links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """Links (a, b) that connect the distinct fingerprints of column ``fp`` wherever a chain of pairs within ``radius`` does."""
-    if radius not in (1, 2, 3):
-        raise ValueError("the radius is 1, 2 or 3 bits")
+    if radius not in (1, 3):
+        raise ValueError("the radius is 1 or 3 bits")
     spark = fps.sparkSession
 
     def emit(batches):
         for batch in batches:
             own = batch["fp"].to_numpy().view(np.uint64)
             for at in range(0, len(own), 2_000):
-                keys, variants = _emit(own[at : at + 2_000], radius)
+                keys, rest = _emit(own[at : at + 2_000], radius)
+                # 50 bits of key and 14 of the rest; the other 8 go beside
+                packed = keys | rest << np.uint64(50)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(variants.view(np.int64))], names=["key", "fp"]
+                    [pa.array(packed.view(np.int64)), pa.array((rest >> np.uint64(14)).astype(np.uint8).view(np.int8))], names=["packed", "more"]
                 )
 
     def meet(batches):
-        parts = [(b["key"].to_numpy(), b["fp"].to_numpy()) for b in batches]
+        parts = [(b["packed"].to_numpy(), b["more"].to_numpy()) for b in batches]
         if parts:
-            keys, own = (np.concatenate(c).view(np.uint64) for c in zip(*parts, strict=True))
-            a, b = _collisions(keys, own, radius)
+            packed, more = (np.concatenate(c) for c in zip(*parts, strict=True))
+            packed = packed.view(np.uint64)
+            keys = packed & np.uint64((1 << 50) - 1)
+            rest = packed >> np.uint64(50) | more.view(np.uint8).astype(np.uint64) << np.uint64(14)
+            a, b = _collisions(keys, _emitted_by(keys, rest), radius)
             pairs = np.unique(np.stack([a, b], axis=1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, i].copy().view(np.int64)) for i in (0, 1)], names=["a", "b"])
 
-    variants = fps.count() * (65 if radius == 2 else 4 * (49 if radius == 3 else 1))
+    variants = fps.count() * 4 * (49 if radius == 3 else 1)
     parts = max(shuffle_partitions(spark), -(-variants // VARIANTS_A_TASK))
-    emitted = arrow_rows(fps.select("fp"), emit, "key long, fp long")
-    return arrow_rows(emitted.repartition(parts, "key"), meet, "a long, b long")
+    emitted = arrow_rows(fps.select("fp"), emit, "packed long, more byte")
+    key = F.col("packed").bitwiseAND((1 << 50) - 1)
+    return arrow_rows(emitted.repartition(parts, key), meet, "a long, b long")
 
 
 def near_copies(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
