@@ -27,6 +27,13 @@ def raw_texts(column: pa.Array) -> list[bytes]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The same rows in small batches, so that few texts at a time are Python objects."""
+    for batch in batches:
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 def arrow_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(rows, schema)
 

@@ -29,11 +29,11 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordbase.llm.common import arrow_rows, id_and_text, raw_texts
+from wordbase.llm.common import arrow_rows, few_rows, id_and_text, raw_texts
 from wordbase.runtime import stored
 
 END = b""  #: the token after the last word; no word is empty
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 16_000_000
 ROUNDS = 3
 PRIOR = 1.0  #: weight of the starting distribution, in counts for each piece
 WORDS_AT_ONCE = 20_000
@@ -148,7 +148,7 @@ def _bags(docs: DataFrame, held_out: Column) -> DataFrame:
         held: list[tuple] = []
         size = 0
 
-        for batch in batches:
+        for batch in few_rows(batches):
             for doc_id, out, text in zip(batch["doc_id"].to_pylist(), batch["held_out"].to_pylist(), raw_texts(batch["text"]), strict=True):
                 count = Counter(text.lower().split())
                 count[END] = 1
@@ -158,7 +158,7 @@ def _bags(docs: DataFrame, held_out: Column) -> DataFrame:
                 if not out:
                     for i, n in zip(ids.tolist(), times.tolist(), strict=True):
                         training[i] += n
-                held.append((doc_id, out, int(times.sum()), ids.tobytes(), times.tobytes()))
+                held.append((doc_id, out, int(times.sum()), *packed(ids, times)))
                 size += len(text) + 100
                 if size >= BLOCK_BYTES:
                     yield from _block_batches(words, training, held)
@@ -170,6 +170,18 @@ def _bags(docs: DataFrame, held_out: Column) -> DataFrame:
     return arrow_rows(texts, rows, BAG)
 
 
+def packed(ids: np.ndarray, times: np.ndarray) -> tuple[bytes, bytes]:
+    """Numbers of words in order, as differences, and how often each occurs in as few bytes as that takes."""
+    order = np.argsort(ids)
+    ids, times = ids[order], times[order]
+    return np.diff(ids, prepend=np.uint32(0)).tobytes(), times.astype(np.min_scalar_type(times.max())).tobytes()
+
+
+def unpacked(ids: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
+    numbers = np.cumsum(np.frombuffer(ids, np.uint32))
+    return numbers, np.frombuffer(times, f"u{len(times) // len(numbers)}")
+
+
 BAG = (
     "block long, word binary, number int, n_train long,"
     " doc_id long, held_out boolean, n_tokens long, ids binary, times binary"
@@ -273,20 +285,18 @@ def document_scores(docs: DataFrame, held_out: Column, vocabulary_path: str, rou
     total, distinct = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
     pieces, start = read_vocabulary(vocabulary_path)
     scored = _word_scores(words, pieces, _fitted(words, pieces, start, rounds))
-    base = F.log10((F.col("c") + 0.5) / F.lit(total + 0.5 * (distinct + 1)))
-    worth = local.select("block", "number", "word").join(scored, "word").select(
-        F.col("block").alias("word_block"), "number", (F.col("c") > 0).alias("known"), base.alias("base"), "score"
-    )
+    worth = local.select(F.col("block").alias("word_block"), "number", "word").join(scored, "word").drop("word")
     held = bags.where("ids IS NOT NULL").select("block", "doc_id", "held_out", "n_tokens", "ids", "times")
 
     def rows(held: pa.Table, worth: pa.Table) -> pa.Table:
         number = worth["number"].to_numpy()
+        c = worth["c"].to_numpy()
         values = np.zeros((len(number), 3))
-        for i, name in enumerate(("known", "base", "score")):
-            values[number, i] = worth[name].to_numpy()
+        values[number] = np.column_stack([c > 0, np.log10((c + 0.5) / (total + 0.5 * (distinct + 1))), worth["score"].to_numpy()])
         sums = []
         for ids, times in zip(held["ids"].to_pylist(), held["times"].to_pylist(), strict=True):
-            sums.append(np.frombuffer(times, np.uint32).astype(float) @ values[np.frombuffer(ids, np.uint32)])
+            numbers, n = unpacked(ids, times)
+            sums.append(n.astype(float) @ values[numbers])
         known, base, score = np.array(sums).reshape(-1, 3).T
         return pa.table(
             [held["doc_id"], held["held_out"], held["n_tokens"], pa.array(np.rint(known).astype(np.int64)),
