@@ -193,7 +193,9 @@ def line_classes(texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     roots = components(line_links(texts, threshold)).withColumnRenamed("node", "a")
     joined = stored(firsts.join(roots, "a", "left"), "firsts")
     heads = joined.where("root IS NOT NULL").groupBy("root").agg(F.min("first").alias("head"))
-    classes = joined.join(heads, "root", "left").select("a", "check", F.coalesce("head", "first").alias("head"))
+    # most lines have no link and no root; they do not take part in the join, where they would be one key
+    linked = joined.join(heads, "root").select("a", "check", "head")
+    classes = linked.union(joined.where("root IS NULL").select("a", "check", F.col("first").alias("head")))
     found = places.where("a IS NOT NULL").join(classes, ["a", "check"]).select("row", "doc_id", "line_no", "head")
     alone = places.where("a IS NULL").select("row", "doc_id", "line_no", order.alias("head"))
     return found.union(alone).select(
