@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordbase.llm.common import arrow_rows, components, id_and_text, raw_texts, shuffle_partitions, without_rows
+from wordbase.operators.keyed import spread_join
 from wordbase.runtime import stored
 
 SHINGLE_WORDS = 3
@@ -206,7 +207,8 @@ def near_copies(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIU
         "fp", F.when(F.col("smallest").isNull(), F.col("first")).otherwise(F.col("smallest")).alias("component_id")
     )
     fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return prints.join(component, "fp").select("doc_id", fingerprint, "component_id", "check")
+    # a group of copies may be a third of all rows with one fingerprint
+    return spread_join(prints, component, "fp").select("doc_id", fingerprint, "component_id", "check")
 
 
 def drop_near_copies(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
