@@ -27,7 +27,7 @@ from wordbase.operators import (
 from wordbase.operators.keyed import listed
 from wordbase.plans.stand_ins import ASKED, Inputs
 from wordbase.runtime import scratch_path
-from wordbase.schemas import NODE, NODE_PROPERTIES, SCORED
+from wordbase.schemas import NODE_PROPERTIES, SCORED
 from wordbase.sources import articles, csv, messages, runs, stores
 from wordbase.streaming import clean
 
