@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from wordbase.runtime import stored
 
-DOCUMENT = ["doc_id", "text", "lang", "source", "n_chars"]
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
