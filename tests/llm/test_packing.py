@@ -47,6 +47,14 @@ def test_same_ids_and_places(table):
     check(rows, out)
 
 
+def test_long_runs(table):
+    """Over a million blanks or line breaks in a row, which the fast encoder refuses; and as many of anything else."""
+    n = 1_100_000
+    rows = [(1, "a" + " " * n + "b"), (2, "\n" * n), (3, "\t \u00a0" * (n // 3) + "c <|endoftext|>"), (4, "!" * n), (5, "ab" * (n // 2)), (6, "7" * n)]
+    rows += [(7, "x" + " " * (packing.LONG_RUN - 1) + "y"), (8, "x" + " " * packing.LONG_RUN + "y"), (9, "\x1c" * packing.LONG_RUN)]
+    check(rows, packing.pack_documents(table(rows), PATH).collect())
+
+
 def test_little_padding(table):
     rng = random.Random(2)
     rows = [(i, "the " * min(9000, int(rng.lognormvariate(6, 1)))) for i in range(2000)]

@@ -10,12 +10,16 @@ is numbered in as many tasks as there are buckets.
 
 Defined results: a null or empty text is one piece with the closing id alone. Rows with equal or null ids are
 documents of their own. An empty table gives no rows. Other columns are not looked at.
+
+Ids come from ``tiktoken``, which refuses texts with a million blanks or line breaks in a row. Texts with a run of
+``LONG_RUN`` or more are encoded by ``tokenizers``, which takes any and gives the same ids.
 """
 
 from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -24,6 +28,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from wordbase.llm.common import arrow_rows, id_and_text, shuffle_partitions
 from wordbase.runtime import stored
@@ -33,6 +38,8 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 #: A fixed value: the pattern by which byte-level vocabularies of this kind part texts into words.
 WORDS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_RUN = 10_000
+_LONG_RUN = re.compile(rf"\s{{{LONG_RUN}}}")
 
 
 def byte_letters() -> dict[str, int]:
@@ -51,10 +58,18 @@ def _encoder(vocabulary: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("vocabulary", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
 
 
+@lru_cache(maxsize=2)
+def _any_text(vocabulary: str) -> Tokenizer:
+    return Tokenizer.from_str(vocabulary)
+
+
 def token_ids(vocabulary: str, text: str, closing_id: int) -> np.ndarray:
-    encoder = _encoder(vocabulary)
-    special = {s for s in encoder.special_tokens_set if s in text}
-    ids = encoder.encode_to_numpy(text, allowed_special=special, disallowed_special=())
+    if len(text) >= LONG_RUN and _LONG_RUN.search(text):
+        ids = np.array(_any_text(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
+    else:
+        encoder = _encoder(vocabulary)
+        special = {s for s in encoder.special_tokens_set if s in text}
+        ids = encoder.encode_to_numpy(text, allowed_special=special, disallowed_special=())
     return np.append(ids, np.uint32(closing_id)).astype("<u4", copy=False)
 
 
