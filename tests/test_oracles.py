@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import pytest
-from compare import database, differences
+from compare import TABLES, database, differences
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from wordbase.plans.oracles import ORACLES
 from wordbase.plans.queries import QUERIES
+from wordbase.sources import articles
 
 SF = "/root/testdata/sf0.001"
 STATEMENTS = entry.oracle_sql()
@@ -31,3 +33,23 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry.entry(spark).columns == ["word", "count"]
+
+
+def test_documents_without_a_source(spark, tmp_path):
+    """A third of the sources null, and one empty: titles, lists and words are found as by the SQL."""
+    for name in TABLES:
+        if name != "documents":
+            (tmp_path / f"{name}.parquet").symlink_to(f"{SF}/{name}.parquet")
+    source = F.when(F.col("doc_id") % 3 != 0, F.when(F.col("doc_id") % 7 != 0, F.col("source")).otherwise(F.lit("")))
+    spark.read.parquet(f"{SF}/documents.parquet").withColumn("source", source).toPandas().to_parquet(str(tmp_path / "documents.parquet"))
+    con = database(str(tmp_path))
+    for name in ("titles_text", "title_lists", "stream_word_count"):
+        assert not differences(QUERIES[name](spark, str(tmp_path)), con, STATEMENTS[name]), name
+
+
+def test_categories_are_compared_null_safely(spark):
+    titles = spark.createDataFrame([(None, "a"), ("", "a"), ("x", "a"), (None, "b")], "category string, title string")
+    pages = spark.createDataFrame([(None, "a", "one"), ("", "a", "two"), ("y", "a", "three")], "category string, title string, text string")
+    for unique in (True, False):
+        found = articles.found_texts(titles, articles.of_categories(pages, titles), unique)
+        assert sorted((r.category is None, r.title, r.text) for r in found.collect()) == [(False, "a", "two"), (True, "a", "one")]

@@ -121,7 +121,7 @@ def stream_word_count(i):
         available_now=True,
     ).awaitTermination()
     counted = clean.cleaned_messages(i.spark, root, STAMP, OWNER)
-    category = F.regexp_extract("message_id", "^(.*)/[0-9]+$", 1).alias("category")
+    category = clean.category_of(F.col("message_id")).alias("category")
     return counted.groupBy(category, "word").agg(F.sum("count").alias("count"))
 
 

@@ -34,6 +34,7 @@ def category_titles(
 
 #: Titles of so many categories are fetched by naming the categories to the scan.
 NAMED_CATEGORIES = 1000
+CATEGORY_KEY = ["_category", "_uncategorised"]
 
 
 def _place(titles: DataFrame, articles: DataFrame) -> list[str]:
@@ -42,6 +43,12 @@ def _place(titles: DataFrame, articles: DataFrame) -> list[str]:
     return ["category", "title"] if both else ["title"]
 
 
+def with_category_key(table: DataFrame) -> DataFrame:
+    """``table`` with ``CATEGORY_KEY``, which compares categories so that those without one are equal."""
+    category = F.col("category")
+    return table.withColumns(dict(zip(CATEGORY_KEY, (F.coalesce(category, F.lit("")), category.isNull()), strict=True)))
+
+
 def of_categories(articles: DataFrame, titles: DataFrame) -> DataFrame:
     """The articles of the titles' categories.
 
@@ -53,7 +60,9 @@ def of_categories(articles: DataFrame, titles: DataFrame) -> DataFrame:
     names = titles.select("category").distinct().limit(NAMED_CATEGORIES + 1).collect()
     if len(names) > NAMED_CATEGORIES:
         return articles
-    return articles.filter(F.col("category").isin([r["category"] for r in names if r["category"] is not None]))
+    known = [r["category"] for r in names if r["category"] is not None]
+    named = F.col("category").isin(known)
+    return articles.filter(named if len(known) == len(names) else named | F.col("category").isNull())
 
 
 def _with_texts(titles: DataFrame, articles: DataFrame, unique: bool, how: str) -> DataFrame:
@@ -63,6 +72,9 @@ def _with_texts(titles: DataFrame, articles: DataFrame, unique: bool, how: str)
     found without them, and a short title list is broadcast to the articles.
     """
     on = _place(titles, articles)
+    if "category" in on:
+        titles, articles = with_category_key(titles), with_category_key(articles)
+        on = [*CATEGORY_KEY, "title"]
     pages = articles.filter(F.col("text").isNotNull())
     if unique:
         return spread_join(titles, pages.select(*on, "text"), on, how, repeats=True)
@@ -80,7 +92,7 @@ def found_texts(titles: DataFrame, articles: DataFrame, unique: bool = False) ->
 
     ``articles(title, text)`` may hold several pages per title, in ``page`` order; the first page
     that has a text wins. ``unique=True`` promises one page per title. Where both tables have a ``category``, an
-    article is named by category and title.
+    article is named by category and title; articles without a category are named by titles without one.
     """
     return _with_texts(titles, articles, unique, "inner").select(*titles.columns, "text")
 

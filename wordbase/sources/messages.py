@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from wordbase.operators.keyed import spread_join
 from wordbase.runtime import stored
 from wordbase.schemas import TITLES
+from wordbase.sources.articles import CATEGORY_KEY, with_category_key
 
 # A title listing call returns at most this many titles, and one call makes one message.
 TITLES_PER_MESSAGE = 500
@@ -20,11 +21,14 @@ def title_messages(titles: DataFrame, titles_per_message: int = TITLES_PER_MESSA
     hashed over as many messages as it needs, about that many titles each, and every message says which of
     how many it is, so that a consumer can put the counts of a category together. A title that repeats goes
     to one message after the other. The split depends on the titles alone, so a retried task repeats it.
+    Titles without a category are a category of their own, whose ``message_id`` is the part alone.
     """
     sizes = stored(titles.groupBy("category").agg(F.count("*").alias("size")), "category_sizes")
     parts = F.greatest(F.ceil(F.col("size") / F.lit(titles_per_message)), F.lit(1)).cast("int")
     counted = titles.groupBy("category", "title").agg(F.count("*").alias("times"))
-    sized = spread_join(counted, sizes.withColumn("parts", parts), "category", sizes_of=sizes, size="size")
+    keyed = with_category_key(sizes)
+    parted = keyed.select(*CATEGORY_KEY, parts.alias("parts"))
+    sized = spread_join(with_category_key(counted), parted, CATEGORY_KEY, sizes_of=keyed, size="size")
     copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))).alias("copy")
     part = F.pmod(F.shiftright(F.xxhash64("title"), 1) + F.col("copy"), F.col("parts")).cast("int")
     return (

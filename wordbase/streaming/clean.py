@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +22,12 @@ MESSAGE_COUNTS = T.StructType(
 )
 
 
+def category_of(message_id: Column) -> Column:
+    """The category in the id of a title message; null where it has none."""
+    pattern = "(?s)^(.*)/[0-9]+$"
+    return F.when(message_id.rlike(pattern), F.regexp_extract(message_id, pattern, 1))
+
+
 def read_messages(spark: SparkSession, source: str, format: str = "json", **options) -> DataFrame:
     """The message stream from its beginning: a folder, or a topic with ``format="kafka"``.
 
@@ -37,8 +43,8 @@ def read_messages(spark: SparkSession, source: str, format: str = "json", **opti
             .load()
         )
         place = F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
-        category = F.regexp_extract(F.col("key").cast("string"), "(?s)^(.*)/[0-9]+$", 1)
-        return raw.select(place.alias("message_id"), F.nullif(category, F.lit("")).alias("category"), F.col("value").cast("string").alias("value"))
+        category = category_of(F.col("key").cast("string"))
+        return raw.select(place.alias("message_id"), category.alias("category"), F.col("value").cast("string").alias("value"))
     return spark.readStream.schema(MESSAGE).options(**options).format(format).load(source)
 
 
