@@ -88,3 +88,31 @@ def test_prediction_reads_the_text_alone(spark, table):
     model = language.fit(table([(1, "le la que", "fr"), (2, "the and of", "en")]))
     rows = table([(1, "the and", "fr"), (99, "the and", None), (None, "the and", "xx")])
     assert len({tuple(r[0]) for r in rows.select(language.language(rows, model)).collect()}) == 1
+
+
+def invented(rng, language, words):
+    """A text of a language that prefers syllables of its own."""
+    own = random.Random(language)
+    syllables = ["".join(own.choices("bcdfghklmnprstvz", k=1) + own.choices("aeiou", k=1) + own.choices("nrst ", k=1)) for _ in range(40)]
+    return " ".join("".join(rng.choices(syllables, k=rng.randint(1, 3))).replace(" ", "") for _ in range(words))
+
+
+def test_every_label_is_learned(table):
+    """More labels than the former bound and than weights are folded for, one with a single row."""
+    rng = random.Random(5)
+    names = [f"l{i:02}" for i in range(90)]
+    rows = [(n * 100 + i, invented(rng, n, 150), lang) for n, lang in enumerate(names) for i in range(1 if n == 7 else 4)]
+    model = language.fit(table(rows))
+    assert model.labels == names
+    asked = table([(n, invented(rng, n, 100)) for n in range(90)])
+    got = {r["doc_id"]: r["g"]["lang"] for r in asked.select("doc_id", language.language(asked, model).alias("g")).collect()}
+    assert sum(got[n] == lang for n, lang in enumerate(names)) >= 88 and got[7] == "l07"
+
+
+def test_folded_and_unfolded_weights_agree(table, monkeypatch):
+    rng = random.Random(6)
+    docs = table([(n * 100 + i, invented(rng, n, 60), f"l{n}") for n in range(5) for i in range(6)])
+    texts = [language.grams(invented(rng, n, 30)) for n in range(8)] + [language.grams("")]
+    folded = language.fit(docs).scores(texts)
+    monkeypatch.setattr(language, "FOLDED", 2)
+    assert np.allclose(language.fit(docs).scores(texts), folded, atol=1e-4)

@@ -3,14 +3,15 @@
 The kernel of two texts counts the n-grams (1 to 4 bytes of UTF-8) that both have, whatever their number, over the
 geometric mean of the numbers each has. Labelled documents are sampled evenly by label; some of them are
 landmarks. Kernels with the landmarks, whitened by their own kernel matrix (Nyström), are the features of a ridge
-regression, one language against the rest. All is matrix products over batches of texts.
+regression, one language against the rest. Landmarks are kept as postings, n-gram by n-gram.
 
-The kernel with the landmarks is linear in a text's n-grams, so for prediction the product of landmarks, whitening
-and regression is formed once: one row of weights for each n-gram of a landmark. A batch of texts is
-then one product of its presence matrix with the weights; the number of landmarks costs nothing.
+The kernel with the landmarks is linear in a text's n-grams, so for prediction of up to ``FOLDED`` labels the product of
+landmarks, whitening and regression is formed once: one row of weights for each n-gram of a landmark, and the number of
+landmarks costs nothing. For more labels that table would grow with both; then the kernel with the landmarks is
+taken from the postings and multiplied by one row of weights for each landmark, which gives the same values.
 
-Bounds: ``SAMPLE`` labelled rows are learned from, ``LANDMARKS`` of them are landmarks, the ``LABELS`` most frequent
-labels are learned; labels are counted over all rows. Everything else covers all rows and whole texts.
+Bounds: ``SAMPLE`` labelled rows are learned from and ``LANDMARKS`` of them are landmarks, but at least one row and one landmark of
+every label; labels are counted over all rows. Everything else covers all rows and whole texts.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0. A null label is not learned from. A table
 without labelled rows gives ``und`` everywhere. Repeated rows get a row each, an empty table none. Other columns
@@ -29,10 +30,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordbase.llm.common import arrow_rows
+from wordbase.runtime import stored
 
 SAMPLE = 2000
 LANDMARKS = 320
-LABELS = 64
+FOLDED = 64
 RIDGE = 1e-3
 LONGEST = 4
 UNKNOWN = "und"
@@ -56,36 +58,73 @@ def grams(text: str) -> np.ndarray:
     return found[np.concatenate([[True], found[1:] != found[:-1]])]
 
 
+class Postings:
+    """The n-grams of texts, and for each the texts that have it."""
+
+    def __init__(self, texts: list[np.ndarray]) -> None:
+        of = np.repeat(np.arange(len(texts), dtype=np.int32), [len(t) for t in texts])
+        every = np.concatenate(texts)
+        order = np.argsort(every, kind="stable")
+        self.grams, first = np.unique(every[order], return_index=True)
+        self.starts, self.texts = np.append(first, len(every)), of[order]
+        self.roots = np.sqrt([len(t) for t in texts])
+
+    def places(self, own: np.ndarray) -> np.ndarray:
+        """Where the n-grams of a text that are known are among them."""
+        at = np.searchsorted(self.grams, own)
+        at[at == len(self.grams)] = 0
+        return at[self.grams[at] == own]
+
+    def kernel(self, own: np.ndarray) -> np.ndarray:
+        """Kernels of a text with each of the texts."""
+        at = self.places(own)
+        size = self.starts[at + 1] - self.starts[at]
+        ends = np.cumsum(size)
+        entries = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[at] - (ends - size), size)
+        return np.bincount(self.texts[entries], minlength=len(self.roots)) / (self.roots * np.sqrt(max(1, len(own))))
+
+    def folded(self, weights: np.ndarray, block: int = 1 << 14) -> np.ndarray:
+        """Rows of weights of the texts, added up for each n-gram."""
+        rows = (weights / self.roots[:, None]).astype(np.float32)
+        out = np.empty((len(self.grams), rows.shape[1]), np.float32)
+        for i in range(0, len(out), block):
+            starts = self.starts[i : i + block + 1]
+            out[i : i + block] = np.add.reduceat(rows[self.texts[starts[0] : starts[-1]]], starts[:-1] - starts[0], axis=0)
+        return out
+
+
 @dataclass
 class Model:
     labels: list[str]
-    grams: np.ndarray  #: sorted
-    weights: np.ndarray  #: a row for each n-gram, a column for each label
+    marks: Postings
+    weights: np.ndarray  #: a row for each n-gram, or for each landmark, and a column for each label
     intercept: np.ndarray
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
         """Regression values of a batch of texts, given as their n-grams."""
         out = np.tile(self.intercept, (len(texts), 1))
+        folded = len(self.labels) <= FOLDED
         for i, own in enumerate(texts):
             if len(own):
-                at = np.searchsorted(self.grams, own)
-                at[at == len(self.grams)] = 0
-                out[i] += self.weights[at[self.grams[at] == own]].sum(axis=0) / np.sqrt(len(own))
+                if folded:
+                    out[i] += self.weights[self.marks.places(own)].sum(axis=0) / np.sqrt(len(own))
+                else:
+                    out[i] += self.marks.kernel(own) @ self.weights
         return out
 
 
-def sampled(docs: DataFrame, sample: int = SAMPLE, labels: int = LABELS) -> list[tuple[str, np.ndarray]]:
+def sampled(docs: DataFrame, sample: int = SAMPLE) -> list[tuple[str, np.ndarray]]:
     """(lang, n-grams) of a sample of the rows with text and label, the same number for each label where there are enough."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(labels).collect()  # at most LABELS rows
-    if not counts:
+    known = docs.where("lang IS NOT NULL").where(F.col("text").rlike(r"\p{L}"))
+    counts = stored(known.groupBy("lang").count(), "labels")
+    labels = counts.count()
+    if not labels:
         return []
-    each = max(1, sample // len(counts))
-    shares = {r["lang"]: min(1.0, 3.0 * each / r["count"] + 20.0 / r["count"]) for r in counts}
-    share = F.create_map(*[F.lit(x) for item in shares.items() for x in item])[F.col("lang")]
+    each = max(1, sample // labels)
+    share = (F.lit(3.0 * each) + 20.0) / F.col("count")
     draw = F.xxhash64("doc_id", "text").bitwiseAND((1 << 52) - 1) / F.lit(float(1 << 52))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id"))
-    few = known.select("doc_id", "lang", "text", draw.alias("draw")).where(F.col("draw") < share)
+    few = known.select("doc_id", "lang", "text", draw.alias("draw")).join(F.broadcast(counts), "lang").where(F.col("draw") < share)
     few = few.withColumn("n", first).where(F.col("n") <= each)
 
     def rows(batches):
@@ -93,7 +132,8 @@ def sampled(docs: DataFrame, sample: int = SAMPLE, labels: int = LABELS) -> list
             own = [grams(t).tobytes() for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["lang"], batch["n"], pa.array(own, pa.binary())], names=["lang", "n", "grams"])
 
-    found = arrow_rows(few.select("lang", F.col("n").cast("int").alias("n"), "text"), rows, "lang string, n int, grams binary").collect()
+    few = few.select("lang", F.col("n").cast("int").alias("n"), "text")
+    found = arrow_rows(few, rows, "lang string, n int, grams binary").collect()
     # in turn from each label, so that the first ones make landmarks
     return [(r["lang"], np.frombuffer(r["grams"], np.uint32)) for r in sorted(found, key=lambda r: (r["n"], r["lang"])) if r["grams"]]
 
@@ -104,28 +144,22 @@ def fit(docs: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge
     if not rows:
         return None
     labels = sorted({lang for lang, _ in rows})
-    marks = [own for _, own in rows[:landmarks]]
-    known = np.unique(np.concatenate(marks))
-
-    def present(texts: list[np.ndarray]) -> np.ndarray:
-        """Presence of the known n-grams, over the root of the number of n-grams."""
-        x = np.zeros((len(texts), len(known)), np.float32)
-        for i, own in enumerate(texts):
-            x[i, np.searchsorted(known, np.intersect1d(known, own, assume_unique=True))] = 1 / np.sqrt(len(own))
-        return x
-
-    basis = present(marks)
-    values, vectors = np.linalg.eigh((basis @ basis.T).astype(np.float64))
+    marks = Postings([own for _, own in rows[: max(landmarks, len(labels))]])
+    kernel = np.stack([marks.kernel(own) for _, own in rows])
+    values, vectors = np.linalg.eigh(kernel[: len(marks.roots)])
     kept = values > 1e-6 * values[-1]
     whitening = vectors[:, kept] / np.sqrt(values[kept])
-    texts = [own for _, own in rows]
-    kernel = np.concatenate([present(texts[i : i + 250]) @ basis.T for i in range(0, len(texts), 250)])
-    features = np.column_stack([kernel @ whitening, np.ones(len(texts))])
-    targets = np.array([[1.0 if lang == x else -1.0 for x in labels] for lang, _ in rows])
-    penalty = ridge * len(texts) * np.eye(features.shape[1])
+    features = np.column_stack([kernel @ whitening, np.ones(len(rows))])
+    targets = np.where(np.array([lang for lang, _ in rows])[:, None] == np.array(labels), 1.0, -1.0)
+    penalty = ridge * len(rows) * np.eye(features.shape[1])
     penalty[-1, -1] = 1e-9
     solved = np.linalg.solve(features.T @ features + penalty, features.T @ targets)
-    return Model(labels, known, (basis.T @ (whitening @ solved[:-1])).astype(np.float32), solved[-1])
+    weights = whitening @ solved[:-1]
+    if len(labels) <= FOLDED:
+        weights = marks.folded(weights)
+    else:
+        weights = weights.astype(np.float32)
+    return Model(labels, marks, weights, solved[-1])
 
 
 def language(docs: DataFrame, model: Model | None) -> Column:
@@ -143,7 +177,10 @@ def language(docs: DataFrame, model: Model | None) -> Column:
         some = np.array([len(g) > 0 for g in own], bool)
         score = np.clip((values[np.arange(len(own)), best] + 1) / 2, 0, 1)
         return pd.DataFrame(
-            {"lang": [model.labels[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)], "score": np.where(some, score, 0.0)}
+            {
+                "lang": [model.labels[b] if s else UNKNOWN for b, s in zip(best, some, strict=True)],
+                "score": np.where(some, score, 0.0),
+            }
         )
 
     return predicted(docs["text"])
