@@ -116,3 +116,23 @@ def test_folded_and_unfolded_weights_agree(table, monkeypatch):
     folded = language.fit(docs).scores(texts)
     monkeypatch.setattr(language, "FOLDED", 2)
     assert np.allclose(language.fit(docs).scores(texts), folded, atol=1e-4)
+
+
+def test_unlearned_texts_go_and_short_clean_ones_stay(spark, table):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit(docs)
+    foreign = [
+        "Tämä on suomenkielinen lause jota kukaan ei ole opettanut mallille", "Ovo je rečenica na hrvatskom jeziku koju model ne poznaje",
+        "これは日本語の文章です", "Це речення українською мовою",
+        "xkq zvw qqpz 8273 jjx wvq kkzx vvqw pxq zzkj qxv jwkq", "1234 5678 --",
+    ]
+    clean = [(100, "the that of"), (101, "der und die ist"), (102, "que la de los")]
+    clean += [(103, 'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde" From reha reenti oution thti.')]
+    kept = {r["doc_id"] for r in language.drop_unknown(table([*enumerate(foreign), *clean]), model).collect()}
+    assert kept == {100, 101, 102, 103}
+
+    rng = random.Random(8)
+    many = language.fit(table([(n * 100 + i, invented(rng, n, 80), f"l{n}") for n in range(30) for i in range(25)]))
+    short = [(n, invented(rng, n, 6)) for n in range(30) for _ in range(20)]
+    assert language.drop_unknown(table(short), many).count() == 600
+    assert language.drop_unknown(table(list(enumerate(foreign))), many).count() == 0
