@@ -95,3 +95,30 @@ def test_awkward_rows(table, items, awkward, empty):
     kept = decontaminate.drop_contaminated(awkward, odd)
     assert kept.columns == awkward.columns and kept.count() == awkward.count() - 1
     assert found(table, items, [(None, QUESTION), (1, "x")], [(7, QUESTION), (5, QUESTION)]) == {(None, 5): 1.0}
+
+
+def test_few_own_words_and_unlisted_names(table, items):
+    asked = "Olivia runs 5km every day. Olivia swims 2km on weekends. Olivia rests twice a week."
+    benchmark = [(1, "What is 47 + 58 ?"), (2, "Compute 12 * 14 + 3 ."), (3, asked), (4, "Lara is a five-year-old girl with twenty-five red cups."), (5, "7 8 9 10")]
+    docs = [
+        (1, around("What is 31 + 76 ?")), (2, around("Compute 9 * 8 + 2 .")), (3, around("end. " + asked.replace("Olivia", "Zoe").replace("5", "7").replace("2", "3"))),
+        (4, around("end. Mira is a 6-year-old girl with 31 red cups.")), (5, around("1 2 3 4 5 6")),
+        (6, around("end. " + asked.replace("Olivia", "Zoe", 2).replace("Olivia", "Mira"))), (7, around("What are 31 + 76 ?")),
+        (8, around("yesterday Zoe runs 7 km every day. Zoe swims 3 km on weekends. Zoe rests twice a week.")),
+    ]
+    got = found(table, items, docs, benchmark)
+    assert got == {(1, 1): 1.0, (2, 2): 1.0, (3, 3): 1.0, (4, 4): 1.0, (8, 3): 1.0}
+
+
+def test_parted_words():
+    parted = decontaminate.parted
+    assert parted("(5km),") == ("(5", "km),") and parted("5-year-old") == ("5", "year-old") and parted("twenty-year") == ("twenty", "year")
+    assert [parted(w) for w in ("12th", "a1", "3,000.5", "twenty-five", "7-8", "-", "x-ray")] == [(w, "") for w in ("12th", "a1", "3,000.5", "twenty-five", "7-8", "-", "x-ray")]
+    assert classify("twenty-five")[0] == NUMBER and classify("x-ray")[0] == LITERAL
+
+
+def test_slot_heavy_windows_count_with_the_whole_item(table, items):
+    asked = "the sum of the numbers 3 4 5 6 7 8 9 10 11 12 is what we ask for here"
+    other = "the sum of the numbers 23 24 25 26 27 28 29 30 31 32 is what we ask for here"
+    docs = [(1, around(other)), (2, around(" ".join(other.split()[4:16]))), (3, around(" ".join(str(i) for i in range(40, 70))))]
+    assert found(table, items, docs, [(1, asked)]) == {(1, 1): 1.0}

@@ -6,13 +6,17 @@ hash, as templates and word for word. A template match only counts if its slots
 alignment of document and item, equal values of the item stand for equal values of the document and the other way
 round. A document is contaminated by an item if at least ``SHARE`` of the item's windows are found in it.
 
+A capitalised word that is not listed may be a name or not, so there are three readings of a text: all such words are names, all
+but those at the start of a sentence, or none. An alignment holds in one of them. Numbers are parted from what is glued to them (``5km``, ``5-year-old``); ``twenty-five`` is one number.
+
 How it runs: documents are read once, by map tasks, which keep only windows that a bitmap of all item windows may know. The
 bitmap has a fixed size, whatever the size of the benchmark; it only saves shuffling. The join on hashes is Spark's,
 so a passage found in many documents is a hot key of a plain join, which Spark splits.
 
-A window with fewer than ``LITERALS`` words of its own is not used as a template. An item of fewer words than a window is one
-window of its length; one of fewer than ``LEAST_WORDS`` words cannot be told from ordinary text and is never found. Items with the same words
-are found together, under the smallest id.
+A template window with fewer than ``LITERALS`` words of its own only counts where the whole item is found along the alignment.
+An item of slots alone has no templates, nor has one with fewer than ``LITERALS`` words left where sentence starts are names. An
+item of fewer words than a window is one window of its length; one of fewer than ``LEAST_WORDS`` words is found word for word only.
+Items with the same words are found together, under the smallest id.
 
 Defined results: null and empty texts hold nothing. Documents are told apart by id and text, so equal rows are one. An
 empty table or benchmark gives no rows. Other columns are not looked at.
@@ -25,7 +29,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordbase.llm.common import arrow_rows, id_and_text, without_rows
@@ -36,6 +40,7 @@ LITERALS = 3
 LEAST_WORDS = 4
 SHARE = 0.5
 BITMAP_BITS = 23
+PLAIN, STARTS_ARE_WORDS, STARTS_ARE_NAMES, ALL_ARE_WORDS = range(4)  #: word for word, and the readings of templates
 KNOWN_WORDS = 300_000  #: words a worker remembers before it starts anew
 
 # Words that are numbers, units and given names.
@@ -53,6 +58,7 @@ _BREAK = "\x1e"  # stands for a line break among the words
 _AROUND = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"\d(?:[\d.,:/-]*\d)?(?:st|nd|rd|th)?")
 _SENTENCE_END = re.compile(r"[.!?:][^\w]*$")
+_GLUED = re.compile(r"([\W_]*\d(?:[\d.,:/-]*\d)?)(-?)([^\W\d_].*)", re.DOTALL)
 _SETS = frozenset(NUMBERS), frozenset(UNITS), frozenset(NAMES)
 
 
@@ -60,6 +66,22 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode())
 
 
+def parted(word: str) -> tuple[str, str]:
+    """A word that begins with a number, and what is glued to it: a unit, or anything after a hyphen."""
+    glued = _GLUED.fullmatch(word)
+    if glued and (glued[2] or _AROUND.sub("", glued[3]).lower() in _SETS[1]):
+        return glued[1], glued[3]
+    if "-" in word:
+        parts = word.split("-")
+        numbers = 0
+        while numbers < len(parts) and _AROUND.sub("", parts[numbers]).lower() in _SETS[0]:
+            numbers += 1
+        rest = "-".join(parts[numbers:])
+        if numbers and _AROUND.sub("", rest):
+            return "-".join(parts[:numbers]), rest
+    return word, ""
+
+
 def classify(word: str) -> tuple[int, int, bool]:
     """Kind, hash and whether a sentence may begin after it, of a word as it stands in a text."""
     numbers, units, names = _SETS
@@ -70,7 +92,7 @@ def classify(word: str) -> tuple[int, int, bool]:
     low = bare.lower()
     if not bare:
         return BLANK, 0, ends
-    if _NUMBER.fullmatch(bare) or low in numbers:
+    if _NUMBER.fullmatch(bare) or low in numbers or "-" in low and numbers.issuperset(low.split("-")):
         kind = NUMBER
     elif low in units:
         kind = UNIT
@@ -84,17 +106,22 @@ def classify(word: str) -> tuple[int, int, bool]:
 
 
 class _Known(dict):
-    """The numbers of words; a word that is not known yet is classified. Kinds, hashes and ends are arrays by number."""
+    """The numbers of words; a word that is not known yet is classified. Kinds, hashes, ends and what is glued to a word (its
+    number, or -1) are arrays by number."""
 
     def __init__(self) -> None:
         super().__init__()
-        self.kind, self.hash, self.ends = (np.zeros(1024, t) for t in (np.int8, np.uint64, bool))
+        self.kind, self.hash, self.ends, self.glued = (np.zeros(1024, t) for t in (np.int8, np.uint64, bool, np.int64))
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         if number == len(self.kind):
-            self.kind, self.hash, self.ends = (np.concatenate([x, np.zeros_like(x)]) for x in (self.kind, self.hash, self.ends))
-        self.kind[number], self.hash[number], self.ends[number] = classify(word)
+            arrays = self.kind, self.hash, self.ends, self.glued
+            self.kind, self.hash, self.ends, self.glued = (np.concatenate([x, np.zeros_like(x)]) for x in arrays)
+        head, rest = parted(word)
+        self.kind[number], self.hash[number], self.ends[number] = classify(head)
+        after = self[rest] if rest else -1
+        self.glued[number] = after
         return number
 
 
@@ -105,12 +132,17 @@ class Canon:
         self.known = _Known()
         self.slots = np.array([_hash(f"<{k}>") for k in range(6)], np.uint64)
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Literal hashes, template hashes and whether a word is a slot, of the words of a text."""
+    def __call__(self, text: str) -> tuple[np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
+        """Literal hashes of the words of a text; and for each reading template hashes and whether a word is a slot."""
         if len(self.known) > KNOWN_WORDS:
             self.known = _Known()
         known = self.known
         at = np.array([known[w] for w in text.replace("\n", f" {_BREAK} ").split()], np.int64)
+        heads = np.flatnonzero(known.glued[at] >= 0)
+        while len(heads):
+            at = np.insert(at, heads + 1, known.glued[at[heads]])
+            heads = heads + 1 + np.arange(len(heads))  # where the inserted words are
+            heads = heads[known.glued[at[heads]] >= 0]
         kind, own, ends = known.kind[at], known.hash[at], known.ends[at]
         first = np.concatenate([[True], ends[:-1]])[: len(at)]
         # punctuation alone and line breaks pass on what came before them
@@ -121,9 +153,12 @@ class Canon:
         kind, own, first = kind[solid], own[solid], first[solid]
         after_number = np.concatenate([[False], kind[:-1] == NUMBER])[: len(kind)]
         kind = np.where((kind == UNIT) & ~after_number, LITERAL, kind)
-        kind = np.where(kind == CAPITAL, np.where(first, LITERAL, NAME), kind)
-        slot = kind != LITERAL
-        return own, np.where(slot, self.slots[kind], own), slot
+        readings = {}
+        for reading, words in ((STARTS_ARE_WORDS, first), (STARTS_ARE_NAMES, False), (ALL_ARE_WORDS, True)):
+            typed = np.where(kind == CAPITAL, np.where(words, LITERAL, NAME), kind)
+            slot = typed != LITERAL
+            readings[reading] = np.where(slot, self.slots[typed], own), slot
+        return own, readings
 
 
 def _windows(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -136,21 +171,23 @@ def _windows(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def windows(canon: Canon, text: str, widths: list[int]):
-    """(hash, template or not, place, slots) of the windows of a text; slots are hashes of values, 0 for words."""
-    own, template, slot = canon(text)
+    """(hashes, how they were read, places and slots, width) of the windows of a text; slots are hashes of values, 0 for words."""
+    own, readings = canon(text)
     for width in widths:
         if len(own) < width:
             continue
-        yield _windows(own, width), False, None, width
-        filled = np.cumsum(np.concatenate([[0], slot]))
-        number = filled[width:] - filled[:-width]
-        use = np.flatnonzero((number > 0) & (width - number >= LITERALS))
-        if len(use):
-            values = np.where(slot, own | np.uint64(1), np.uint64(0))
-            yield _windows(template, width)[use], True, (use, values), width
+        yield _windows(own, width), PLAIN, None, width
+        if width < LEAST_WORDS:
+            continue
+        for reading, (template, slot) in readings.items():
+            filled = np.cumsum(np.concatenate([[0], slot]))
+            use = np.flatnonzero(filled[width:] > filled[:-width])
+            if len(use):
+                values = np.where(slot, own | np.uint64(1), np.uint64(0))
+                yield _windows(template, width)[use], reading, (use, values), width
 
 
-WINDOWS = "h long, template boolean, at int, slots array<long>"
+WINDOWS = "h long, template int, at int, slots array<long>"
 
 
 def _slots(values: np.ndarray, at: int, width: int) -> list[int]:
@@ -162,7 +199,7 @@ def _arrays(columns: dict[str, list], types: dict[str, pa.DataType]) -> pa.Recor
     return pa.RecordBatch.from_arrays([pa.array(columns[n], t) for n, t in types.items()], names=list(types))
 
 
-_TYPES = {"h": pa.int64(), "template": pa.bool_(), "at": pa.int32(), "slots": pa.list_(pa.int64())}
+_TYPES = {"h": pa.int64(), "template": pa.int32(), "at": pa.int32(), "slots": pa.list_(pa.int64())}
 
 
 def item_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -171,24 +208,29 @@ def item_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     def rows(batches):
         canon = Canon()
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("item_id", "words", "n", "width", *_TYPES)}
+            out: dict[str, list] = {n: [] for n in ("item_id", "words", "n", "width", "weak", *_TYPES)}
             for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                own = canon(text)[0]
+                own, readings = canon(text)
                 w = min(width, len(own))
-                if w < LEAST_WORDS:
+                if not w:
                     continue
+                literals = {reading: np.count_nonzero(~slot) for reading, (_, slot) in readings.items()}
                 words = xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63)
                 for hashes, template, more, _ in windows(canon, text, [w]):
+                    if template and literals[template] < (LITERALS if template == STARTS_ARE_NAMES else 1):
+                        continue
                     use, values = more if more else (np.arange(len(hashes)), None)
                     for h, at in zip(hashes.view(np.int64).tolist(), use.tolist(), strict=True):
-                        found = (item, words, len(own) - w + 1, w, h, template, at, _slots(values, at, w) if template else [])
+                        slots = _slots(values, at, w) if template else []
+                        weak = template != PLAIN and w - len(slots) < LITERALS
+                        found = (item, words, len(own) - w + 1, w, weak, h, template, at, slots)
                         for column, x in zip(out.values(), found, strict=True):
                             column.append(x)
-            yield _arrays(out, {"item_id": pa.int64(), "words": pa.int64(), "n": pa.int32(), "width": pa.int32()} | _TYPES)
+            yield _arrays(out, {"item_id": pa.int64(), "words": pa.int64(), "n": pa.int32(), "width": pa.int32(), "weak": pa.bool_()} | _TYPES)
 
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = arrow_rows(items, rows, f"item_id long, words long, n int, width int, {WINDOWS}")
-    return found.groupBy("words", "n", "width", "h", "template", "at", "slots").agg(F.min("item_id").alias("item_id")).drop("words")
+    found = arrow_rows(items, rows, f"item_id long, words long, n int, width int, weak boolean, {WINDOWS}")
+    return found.groupBy("words", "n", "width", "weak", "h", "template", "at", "slots").agg(F.min("item_id").alias("item_id")).drop("words")
 
 
 def _bitmap(items: DataFrame) -> np.ndarray:
@@ -236,19 +278,28 @@ def document_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """A row for each document and item found in it: doc_id, check, item_id, found (windows of the item), share."""
     items = stored(item_windows(benchmark), "items")
-    known = items.select("h", "template", "item_id", "n", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
-    both = document_windows(docs, items).join(known, ["h", "template"])
+    known = items.select("h", "template", "item_id", "n", "weak", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
+    both = stored(document_windows(docs, items).join(known, ["h", "template"]), "found_windows")  # documents are read once
     pair = ["doc_id", "check", "item_id", "n"]
     # along one alignment: values of the item, of the document, and pairs of them are equally many
-    aligned = both.where("template").groupBy(*pair, (F.col("at") - F.col("item_at")).alias("shift")).agg(
+    aligned = both.where(F.col("template") != PLAIN).groupBy(*pair, "template", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.flatten(F.collect_list("item_slots")).alias("item_slots"),
         F.flatten(F.collect_list("slots")).alias("slots"),
-        F.collect_set("item_at").alias("places"),
+        F.sort_array(F.collect_set("item_at")).alias("places"),
+        F.sort_array(F.collect_set(F.when(~F.col("weak"), F.col("item_at")))).alias("strong"),
     )
     pairs = F.size(F.array_distinct(F.arrays_zip("item_slots", "slots")))
     agreeing = aligned.where((F.size(F.array_distinct("item_slots")) == pairs) & (F.size(F.array_distinct("slots")) == pairs))
-    places = both.where("NOT template").select(*pair, "item_at").union(agreeing.select(*pair, F.explode("places"))).distinct()
-    found = places.groupBy(*pair).agg(F.count("*").alias("found"))
+    plain = both.where(F.col("template") == PLAIN).select(*pair, "item_at")
+    places = plain.unionByName(agreeing.select(*pair, F.struct("places", "strong").alias("aligned")), allowMissingColumns=True)
+    places = places.groupBy(*pair).agg(F.collect_set("item_at").alias("plain"), F.collect_set("aligned").alias("aligned"))
+
+    def counted(alignment: Column) -> Column:
+        whole = F.size(F.array_union(alignment["places"], F.col("plain"))) == F.col("n")
+        return F.when(whole, alignment["places"]).otherwise(alignment["strong"])
+
+    every = F.array_union(F.col("plain"), F.flatten(F.transform("aligned", counted)))
+    found = places.select(*pair, F.size(every).alias("found")).where("found > 0")
     return found.select("doc_id", "check", "item_id", "found", (F.col("found") / F.col("n")).alias("share")).where(F.col("share") >= share)
 
 
