@@ -122,3 +122,17 @@ def test_slot_heavy_windows_count_with_the_whole_item(table, items):
     other = "the sum of the numbers 23 24 25 26 27 28 29 30 31 32 is what we ask for here"
     docs = [(1, around(other)), (2, around(" ".join(other.split()[4:16]))), (3, around(" ".join(str(i) for i in range(40, 70))))]
     assert found(table, items, docs, [(1, asked)]) == {(1, 1): 1.0}
+
+
+def test_scripts_without_spaces(table, items):
+    asked = "小明有三个苹果他又买了五个苹果然后给了小红两个请问他还剩几个"
+    thai = "สมชายมีแอปเปิลสามผลแล้วซื้อเพิ่มอีกห้าผล"
+    docs = [(1, "今天天气很好。" + asked + "我们去公园吧"), (2, "今天天气很好我们去公园吧"), (3, "x " + thai + " y"), (4, asked[:6] + "不同的内容在这里继续写下去")]
+    assert found(table, items, docs, [(1, asked), (2, thai)]) == {(1, 1): 1.0, (3, 2): 1.0}
+
+
+def test_short_items_and_long_runs(table, items):
+    long = [f"passage{i}y" for i in range(500)]
+    docs = [(1, around(" ".join(long[100:340]))), (2, around(" ".join(long[100:149]))), (3, around(" ".join(long[100:150]))), (4, around("Quoth the raven")), (5, around("quoth raven the"))]
+    got = found(table, items, docs, [(1, " ".join(long)), (2, "Quoth the raven?")])
+    assert got == {(1, 1): round(233 / 493, 3), (3, 1): round(43 / 493, 3), (4, 2): 1.0}

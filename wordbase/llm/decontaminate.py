@@ -4,7 +4,8 @@ Words become template words: numbers, units after a number, and names turn into
 without the punctuation around them. Windows of ``WINDOW`` words of documents and of benchmark items are joined on their
 hash, as templates and word for word. A template match only counts if its slots agree: along one
 alignment of document and item, equal values of the item stand for equal values of the document and the other way
-round. A document is contaminated by an item if at least ``SHARE`` of the item's windows are found in it.
+round. A document is contaminated by an item if at least ``SHARE`` of the item's windows are found in it, or windows one after
+the other that make up ``RUN`` words. In scripts without spaces between words each character is a word.
 
 A capitalised word that is not listed may be a name or not, so there are three readings of a text: all such words are names, all
 but those at the start of a sentence, or none. An alignment holds in one of them. Numbers are parted from what is glued to them (``5km``, ``5-year-old``); ``twenty-five`` is one number.
@@ -39,6 +40,7 @@ WINDOW = 8
 LITERALS = 3
 LEAST_WORDS = 4
 SHARE = 0.5
+RUN = 50
 BITMAP_BITS = 23
 PLAIN, STARTS_ARE_WORDS, STARTS_ARE_NAMES, ALL_ARE_WORDS = range(4)  #: word for word, and the readings of templates
 KNOWN_WORDS = 300_000  #: words a worker remembers before it starts anew
@@ -57,6 +59,8 @@ LITERAL, NUMBER, UNIT, CAPITAL, NAME, BLANK = range(6)
 _BREAK = "\x1e"  # stands for a line break among the words
 _AROUND = re.compile(r"^[\W_]+|[\W_]+$")
 _NUMBER = re.compile(r"\d(?:[\d.,:/-]*\d)?(?:st|nd|rd|th)?")
+#: Thai, Lao, Burmese, Khmer, kana and ideographs.
+_UNSPACED = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _SENTENCE_END = re.compile(r"[.!?:][^\w]*$")
 _GLUED = re.compile(r"([\W_]*\d(?:[\d.,:/-]*\d)?)(-?)([^\W\d_].*)", re.DOTALL)
 _SETS = frozenset(NUMBERS), frozenset(UNITS), frozenset(NAMES)
@@ -137,6 +141,8 @@ class Canon:
         if len(self.known) > KNOWN_WORDS:
             self.known = _Known()
         known = self.known
+        if not text.isascii():
+            text = _UNSPACED.sub(r" \g<0> ", text)
         at = np.array([known[w] for w in text.replace("\n", f" {_BREAK} ").split()], np.int64)
         heads = np.flatnonzero(known.glued[at] >= 0)
         while len(heads):
@@ -275,6 +281,17 @@ def document_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     return arrow_rows(texts, rows, f"doc_id long, check long, {WINDOWS}")
 
 
+def _longest_run(places: Column) -> Column:
+    """How many of the places follow one another at most."""
+
+    def step(state: Column, at: Column) -> Column:
+        size = F.when(at == state["last"] + 1, state["size"] + 1).otherwise(1)
+        return F.struct(at.alias("last"), size.alias("size"), F.greatest(state["best"], size).alias("best"))
+
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("size"), F.lit(0).alias("best"))
+    return F.aggregate(F.sort_array(places), start, step)["best"]
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """A row for each document and item found in it: doc_id, check, item_id, found (windows of the item), share."""
     items = stored(item_windows(benchmark), "items")
@@ -299,8 +316,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
         return F.when(whole, alignment["places"]).otherwise(alignment["strong"])
 
     every = F.array_union(F.col("plain"), F.flatten(F.transform("aligned", counted)))
-    found = places.select(*pair, F.size(every).alias("found")).where("found > 0")
-    return found.select("doc_id", "check", "item_id", "found", (F.col("found") / F.col("n")).alias("share")).where(F.col("share") >= share)
+    found = places.select(*pair, F.size(every).alias("found"), _longest_run(every).alias("run")).where("found > 0")
+    found = found.withColumn("share", F.col("found") / F.col("n"))
+    return found.where((F.col("share") >= share) | (F.col("run") + WINDOW - 1 >= RUN)).select("doc_id", "check", "item_id", "found", "share")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
