@@ -128,3 +128,13 @@ def test_empty_and_native(table, empty):
 def test_combinations_are_bounded():
     assert [len(line_dedup.look_ups(t)) for t in (1, 2)] == [2, 9]
     assert len(list(combinations(range(4), 2))) == 6
+
+
+def test_lines_on_both_sides_of_the_border(table, monkeypatch):
+    """A crowd of lines of the longest length that is not paired, and one with a character more."""
+    monkeypatch.setattr(line_dedup, "LONG_LIST", 2)
+    monkeypatch.setattr(line_dedup, "LONG_LINE", 60)
+    base = "".join(random.Random(4).choices("abcdefgh", k=60))
+    lines = [base, *(base[:30] + c + base[31:] for c in "wxyz"), base[:10] + "." + base[10:], base[:10] + "." + base[10:20] + "!" + base[21:]]
+    rows = line_dedup.line_report(table(list(enumerate(lines)))).collect()
+    assert sorted((r["doc_id"], r["n_kept"]) for r in rows) == [(0, 1), *((i, 0) for i in range(1, len(lines)))]

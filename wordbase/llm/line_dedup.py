@@ -13,7 +13,7 @@ shuffling, as rows it lets through in vain meet nobody.
 A list of more than ``LONG_LIST`` lines is not paired. With one edit allowed, its lines are linked through what is left
 of them when one character is taken out: equal remains at the same place, or remains that equal a line. Each line
 then hangs to the first of such a group; this is exact too, and costs the length of a line, not the square of
-the list. Lines beyond ``LONG_LINE`` characters, and lists with higher thresholds, are always paired.
+the list. Lines beyond ``LONG_LINE`` characters (one character more is in both steps), and lists with higher thresholds, are always paired.
 
 Lines linked by a chain of edits, and equal ones, are a class; its first line, by doc_id, row and place, stays.
 A line without any visible character is never a copy. A line shorter than ``LEAST_CHARS`` is a copy of equal ones only.
@@ -152,7 +152,8 @@ def line_links(texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     if threshold == 1:
         long_lists = stored(sizes.where(F.col("count") > LONG_LIST).select("sig"), "long_lists")
         short = F.col("n") <= LONG_LINE
-        crowd = lists.where(short).join(long_lists, "sig", "left_semi").select("a", "line", "n").distinct()
+        # lines just over the border too, as the pairing does not compare them with those below
+        crowd = lists.where(F.col("n") <= LONG_LINE + threshold).join(long_lists, "sig", "left_semi").select("a", "line", "n").distinct()
         links = _crowd_links(stored(crowd, "crowd"))
         paired = lists.where(~short).union(lists.where(short).join(long_lists, "sig", "left_anti"))
     x = paired.where("index").select("sig", F.col("a").alias("xa"), F.col("line").alias("x"))
