@@ -1,0 +1,117 @@
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from wordbase.llm import vector_codes
+from wordbase.llm.vector_codes import Slices
+
+SCHEMA = "vec_id long, embedding array<double>, label int, code string, error string, part int, label_none int"
+
+
+def make(spark, rows):
+    return spark.createDataFrame([(i, v, lab, "c", "e", 1, 2) for i, v, lab in rows], SCHEMA)
+
+
+def brute(rows, parts=4, entries=256, rounds=4, scale=1024):
+    """Everything with Python's integers, entry by entry."""
+    whole = lambda x: math.floor(x * scale) if abs(x) < 2**52 else int(x) * scale
+    good = [(i, v, lab) for i, v, lab in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    if not good:
+        return []
+    lengths = Counter(len(v) for _, v, _ in good)
+    length = min(lengths, key=lambda n: (-lengths[n], n))
+    cuts = [length * i // parts for i in range(parts + 1)]
+    cut = lambda v: [[whole(x) for x in v[a:b]] for a, b in zip(cuts, cuts[1:])]
+    fits = [(i, v, lab) for i, v, lab in good if len(v) == length]
+    ids = sorted({i for i, _, _ in fits}, key=lambda i: (i is None, i or 0))[:entries]
+    books = list(zip(*(cut(min(v for j, v, _ in fits if j == i)) for i in ids)))
+    far = lambda x, y: sum((a - b) ** 2 for a, b in zip(x, y))
+    near = lambda x, book: min((far(x, e), k) for k, e in enumerate(book))
+    for _ in range(rounds):
+        new = []
+        for p, book in enumerate(books):
+            held = defaultdict(list)
+            for _, v, _ in fits:
+                held[near(cut(v)[p], book)[1]].append(cut(v)[p])
+            new.append([[sum(c) // len(held[k]) for c in zip(*held[k])] if k in held else e for k, e in enumerate(book)])
+        books = new
+    sha = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    out, errors = [], defaultdict(int)
+    for i, v, lab in good:
+        found = [near(x, b) for x, b in zip(cut(v), books)] if len(v) == length else None
+        error = sum(d for d, _ in found) if found else None
+        errors[lab] += error or 0
+        out.append((i, "".join(f"{k:02x}" for _, k in found) if found else None, error, lab, len(v) == length))
+    same = {lab for _, _, _, lab, fit in out if fit}
+    return [(i, code, error, errors[lab] if lab in same else None, sha) for i, code, error, lab, _ in out]
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("entries", [1, 2, 63, 64, 65, 256])
+@pytest.mark.parametrize("kind", [np.int64, object])
+def test_nearest(entries, kind):
+    rng = np.random.default_rng(entries)
+    book = rng.integers(-5, 5, (entries, 3)).astype(kind)
+    x = rng.integers(-9, 9, (300, 3)).astype(kind)
+    found, far = Slices(book).nearest(x)
+    all_far = ((x[:, None].astype(np.int64) - book[None].astype(np.int64)) ** 2).sum(2)
+    assert found.tolist() == all_far.argmin(1).tolist()  # the smallest of equally near ones
+    assert far.tolist() == all_far.min(1).tolist()
+
+
+def test_candidates_are_fewer():
+    rng = np.random.default_rng(1)
+    book = rng.integers(-1000, 1000, (256, 2))
+    rows, _ = Slices(book).candidates(rng.integers(-1000, 1000, (1000, 2)))
+    assert len(rows) < 1000 * 256 / 10
+
+
+def test_whole_operator(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(rng.choice([-2, 0, 2]), 0.3) for _ in range(10)], rng.choice([None, 1, 2])) for i in range(300)]
+    rows += [(5, rows[0][1], 1), (5, rows[0][1], 1), (None, rows[7][1], 2)]  # equal ids, repeated rows, no id
+    rows += [(900, None, 1), (901, [None] * 10, 1), (902, [float("nan")] * 10, 1), (903, [float("inf")] + [0.0] * 9, 1)]
+    rows += [(904, [1.0] * 4, 3), (905, [], None), (906, [-0.0] * 10, 1)]
+    rng.shuffle(rows)
+    for entries, rounds in ((256, 2), (20, 4)):
+        got = vector_codes.code_report(make(spark, rows), entries=entries, rounds=rounds)
+        assert got.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+        assert rows_of(got) == sorted(brute(rows, entries=entries, rounds=rounds), key=repr)
+
+
+def test_large_components(spark):
+    """Components whose squares pass 64 bits, also as entries, are coded exactly."""
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) * 10 ** rng.choice([0, 3, 6, 9]) for _ in range(8)], i % 2) for i in range(60)]
+    want = brute(rows, entries=16, rounds=3)
+    got = vector_codes.code_report(make(spark, rows), entries=16, rounds=3)
+    limit = lambda v: v if v is not None and v < 2**63 else None
+    assert rows_of(got.select("vec_id", "code", "codebooks_sha256")) == sorted(((i, c, s) for i, c, _, _, s in want), key=repr)
+    assert {r["vec_id"]: r["error"] for r in got.collect()} == {i: limit(e) for i, _, e, _, _ in want}
+    rows.append((-1, [1e300, -1e300, 5e-324, 0.0] * 2, 1))
+    got = vector_codes.code_report(make(spark, rows), entries=4, rounds=2)
+    assert rows_of(got.select("vec_id", "code", "codebooks_sha256")) == sorted(((i, c, s) for i, c, _, _, s in brute(rows, entries=4, rounds=2)), key=repr)
+
+
+def test_few_rows(spark):
+    assert rows_of(vector_codes.code_report(make(spark, []))) == []
+    assert rows_of(vector_codes.code_report(make(spark, [(1, None, 1)]))) == []
+    one = rows_of(vector_codes.code_report(make(spark, [(1, [0.5, -0.5, 1.0, 2.0, 3.0], None)])))
+    assert one == brute([(1, [0.5, -0.5, 1.0, 2.0, 3.0], None)])
+    empty = rows_of(vector_codes.code_report(make(spark, [(1, [], 1), (2, [], 1)])))
+    assert [r[:4] for r in empty] == [(1, "00000000", 0, 0), (2, "00000000", 0, 0)]
+
+
+def test_hot_label(spark):
+    """All but a few rows have one label."""
+    rows = [(i, [float(i % 7), 0.0, 1.0, float(i % 3)], None if i % 50 else i) for i in range(2000)]
+    assert rows_of(vector_codes.code_report(make(spark, rows), entries=8, rounds=1)) == sorted(brute(rows, entries=8, rounds=1), key=repr)

@@ -1,6 +1,53 @@
 """SQL twins of the registered queries of this package, for DuckDB, where SQL can say the same."""
 
+
+def _vector_codes(rounds: int = 4) -> str:
+    """Codebooks by rounds of assignments, each a common table, over every pair of a part and an entry."""
+
+    def assigned(name: str, book: str) -> str:
+        return f"""{name} AS MATERIALIZED (
+            SELECT p.row, p.part, arg_min(b.entry, (far(p.v, b.v), b.entry)) AS entry, min(far(p.v, b.v)) AS error
+            FROM parts p JOIN {book} b USING (part) GROUP BY ALL)"""
+
+    def far_inlined(text: str) -> str:
+        return text.replace("far(p.v, b.v)", "coalesce(list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 0)::BIGINT")
+
+    steps = []
+    for i in range(rounds):
+        steps += [
+            assigned(f"a{i}", f"book{i}"),
+            f"""sums{i} AS (
+            SELECT part, entry, place, sum(v[place])::BIGINT AS s, count(*) AS c
+            FROM a{i} JOIN parts USING (row, part), range(1, 1 + (SELECT max(len(v)) FROM parts)) t(place) WHERE place <= len(v) GROUP BY ALL)""",
+            f"""means{i} AS (
+            SELECT part, entry, list((s - ((s % c + c) % c)) // c ORDER BY place)::BIGINT[] AS v FROM sums{i} GROUP BY ALL)""",
+            f"""book{i + 1} AS MATERIALIZED (
+            SELECT part, entry, coalesce(m.v, b.v) AS v FROM book{i} b LEFT JOIN means{i} m USING (part, entry))""",
+        ]
+    steps.append(assigned("final", f"book{rounds}"))
+    return f"""
+        WITH kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        parts AS MATERIALIZED (
+            SELECT row, vec_id, part, list_transform(e[part * len(e) // 4 + 1:(part + 1) * len(e) // 4], lambda x: floor(1024 * x)::BIGINT) AS v
+            FROM kept, range(4) t(part)),
+        book0 AS MATERIALIZED (
+            SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, v FROM parts
+            WHERE vec_id IN (SELECT DISTINCT vec_id FROM kept ORDER BY vec_id LIMIT 256)),
+        {far_inlined(", ".join(steps))},
+        coded AS (
+            SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(error)::BIGINT AS error FROM final GROUP BY row),
+        digest AS (
+            SELECT sha256(string_agg(v[place]::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256
+            FROM book{rounds}, range(1, 1 + (SELECT max(len(v)) FROM parts)) t(place) WHERE place <= len(v))
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+        FROM kept JOIN coded USING (row), digest
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op13_vector_codes": _vector_codes(),
     "op6_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordbase.llm import chat, decontaminate, exact_dedup, language, lattice, line_dedup, packing, pii, simhash, token_counts
+from wordbase.llm import chat, decontaminate, exact_dedup, language, lattice, line_dedup, packing, pii, simhash, token_counts, vector_codes
 from wordbase.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,3 +89,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.piece_counts(documents(spark, sf_dir), VOCABULARY)
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors as four bytes by product quantisation, 256 entries for each quarter."""
+    return vector_codes.code_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
