@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordbase.llm import chat, decontaminate, exact_dedup, language, lattice, line_dedup, packing, pii, simhash, token_counts, vector_codes
+from wordbase.llm import chat, decontaminate, exact_dedup, language, lattice, line_dedup, packing, phrases, pii, secret_scan, simhash, token_counts, vector_codes
 from wordbase.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +91,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.piece_counts(documents(spark, sf_dir), VOCABULARY)
 
 
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's collocations of two and three words."""
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+@query
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all documents, each content scanned once, by a ledger that begins empty."""
+    return secret_scan.secret_report(documents(spark, sf_dir))
+
+
 @query
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors as four bytes by product quantisation, 256 entries for each quarter."""
