@@ -58,7 +58,7 @@ def test_against_brute_force(spark, table, group_words, words):
     assert rows_of(got) == want and want
 
 
-def test_blocks_of_few_words(spark, table, monkeypatch):
+def test_blocks_of_few_words(monkeypatch):
     """Phrases across the borders of blocks and slices are counted once, those across pieces and documents never."""
     rows = texts_of(random.Random(8), 20) + [("new york city " * 300, "en"), ("one, two", "en")] * 3
     seen = Counter()
@@ -74,7 +74,7 @@ def test_blocks_of_few_words(spark, table, monkeypatch):
         if depth == 3:
             assert not seen or total == seen
             seen = total
-    assert seen["en", (b"york", b"city", b"new")] >= 299 and ("en", (b"one", b"two")) not in seen
+    assert seen[b"en", (b"york", b"city", b"new")] >= 299 and not any((b"one", b"two") == phrase[:2] for _, phrase in seen)
 
 
 def test_ranks(spark):
