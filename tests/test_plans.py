@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wordbase import runtime
 from wordbase.operators import changes, graph_changes, keyed, lookups, network, sentiment, sets, stats
 from wordbase.operators.tokens import token_rows, word_counts
 from wordbase.plans.queries import QUERIES
@@ -204,3 +205,26 @@ def test_a_hot_word_is_reduced_before_the_shuffle(spark):
     last = keyed.one_per_key(rows, "word", "seq")
     assert last.filter("word = 'hot'").first().meaning == "89997"
     assert "partial_max" in plan(last) and plan(last).count("Exchange") == 1
+
+
+def test_pieces_are_on_several_tasks_where_a_short_side_is_broadcast(spark, settings):
+    """A hot key below the broadcast limit: its rows are joined in many tasks, with and without adaptive execution."""
+    left = spark.range(0, 1893, 1, 4).select(F.when(F.col("id") % 7 < 4, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.col("id").alias("n"))
+    right = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") == 5, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.repeat(F.lit("x"), 50).alias("v"))
+    right = runtime.stored(right, "right")
+    for adaptive in ("true", "false"):
+        settings(adaptive__enabled=adaptive, adaptive__coalescePartitions__enabled="true", shuffle__partitions="64", autoBroadcastJoinThreshold="256k")
+        joined = keyed.spread_join(runtime.stored(left, "left"), right, "k")
+        assert "BuildLeft" in plan(joined) or adaptive == "true"
+        hot = joined.filter("k = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in hot) == left.filter("k = 'hot'").count()
+        assert len(hot) >= 16 and max(r["count"] for r in hot) < 1893 / 8
+
+
+def test_names_of_helpers_do_not_clash(spark):
+    left = spark.range(300).select(F.lit("hot").alias("k"), F.col("id").alias("_piece"), F.col("id").alias("_times"), F.col("id").alias("__piece"))
+    right = spark.createDataFrame([("hot", 1, 2)], "k string, _part int, _turn int")
+    for repeats in (False, True):
+        got = keyed.spread_join(left, right, "k", repeats=repeats)
+        assert got.columns == ["k", "_piece", "_times", "__piece", "_part", "_turn"]
+        assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k").collect()))

@@ -53,6 +53,18 @@ def _key(on: list[str]) -> Column:
     return F.when(~keyless, F.xxhash64(*(F.col(c).cast("string") for c in on)))
 
 
+def free_names(names: list[str], *tables: DataFrame) -> list[str]:
+    """The names, with as many underscores before them as it takes to be no column of the tables."""
+    taken = {c.lower() for table in tables for c in table.columns}
+    free = []
+    for name in names:
+        name = f"_{name}"
+        while name in taken:
+            name = f"_{name}"
+        free.append(name)
+    return free
+
+
 def hot_keys(table: DataFrame, on: list[str], size: str | None = None) -> tuple[dict[int, list[int | None]], int]:
     """Keys with many rows for one shuffle partition, by the number of pieces each needs; and the size of a piece.
 
@@ -103,8 +115,8 @@ def spread_join(
     ``repeats`` says that whole rows may repeat, as in a list of titles: equal rows are then counted before the join, cut
     into pieces by their number, and repeated after it.
 
-    Each side is read once here and keeps a size Spark can estimate, so Spark still broadcasts a short
-    side instead of shuffling the other.
+    Only hot rows of the right side are read again for their copies. Both sides keep a size Spark can estimate, so Spark still
+    broadcasts a short side instead of shuffling the other; the pieces of a key are then joined in different tasks all the same.
     """
     on = [on] if isinstance(on, str) else on
     hot, target = hot_keys(left if sizes_of is None else sizes_of, on, size)
@@ -123,21 +135,26 @@ def spread_join(
         return value
 
     names, cut = left.columns, left
+    piece, times, part, start, turn = free_names(["piece", "times", "part", "start", "turn"], left, right)
     if repeats:
-        counted = left.groupBy(*names).agg(F.count("*").alias("_times"))
-        part = F.posexplode(F.sequence(F.lit(1).cast("long"), F.col("_times"), F.lit(target).cast("long")))
-        cut = counted.select("*", part.alias("_part", "_from")).withColumn(
-            "_times", F.least(F.col("_times") - F.col("_from") + 1, F.lit(target).cast("long"))
-        ).drop("_from")
-    shift = F.col("_part") if repeats else F.lit(0)
+        counted = left.groupBy(*names).agg(F.count("*").alias(times))
+        parts = F.posexplode(F.sequence(F.lit(1).cast("long"), F.col(times), F.lit(target).cast("long")))
+        cut = counted.select("*", parts.alias(part, start)).withColumn(
+            times, F.least(F.col(times) - F.col(start) + 1, F.lit(target).cast("long"))
+        ).drop(start)
+    shift = F.col(part) if repeats else F.lit(0)
     # halves of hashes, so that adding the part cannot overflow
-    piece = F.pmod(F.shiftright(F.xxhash64(*names), 1) + shift, pieces(True)).cast("int")
-    cut = cut.withColumn("_piece", piece)
-    copied = right.withColumn("_piece", F.explode(F.sequence(F.lit(0), pieces(False) - 1)))
-    joined = cut.join(copied, [*on, "_piece"], how)
+    number = F.pmod(F.shiftright(F.xxhash64(*names), 1) + shift, pieces(True)).cast("int")
+    cut = cut.withColumn(piece, number)
+    # the copies are dealt out by a shuffle of their own: where Spark broadcasts the left side, they would stay in one task
+    is_hot = F.coalesce(_key(on).isin([k for keys in hot.values() for k in keys if k is not None]), F.lit(False))
+    copies = right.where(is_hot).withColumn(piece, F.explode(F.sequence(F.lit(0), pieces(False) - 1)))
+    copies = copies.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), *on, piece)
+    copied = right.where(~is_hot).withColumn(piece, F.lit(0)).unionByName(copies)
+    joined = cut.join(copied, [*on, piece], how)
     if repeats:
-        joined = joined.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).drop("_time", "_times", "_part")
-    return joined.drop("_piece")
+        joined = joined.withColumn(turn, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).drop(turn, times, part)
+    return joined.drop(piece)
 
 
 def look_up(keys: DataFrame, table: DataFrame, on: str = "word") -> DataFrame:

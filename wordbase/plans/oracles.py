@@ -442,17 +442,15 @@ ORACLES = {
             ELSE 'unknown related word' END AS reason
         FROM edge_patch WHERE src NOT IN (SELECT name FROM nodes) OR dst NOT IN (SELECT name FROM nodes)
         UNION ALL SELECT word1, word2, 'unknown relation' FROM pairs WHERE rel IS NULL""",
-    "delete_nodes": f"SELECT {_NODE} FROM nodes WHERE name NOT IN (SELECT name FROM doomed)",
+    "delete_nodes": f"SELECT {_NODE} FROM nodes ANTI JOIN doomed USING (name)",
     "delete_edges": """
-        SELECT src, rel, dst FROM edges
-        WHERE src NOT IN (SELECT name FROM doomed) AND dst NOT IN (SELECT name FROM doomed)""",
+        SELECT src, rel, dst FROM edges ANTI JOIN doomed s ON src = s.name ANTI JOIN doomed d ON dst = d.name""",
     "delete_rejects": """
         SELECT name, CASE WHEN name NOT IN (SELECT name FROM nodes) THEN 'unknown word'
             ELSE 'not confirmed' END AS reason
         FROM requests WHERE NOT confirmed OR name NOT IN (SELECT name FROM nodes)""",
     "delete_mirrored": """
-        SELECT 'lexicon:' || word AS key FROM batch_counts
-        WHERE word NOT IN (SELECT name FROM doomed)""",
+        SELECT 'lexicon:' || word AS key FROM batch_counts ANTI JOIN doomed ON word = name""",
     "delete_keys": "SELECT key FROM keys_left",
     "delete_keys_report": """
         SELECT (SELECT count(*) FROM batch_counts) - count(*) AS deleted FROM keys_left""",
@@ -464,6 +462,30 @@ ORACLES = {
         FROM batch_nodes ANTI JOIN nodes USING (name)""",
 }
 
+# the same result by another way: in place, out of pruned tables, by what changed
+ORACLES |= {
+    "upsert_in_place": ORACLES["upsert_words"],
+    "update_in_place": ORACLES["update_fields"],
+    "corrections_in_place": ORACLES["corrections"],
+    "patch_nodes_in_place": ORACLES["patch_nodes"],
+    "delete_nodes_in_place": ORACLES["delete_nodes"],
+    "upsert_in_place_report": """
+        SELECT 1 AS time, count(*) FILTER (c.word IS NULL) AS added, count(*) FILTER (c.word IS NOT NULL) AS changed, 0::BIGINT AS gone
+        FROM batch_counts b LEFT JOIN counts c USING (word)
+        UNION ALL SELECT 2, 0, 0, 0""",
+    "word_lookup_pruned": ORACLES["word_lookup"],
+    "mirror_lookup_pruned": f"SELECT {_NODE} FROM batch_nodes WHERE name IN ({_list(ASKED)})",
+    "mirror_refresh_incremental": """
+        SELECT name, coalesce(p."POS", n."POS") AS "POS", sentiment, round(coalesce(p.sentiment_score, n.sentiment_score), 6) AS sentiment_score,
+            coalesce(p.meaning, n.meaning) AS meaning
+        FROM nodes n LEFT JOIN node_patch p USING (name) ANTI JOIN doomed d USING (name)""",
+    "mirror_changes_report": """
+        SELECT 0::BIGINT AS added,
+            (SELECT count(*) FROM node_patch SEMI JOIN nodes USING (name) ANTI JOIN doomed USING (name)) AS changed,
+            (SELECT count(*) FROM doomed) AS gone""",
+    "lexicon_refresh_incremental": f"SELECT {_ROUNDED} FROM lexicon",
+}
+
 
 def _used(text: str) -> set[str]:
     return {name for name in VIEWS if re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text)}
@@ -476,7 +498,8 @@ def sql(name: str) -> str:
     while open_:
         needed |= open_
         open_ = set().union(*(_used(VIEWS[v]) for v in open_)) - needed
-    views = [f'"{v}" AS ({VIEWS[v].strip()})' for v in VIEWS if v in needed]
+    # made once each: DuckDB would put a view's text in wherever it is used, and cut the corpus into words each time
+    views = [f'"{v}" AS MATERIALIZED ({VIEWS[v].strip()})' for v in VIEWS if v in needed]
     if body.startswith("WITH "):
         views.append(body.removeprefix("WITH "))
         return "WITH " + ",\n".join(views)

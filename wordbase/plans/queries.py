@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from wordbase.functions.scoring import model_scorer
 from wordbase.operators import (
     changes,
+    differences,
     graph_changes,
     lookups,
     network,
@@ -27,8 +28,8 @@ from wordbase.operators import (
 from wordbase.operators.keyed import listed
 from wordbase.plans.stand_ins import ASKED, Inputs
 from wordbase.runtime import scratch_path
-from wordbase.schemas import NODE_PROPERTIES, SCORED
-from wordbase.sources import articles, csv, messages, runs, stores
+from wordbase.schemas import MIRROR_PREFIX, NODE_PROPERTIES, SCORED
+from wordbase.sources import articles, csv, keyed_tables, messages, runs, stores
 from wordbase.streaming import clean
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +38,7 @@ QUERIES: dict[str, Query] = {}
 WHEN = datetime(2024, 12, 12, 21, 8, 30)
 STAMP = runs.run_stamp(WHEN)
 OWNER = "wordbase"
+BUCKETS = 64  #: folders of the tables laid out by key, for sizes as those of the tests
 
 
 def query(*keep: str):
@@ -287,6 +289,22 @@ def word_lookup(i):
     return _rounded(lookups.find_words(i.lexicon, i.word_list), "sentiment_scores")
 
 
+@query("counts")
+def word_lookup_pruned(i):
+    """The same out of a table laid out by word, of which only the folders of the listed words are read."""
+    table = keyed_tables.create(i.lexicon, scratch_path(i.spark, "lexicon"), "word", BUCKETS)
+    found = keyed_tables.look_up(i.spark, table, i.word_list)
+    return _rounded(lookups.find_words(found, i.word_list), "sentiment_scores")
+
+
+@query()
+def mirror_lookup_pruned(i):
+    """Mirror rows of words that come as a list of the caller, out of a mirror laid out by key."""
+    table = keyed_tables.create(i.mirror, scratch_path(i.spark, "mirror"), "key", BUCKETS)
+    found = keyed_tables.look_up(i.spark, table, [f"{MIRROR_PREFIX}{word}" for word in ASKED])
+    return _rounded(lookups.mirror_nodes(found), "sentiment_score")
+
+
 @query()
 def word_fields(i):
     """Fields of the records of the listed words, one row per field."""
@@ -340,13 +358,44 @@ def mirrored_total(i):
     return stats.mirrored_total(i.mirror)
 
 
-@query()
+@query("counts", "batch_counts")
 def mirror_refresh(i):
     """The mirror after a sync with the graph, parsed back."""
     fresh = lookups.refresh_mirror(i.mirror, i.nodes)
     return _rounded(lookups.mirror_nodes(fresh), "sentiment_score")
 
 
+def _nodes_later(i: Inputs) -> DataFrame:
+    """The nodes after a patch and after deletes."""
+    patched = graph_changes.patch_nodes(i.nodes, i.node_patch).nodes
+    return graph_changes.delete_nodes(patched, i.edges.filter("false"), i.delete_requests).nodes
+
+
+def _mirror_changes(i: Inputs) -> DataFrame:
+    before = differences.state_of(lookups.mirror_of(i.nodes), "key")
+    return differences.difference(before, lookups.mirror_of(_nodes_later(i)), "key")
+
+
+@query("counts", "batch_counts")
+def mirror_refresh_incremental(i):
+    """A full mirror brought up to date with what a patch and deletes changed in the nodes, parsed back."""
+    fresh = differences.apply_difference(lookups.mirror_of(i.nodes), _mirror_changes(i), "key")
+    return _rounded(lookups.mirror_nodes(fresh), "sentiment_score")
+
+
+@query("counts", "batch_counts")
+def mirror_changes_report(i):
+    return differences.difference_report(_mirror_changes(i))
+
+
+@query("counts", "batch_counts")
+def lexicon_refresh_incremental(i):
+    """The lexicon of the first load brought up to date with what the second load changed."""
+    first = records.build_lexicon(i.records.filter("seq = 1"))
+    changed = differences.difference(differences.state_of(first, "word"), i.lexicon, "word")
+    return _rounded(differences.apply_difference(first, changed, "word"), "sentiment_scores")
+
+
 @query()
 def mirror_refresh_report(i):
     return lookups.refresh_report(i.nodes)
@@ -567,6 +616,52 @@ def correction_outcomes(i):
     return changes.correct(_corpus_lexicon(i), i.corrections)[1]
 
 
+def _changed_in_place(i: Inputs, rows: DataFrame, key: str, patch: DataFrame, apply, times: int = 1):
+    """A table laid out by key after a change in place, and the outcome of each time it was made."""
+    table = keyed_tables.create(rows, scratch_path(i.spark, "keyed"), key, BUCKETS)
+    outcomes = [keyed_tables.change(i.spark, table, patch, apply) for _ in range(times)]
+    return keyed_tables.read(i.spark, table), outcomes
+
+
+@query("counts", "batch_counts")
+def upsert_in_place(i):
+    """The upserts made in the folders of their words."""
+    after, _ = _changed_in_place(i, _corpus_lexicon(i), "word", i.upserts, lambda part: changes.upsert(part, i.upserts))
+    return _rounded(after, "sentiment_scores")
+
+
+@query("counts", "batch_counts")
+def upsert_in_place_report(i):
+    """What the upserts change, and what they change when made again."""
+    _, outcomes = _changed_in_place(i, _corpus_lexicon(i), "word", i.upserts, lambda part: changes.upsert(part, i.upserts), 2)
+    return i.spark.createDataFrame([(n, *o[:3]) for n, o in enumerate(outcomes, 1)], "time int, added long, changed long, gone long")
+
+
+@query("counts", "batch_counts")
+def update_in_place(i):
+    after, _ = _changed_in_place(i, _corpus_lexicon(i), "word", i.entries, lambda part: changes.update_fields(part, i.entries).lexicon)
+    return _rounded(after, "sentiment_scores")
+
+
+@query("counts", "batch_counts")
+def corrections_in_place(i):
+    after, _ = _changed_in_place(i, _corpus_lexicon(i), "word", i.corrections, lambda part: changes.correct(part, i.corrections)[0])
+    return _rounded(after, "sentiment_scores")
+
+
+@query("counts", "batch_counts")
+def patch_nodes_in_place(i):
+    after, _ = _changed_in_place(i, i.nodes, "name", i.node_patch, lambda part: graph_changes.patch_nodes(part, i.node_patch).nodes)
+    return _rounded(after, "sentiment_score")
+
+
+@query("counts")
+def delete_nodes_in_place(i):
+    none = i.edges.filter("false")
+    after, _ = _changed_in_place(i, i.nodes, "name", i.delete_requests, lambda part: graph_changes.delete_nodes(part, none, i.delete_requests).nodes)
+    return _rounded(after, "sentiment_score")
+
+
 # --- graph changes --------------------------------------------------------------------
 
 
