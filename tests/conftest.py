@@ -29,3 +29,18 @@ def build_session() -> SparkSession:
 @pytest.fixture(scope="session")
 def spark():
     return build_session()
+
+
+@pytest.fixture()
+def settings(spark):
+    changed = {}
+
+    def set_(**values):
+        for name, value in values.items():
+            key = "spark.sql." + name.replace("__", ".")
+            changed[key] = spark.conf.get(key)
+            spark.conf.set(key, value)
+
+    yield set_
+    for key, value in changed.items():
+        spark.conf.set(key, value)

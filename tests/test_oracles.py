@@ -13,6 +13,7 @@ from wordbase.sources import articles
 
 SF = "/root/testdata/sf0.001"
 STATEMENTS = entry.oracle_sql()
+WITHOUT_SQL = {"sentiment_scored_by_fitted_model", "sentiment_model_report"}  # see test_sentiment_model
 
 
 @pytest.fixture(scope="module")
@@ -21,11 +22,11 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) - WITHOUT_SQL == set(ORACLES)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(STATEMENTS) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     assert not differences(df, con, STATEMENTS[name])

@@ -20,21 +20,6 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture()
-def settings(spark):
-    changed = {}
-
-    def set_(**values):
-        for name, value in values.items():
-            key = "spark.sql." + name.replace("__", ".")
-            changed[key] = spark.conf.get(key)
-            spark.conf.set(key, value)
-
-    yield set_
-    for key, value in changed.items():
-        spark.conf.set(key, value)
-
-
 def saved(spark, tmp_path, schema, rows):
     path = str(tmp_path / "table")
     spark.createDataFrame(rows, schema).write.parquet(path)

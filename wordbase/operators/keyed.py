@@ -47,7 +47,7 @@ def without(table: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame
     return table.join(keys.select(*on), on, "left_anti")
 
 
-def _key(on: list[str]) -> Column:
+def row_key(on: list[str]) -> Column:
     """One number for the key columns, whatever their types; null only if a key is."""
     keyless = reduce(or_, (F.col(c).isNull() for c in on))
     return F.when(~keyless, F.xxhash64(*(F.col(c).cast("string") for c in on)))
@@ -77,7 +77,7 @@ def hot_keys(table: DataFrame, on: list[str], size: str | None = None) -> tuple[
     """
     parts = PIECES_A_PARTITION * int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = (
-        table.select(_key(on).alias("key"), *([F.col(size).alias("size")] if size else []))
+        table.select(row_key(on).alias("key"), *([F.col(size).alias("size")] if size else []))
         .rollup("key")
         .agg((F.sum("size") if size else F.count("*")).alias("size"), F.grouping("key").alias("all"))
         .orderBy(F.desc("all"), F.desc("size"))
@@ -129,9 +129,9 @@ def spread_join(
         for n, keys in hot.items():
             given = [k for k in keys if k is not None]
             if given:
-                value = F.when(_key(on).isin(given), n).otherwise(value)
+                value = F.when(row_key(on).isin(given), n).otherwise(value)
             if known and None in keys:
-                value = F.when(_key(on).isNull(), n).otherwise(value)
+                value = F.when(row_key(on).isNull(), n).otherwise(value)
         return value
 
     names, cut = left.columns, left
@@ -147,7 +147,7 @@ def spread_join(
     number = F.pmod(F.shiftright(F.xxhash64(*names), 1) + shift, pieces(True)).cast("int")
     cut = cut.withColumn(piece, number)
     # the copies are dealt out by a shuffle of their own: where Spark broadcasts the left side, they would stay in one task
-    is_hot = F.coalesce(_key(on).isin([k for keys in hot.values() for k in keys if k is not None]), F.lit(False))
+    is_hot = F.coalesce(row_key(on).isin([k for keys in hot.values() for k in keys if k is not None]), F.lit(False))
     copies = right.where(is_hot).withColumn(piece, F.explode(F.sequence(F.lit(0), pieces(False) - 1)))
     copies = copies.repartition(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), *on, piece)
     copied = right.where(~is_hot).withColumn(piece, F.lit(0)).unionByName(copies)

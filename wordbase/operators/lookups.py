@@ -9,6 +9,7 @@ from wordbase.functions.parse import mirror_key, mirror_word
 from wordbase.functions.text import capitalised
 from wordbase.operators.keyed import as_keys, listed, look_up, matching, spread_join
 from wordbase.operators.records import usable
+from wordbase.runtime import stored
 from wordbase.schemas import FLAT, NODE, NODE_PROPERTIES
 
 WRITE_NULLS = {"ignoreNullFields": "false"}
@@ -104,21 +105,20 @@ def word_existence(
     """Per distinct word: how often it was asked for and which store has it.
 
     Repeats are counted before anything is joined, so a word that fills a third of the list
-    is one row from then on.
+    is one row from then on. The counted list is written once: its known size decides whether the stores are shuffled, and a list that
+    is derived is not made again for each of them.
     """
     if not isinstance(words, DataFrame):
         words = listed(nodes, words)
-    wanted = words.groupBy(F.col("word").alias("name")).agg(F.count("*").alias("occurrences"))
-    flags = {
-        "in_mirror": mirror_names(mirror),
-        "in_graph": nodes.select("name"),
-    }
-    for flag, names in flags.items():
-        wanted_names = wanted.select("name")
-        hits = matching(names, wanted_names, "name").select("name", F.lit(True).alias(flag))
-        wanted = wanted.join(hits, "name", "left")
-    has = {flag: F.coalesce(flag, F.lit(False)) for flag in flags}
-    return wanted.select(
+    wanted = stored(words.groupBy(F.col("word").alias("name")).agg(F.count("*").alias("occurrences")), "wanted")
+    keys = wanted.select("name")
+    sides = {"in_mirror": mirror_names(mirror), "in_graph": nodes.select("name")}
+    hits = [
+        matching(names, keys, "name").select("name", *(F.lit(flag == side).alias(flag) for flag in sides)) for side, names in sides.items()
+    ]
+    found = hits[0].unionByName(hits[1]).groupBy("name").agg(*(F.bool_or(flag).alias(flag) for flag in sides))
+    has = {flag: F.coalesce(flag, F.lit(False)) for flag in sides}
+    return wanted.join(found, "name", "left").select(
         F.col("name").alias("word"),
         "occurrences",
         *(value.alias(flag) for flag, value in has.items()),
@@ -173,10 +173,10 @@ def read_through(
     cached = mirror_nodes(mirror, keys).select(
         "name", F.struct(*NODE_PROPERTIES).alias("cached")
     )
-    stored = matching(nodes, keys, "name").select(
+    in_graph = matching(nodes, keys, "name").select(
         "name", F.struct(*NODE_PROPERTIES).alias("stored")
     )
-    both = keys.join(cached, "name", "left").join(stored, "name", "left")
+    both = keys.join(cached, "name", "left").join(in_graph, "name", "left")
     source = F.when(F.col("cached").isNotNull(), "mirror").when(
         F.col("stored").isNotNull(), "graph"
     )
@@ -204,7 +204,7 @@ def compare_stores(
     cached = mirror_nodes(mirror, keys).select(
         "name", F.struct(*NODE.names).alias("mirror_data")
     )
-    stored = matching(nodes, keys, "name").select("name", graph_answer().alias("graph_data"))
+    in_graph = matching(nodes, keys, "name").select("name", graph_answer().alias("graph_data"))
     m, g = F.col("mirror_data"), F.col("graph_data")
     pairs = (
         ("POS", "part_of_speech"),
@@ -217,6 +217,6 @@ def compare_stores(
         same = same & m[ours].eqNullSafe(g[theirs])
     return (
         keys.join(cached, "name", "left")
-        .join(stored, "name", "left")
+        .join(in_graph, "name", "left")
         .select(F.col("name").alias("word"), "mirror_data", "graph_data", same.alias("agree"))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordbase.functions.parse import relation_name
-from wordbase.operators.keyed import matching
+from wordbase.operators.keyed import listed, matching
 from wordbase.runtime import stored
 
 
@@ -44,17 +44,24 @@ def degrees(graph: DataFrame) -> DataFrame:
     )
 
 
-def graph_size(graph: DataFrame) -> DataFrame:
-    """Nodes and edges in one pass: every edge adds two to the sum of degrees."""
-    return degrees(graph).agg(
-        F.count("*").alias("nodes"),
-        F.coalesce(F.expr("sum(degree) div 2"), F.lit(0).cast("long")).alias("edges"),
+def graph_summaries(edges: DataFrame, relations: list[str]) -> DataFrame:
+    """Nodes and edges of the simple graph of each relation, in one pass over all of them; 0 for a relation without any.
+
+    Every edge adds two to the sum of degrees.
+    """
+    names = listed(edges, dict.fromkeys(map(relation_name, relations)), "relation")
+    pairs = edges.filter(F.col("rel").isin(*{relation_name(r) for r in relations})).select(
+        F.col("rel").alias("relation"), F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
     )
+    ends = pairs.distinct().select("relation", F.explode(F.array("a", "b")).alias("node"))
+    degree = ends.groupBy("relation", "node").agg(F.count("*").alias("degree"))
+    sizes = degree.groupBy("relation").agg(F.count("*").alias("nodes"), F.expr("sum(degree) div 2").alias("edges"))
+    none = F.lit(0).cast("long")
+    return names.join(sizes, "relation", "left").select("relation", *(F.coalesce(c, none).alias(c) for c in ("nodes", "edges")))
 
 
 def graph_summary(edges: DataFrame, relation: str) -> DataFrame:
-    size = graph_size(undirected(relation_edges(edges, relation)))
-    return size.select(F.lit(relation_name(relation)).alias("relation"), "nodes", "edges")
+    return graph_summaries(edges, [relation])
 
 
 def best_ranges(histogram: list[tuple[int, int]], k: int) -> list[int]:

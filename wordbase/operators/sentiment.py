@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordbase.functions.scoring import neutral_band
 from wordbase.functions.text import capitalised, percent_text
 from wordbase.operators.keyed import as_keys, look_up, matching, without
+from wordbase.operators.sentiment_model import predicted
 from wordbase.schemas import (
     FREQUENCY,
     NO_SCORE,
@@ -22,16 +24,18 @@ from wordbase.sources import runs
 
 
 def score_sentiment(
-    frequencies: DataFrame, scorer: DataFrame | Callable[[Column], Column]
+    frequencies: DataFrame, scorer: DataFrame | PipelineModel | Callable[[Column], Column]
 ) -> DataFrame:
     """``word, count, sentiment, sentiment_score`` for a frequency table.
 
-    ``scorer`` is a table ``word, label, score`` that is joined, or a column function that
+    ``scorer`` is a table ``word, label, score`` that is joined, a model fitted by ``sentiment_model``, or a column function that
     returns ``struct<label, score>`` (see ``model_scorer``). Words a table does not score get
     ``-`` and 0.0. Scores inside the neutral band become neutral.
     """
     if isinstance(scorer, DataFrame):
         scored = frequencies.join(scorer.select("word", "label", "score"), "word", "left")
+    elif isinstance(scorer, PipelineModel):
+        scored = predicted(frequencies.select("word", "count"), scorer)
     else:
         scored = frequencies.withColumn("scored", scorer(F.col("word"))).select(
             "word", "count", "scored.label", "scored.score"
@@ -55,7 +59,7 @@ def annotate_run(
     area: str,
     stamp: str,
     owner: str,
-    scorer: DataFrame | Callable[[Column], Column],
+    scorer: DataFrame | PipelineModel | Callable[[Column], Column],
 ) -> str:
     """Score one run of the cleaned or the update area into its labelled area."""
     if area not in ANNOTATED_FROM:

@@ -32,8 +32,8 @@ def pos_segments(lexicon: DataFrame) -> DataFrame:
 
 def pos_distribution(nodes: DataFrame) -> DataFrame:
     """Nodes per part of speech with their share of all nodes, missing ones as UNKNOWN."""
-    total = nodes.agg(F.count("*")).scalar()
     counts = nodes.groupBy(F.coalesce("POS", F.lit(UNKNOWN_POS)).alias("pos")).count()
+    total = counts.agg(F.sum("count")).scalar()  # of the counts, so that the nodes are read once
     share = 100 * F.try_divide(F.col("count"), total)
     return counts.select("pos", "count", share.alias("percentage")).withColumn(
         "percent", percent_text(F.col("percentage"))

@@ -464,6 +464,8 @@ ORACLES = {
 
 # the same result by another way: in place, out of pruned tables, by what changed
 ORACLES |= {
+    "titles_text_laid_out": ORACLES["titles_text"],
+    "stream_word_count_laid_out": ORACLES["stream_word_count"],
     "upsert_in_place": ORACLES["upsert_words"],
     "update_in_place": ORACLES["update_fields"],
     "corrections_in_place": ORACLES["corrections"],
@@ -473,6 +475,19 @@ ORACLES |= {
         SELECT 1 AS time, count(*) FILTER (c.word IS NULL) AS added, count(*) FILTER (c.word IS NOT NULL) AS changed, 0::BIGINT AS gone
         FROM batch_counts b LEFT JOIN counts c USING (word)
         UNION ALL SELECT 2, 0, 0, 0""",
+    "sentiment_spread": """
+        WITH RECURSIVE links AS MATERIALIZED (
+            SELECT DISTINCT src, dst, agrees FROM (
+                SELECT src, dst, CASE rel WHEN 'SYNONYM_OF' THEN 1 ELSE -1 END AS agrees FROM edges WHERE rel IN ('SYNONYM_OF', 'ANTONYM_OF') AND src <> dst
+                UNION ALL SELECT dst, src, CASE rel WHEN 'SYNONYM_OF' THEN 1 ELSE -1 END FROM edges WHERE rel IN ('SYNONYM_OF', 'ANTONYM_OF') AND src <> dst)),
+        spread(word, sign, round) USING KEY (word) AS (
+            SELECT word, CASE sentiment WHEN 'positive' THEN 1 ELSE -1 END, 0 FROM scored WHERE sentiment IN ('positive', 'negative')
+            UNION
+            SELECT dst, sign(sum(agrees * sign))::INTEGER, any_value(round) + 1
+            FROM spread JOIN links ON src = word
+            WHERE NOT EXISTS (SELECT 1 FROM recurring.spread r WHERE r.word = dst)
+            GROUP BY dst HAVING sum(agrees * sign) <> 0)
+        SELECT word, CASE WHEN sign > 0 THEN 'positive' ELSE 'negative' END AS sentiment, round FROM spread""",
     "word_lookup_pruned": ORACLES["word_lookup"],
     "mirror_lookup_pruned": f"SELECT {_NODE} FROM batch_nodes WHERE name IN ({_list(ASKED)})",
     "mirror_refresh_incremental": """
@@ -500,6 +515,8 @@ def sql(name: str) -> str:
         open_ = set().union(*(_used(VIEWS[v]) for v in open_)) - needed
     # made once each: DuckDB would put a view's text in wherever it is used, and cut the corpus into words each time
     views = [f'"{v}" AS MATERIALIZED ({VIEWS[v].strip()})' for v in VIEWS if v in needed]
+    if body.startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join([*views, body.removeprefix("WITH RECURSIVE ")])
     if body.startswith("WITH "):
         views.append(body.removeprefix("WITH "))
         return "WITH " + ",\n".join(views)

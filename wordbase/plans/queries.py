@@ -19,8 +19,10 @@ from wordbase.operators import (
     graph_changes,
     lookups,
     network,
+    propagation,
     records,
     sentiment,
+    sentiment_model,
     sets,
     stats,
     tokens,
@@ -89,6 +91,15 @@ def titles_text(i):
     return articles.article_texts(titles, _articles(i, "source", "text"), unique=True).select("title", "text")
 
 
+@query()
+def titles_text_laid_out(i):
+    """The same out of articles in buckets, which are not moved for it."""
+    addresses = i.table("pages").select(F.col("url").alias("title"), F.lit(None).cast("string").alias("category"))
+    titles = _articles(i, "source").unionByName(addresses)
+    laid_out = articles.lay_out_articles(_articles(i, "source", "text"), BUCKETS)
+    return articles.article_texts(titles, laid_out, unique=True).select("title", "text")
+
+
 @query()
 def title_lists(i):
     """The title messages, read back one row per title."""
@@ -106,15 +117,14 @@ def word_count(i):
     return i.counts
 
 
-@query()
-def stream_word_count(i):
+def _streamed_counts(i: Inputs, texts: DataFrame) -> DataFrame:
     """Publish the title lists, clean them as a stream, add the messages of a category up."""
     root = scratch_path(i.spark, "stream")
     sent = messages.title_messages(_articles(i, "source"))
     messages.write_messages(sent, f"{root}/messages")
     clean.clean_messages(
         clean.read_messages(i.spark, f"{root}/messages"),
-        _articles(i, "source", "text"),
+        texts,
         root,
         STAMP,
         OWNER,
@@ -127,6 +137,17 @@ def stream_word_count(i):
     return counted.groupBy(category, "word").agg(F.sum("count").alias("count"))
 
 
+@query()
+def stream_word_count(i):
+    return _streamed_counts(i, _articles(i, "source", "text"))
+
+
+@query()
+def stream_word_count_laid_out(i):
+    """The same with articles in buckets, so that a batch shuffles titles only."""
+    return _streamed_counts(i, articles.lay_out_articles(_articles(i, "source", "text"), BUCKETS))
+
+
 # --- annotate --------------------------------------------------------------
 
 
@@ -151,6 +172,33 @@ def sentiment_scored_by_model(i):
     return _rounded(scored, "sentiment_score")
 
 
+def _held_out(word):
+    return F.crc32(word.cast("binary")) % 5 == 1
+
+
+@query("counts", "scores")
+def sentiment_scored_by_fitted_model(i):
+    """All corpus words, by a model of the labelled words but a fifth."""
+    model = sentiment_model.fit(i.scores.where(~_held_out(F.col("word"))))
+    return _rounded(sentiment.score_sentiment(i.counts, model), "sentiment_score")
+
+
+@query("scores")
+def sentiment_model_report(i):
+    """How many of the fifth the model has right."""
+    held_out = _held_out(F.col("word"))
+    return sentiment_model.report(i.scores.where(held_out), sentiment_model.fit(i.scores.where(~held_out)))
+
+
+@query("counts")
+def sentiment_spread(i):
+    """Labels of scored words, spread along synonyms and antonyms."""
+    sign = F.when(F.col("sentiment") == "positive", 1).when(F.col("sentiment") == "negative", -1)
+    seeds = i.scored.select("word", sign.alias("sign")).where("sign IS NOT NULL")
+    reached = propagation.spread_sentiment(i.edges, seeds)
+    return reached.select("word", F.when(F.col("sign") > 0, "positive").otherwise("negative").alias("sentiment"), "round")
+
+
 @query()
 def csv_round_trip(i):
     """Frequencies to the cleaned area, annotated into the labelled one, read for one run."""
@@ -476,12 +524,9 @@ def relation_edges(i):
     return network.undirected(network.relation_edges(i.edges, "hypernym"))
 
 
-@query("counts", "edges")
+@query("counts")
 def graph_summary(i):
-    synonyms, antonyms, hypernyms, meronyms = (
-        network.graph_summary(i.edges, r) for r in ("synonym", "antonym", "hypernym", "meronym")
-    )
-    return synonyms.unionByName(antonyms).unionByName(hypernyms).unionByName(meronyms)
+    return network.graph_summaries(i.edges, ["synonym", "antonym", "hypernym", "meronym"])
 
 
 def _meronym_degrees(i: Inputs) -> DataFrame:

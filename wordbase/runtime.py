@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 _written: dict[str, list[str]] = {}  # paths by application
+_named: dict[str, list[str]] = {}  # tables of the catalog by application
 
 
 def _shared_folder(spark: SparkSession) -> str:
@@ -49,11 +50,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_in_buckets(df: DataFrame, name: str, keys: list[str], buckets: int) -> DataFrame:
+    """``df`` written once, dealt to buckets by its keys and sorted by them in each: joins on all of the keys do not shuffle it.
+
+    Spark knows the layout by the catalog, so the table has a name there; its files are in the shared folder.
+    """
+    table = f"{name}_{uuid.uuid4().hex}"
+    dealt = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    dealt.option("path", scratch_path(df.sparkSession, name)).format("parquet").saveAsTable(table)
+    _named.setdefault(df.sparkSession.sparkContext.applicationId, []).append(table)
+    return df.sparkSession.table(table)
+
+
 def clear_stored(spark: SparkSession) -> int:
-    """Delete what this session has written with ``scratch_path`` and ``stored``; returns how many paths that were.
+    """Delete what this session has written with ``scratch_path``, ``stored`` and ``stored_in_buckets``; returns how many paths that were.
 
     The caller runs it when all results are read: until then they are read from these tables.
     """
+    for table in _named.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     paths = _written.pop(spark.sparkContext.applicationId, [])
     for path in paths:
         there = spark._jvm.org.apache.hadoop.fs.Path(path)

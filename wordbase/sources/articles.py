@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordbase.operators.keyed import spread_join
+from wordbase.operators.keyed import hot_keys, row_key, spread_join
+from wordbase.runtime import stored, stored_in_buckets
 
 
 def category_titles(
@@ -65,17 +66,47 @@ def of_categories(articles: DataFrame, titles: DataFrame) -> DataFrame:
     return articles.filter(named if len(known) == len(names) else named | F.col("category").isNull())
 
 
+def lay_out_articles(articles: DataFrame, buckets: int) -> DataFrame:
+    """``articles(category, title, text)``, one page each, written once in buckets by category and title.
+
+    Titles are then joined to it, batch after batch, by a shuffle of the titles alone: it is what ``found_texts`` and
+    ``article_texts`` take with ``unique=True``. Choose as many buckets as the tasks that are to read all texts.
+    """
+    return stored_in_buckets(with_category_key(articles), "articles", [*CATEGORY_KEY, "title"], buckets)
+
+
+def _in_buckets(titles: DataFrame, pages: DataFrame, on: list[str], how: str) -> DataFrame:
+    """``titles`` joined to articles in buckets, which stay where they are.
+
+    A title that comes in very many rows would make a hot bucket. There are fewer such titles than 16 times the partitions; their
+    articles are looked up by a broadcast, and joined in pieces.
+    """
+    hot, _ = hot_keys(titles, on)
+    keys = [k for part in hot.values() for k in part if k is not None]
+    if not keys:
+        return titles.join(pages, on, how)
+    is_hot = F.coalesce(row_key(on).isin(keys), F.lit(False))
+    crowded = titles.where(is_hot)
+    few = stored(pages.join(F.broadcast(crowded.select(*on).distinct()), on, "left_semi"), "hot_articles")
+    return titles.where(~is_hot).join(pages, on, how).unionByName(spread_join(crowded, few, on, how, repeats=True))
+
+
 def _with_texts(titles: DataFrame, articles: DataFrame, unique: bool, how: str) -> DataFrame:
     """``titles`` joined to the text of the first page that has one.
 
     Texts are by far the widest column, so they are read and moved once: which page comes first is
-    found without them, and a short title list is broadcast to the articles.
+    found without them, and a short title list is broadcast to the articles. Articles that are laid out in buckets are not moved at all.
     """
     on = _place(titles, articles)
+    laid_out = set(CATEGORY_KEY) <= set(articles.columns)
+    if laid_out and not (unique and "category" in on):
+        raise ValueError("articles in buckets are joined by category and title, one page each")
     if "category" in on:
-        titles, articles = with_category_key(titles), with_category_key(articles)
+        titles, articles = with_category_key(titles), articles if laid_out else with_category_key(articles)
         on = [*CATEGORY_KEY, "title"]
     pages = articles.filter(F.col("text").isNotNull())
+    if laid_out:
+        return _in_buckets(titles, pages.select(*on, "text"), on, how)
     if unique:
         return spread_join(titles, pages.select(*on, "text"), on, how, repeats=True)
     if "page" not in articles.columns:
