@@ -136,3 +136,49 @@ def test_short_items_and_long_runs(table, items):
     docs = [(1, around(" ".join(long[100:340]))), (2, around(" ".join(long[100:149]))), (3, around(" ".join(long[100:150]))), (4, around("Quoth the raven")), (5, around("quoth raven the"))]
     got = found(table, items, docs, [(1, " ".join(long)), (2, "Quoth the raven?")])
     assert got == {(1, 1): round(233 / 493, 3), (3, 1): round(43 / 493, 3), (4, 2): 1.0}
+
+
+def numbers(rng, n):
+    return " ".join(str(rng.randint(100, 99_999)) for _ in range(n))
+
+
+def test_runs_of_slots(table, items):
+    """Items with more numbers in a row than a window has words: found whole wherever the run stands, with agreeing values only."""
+    rng = random.Random(21)
+    a, b, c, d = (numbers(rng, k) for k in (12, 20, 9, 8))
+    benchmark = [
+        (1, f"the readings of the long winter were {a} as the log of the old station says"), (2, f"{b} are the values that she wrote down in her book"),
+        (3, f"please add all of these numbers up for me now {c}"), (4, f"first we saw {d} then came {d} and after that it was over"),
+    ]
+    a2, b2, c2, d2, e2 = (numbers(rng, k) for k in (12, 20, 9, 8, 8))
+    other = lambda i, old, new: benchmark[i - 1][1].replace(old, new)
+    docs = [
+        (1, around(other(1, a, a2))), (2, around(other(2, b, b2))), (3, around(other(3, c, c2))), (4, around(other(4, d, d2))),
+        (5, numbers(rng, 30) + " " + other(2, b, b2)), (6, other(3, c, c2) + " " + numbers(rng, 30)),  # the document's run is longer
+        (7, around(benchmark[3][1].replace(d, d2, 1).replace(d, e2))),  # other values at its second place
+        (8, around(other(2, b, b2.split(" ", 3)[3]))),  # the run is too short
+        (9, around(other(3, c, " ".join(c2.split()[:5] + ["Emma"] + c2.split()[6:])))),  # a name among the numbers
+        (10, around(numbers(rng, 200))), (11, around(a)), (12, around(benchmark[0][1])), (None, other(1, a, a2)),
+    ]
+    got = found(table, items, docs, benchmark)
+    whole = {k for k, share in got.items() if share == 1.0}
+    assert whole == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 2), (6, 3), (12, 1), (None, 1)}
+    # (9, 3) holds half of the item's windows in the words before the numbers
+    assert set(got) - whole <= {(7, 4), (9, 3), (11, 1)}
+
+
+def test_tables_of_numbers_meet_nobody(spark, table, items, monkeypatch):
+    """An item of many numbers and documents of thousands: what is joined does not grow with both."""
+    rng = random.Random(22)
+    item = f"the table of the year reads {numbers(rng, 40)} in all"
+    docs = [(i, f"the table of the year shows {numbers(rng, 5000)} or so") for i in range(3)] + [(9, item.replace("year", "year")), (10, numbers(rng, 5000) + " " + item)]
+    kept = {}
+    stored = decontaminate.stored
+
+    def counting(df, name):
+        kept[name] = stored(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(decontaminate, "stored", counting)
+    assert found(table, items, docs, [(1, item)]) == {(9, 1): 1.0, (10, 1): 1.0}
+    assert kept["found_windows"].count() < 500 and kept["seen_windows"].count() < 600

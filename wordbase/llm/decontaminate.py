@@ -15,6 +15,10 @@ bitmap has a fixed size, whatever the size of the benchmark; it only saves shuff
 so a passage found in many documents is a hot key of a plain join, which Spark splits.
 
 A template window with fewer than ``LITERALS`` words of its own only counts where the whole item is found along the alignment.
+One of slots alone says nothing, and its hash would be that of any table of numbers: it is never joined. Runs of slots that are that long
+are kept whole. Where all other windows of an item are found along an alignment, its runs are looked up at the places they must have in the
+document, by one row for each run, and their types and values compared.
+
 An item of slots alone has no templates, nor has one with fewer than ``LITERALS`` words left where sentence starts are names. An
 item of fewer words than a window is one window of its length; one of fewer than ``LEAST_WORDS`` words is found word for word only.
 Items with the same words are found together, under the smallest id.
@@ -186,13 +190,26 @@ def windows(canon: Canon, text: str, widths: list[int]):
         if width < LEAST_WORDS:
             continue
         for reading, (template, slot) in readings.items():
+            # windows with a slot and with a word
             filled = np.cumsum(np.concatenate([[0], slot]))
-            use = np.flatnonzero(filled[width:] > filled[:-width])
+            use = np.flatnonzero((filled[width:] > filled[:-width]) & (filled[width:] < filled[:-width] + width))
             if len(use):
                 values = np.where(slot, own | np.uint64(1), np.uint64(0))
                 yield _windows(template, width)[use], reading, (use, values), width
 
 
+def slot_runs(canon: Canon, text: str, least: int):
+    """(reading, start, types, values, whether a word stands before it) of the longest runs of slots that have ``least`` or more."""
+    own, readings = canon(text)
+    for reading, (template, slot) in readings.items():
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], slot.astype(np.int8), [0]])))
+        for start, stop in edges.reshape(-1, 2).tolist():
+            if stop - start >= least:
+                yield reading, start, template[start:stop].view(np.int64).tolist(), (own[start:stop] | np.uint64(1)).view(np.int64).tolist(), start > 0
+
+
+RUNS = "template int, at int, types array<long>, slots array<long>, after_word boolean"
+_RUN_TYPES = {"template": pa.int32(), "at": pa.int32(), "types": pa.list_(pa.int64()), "slots": pa.list_(pa.int64()), "after_word": pa.bool_()}
 WINDOWS = "h long, template int, at int, slots array<long>"
 
 
@@ -208,6 +225,39 @@ def _arrays(columns: dict[str, list], types: dict[str, pa.DataType]) -> pa.Recor
 _TYPES = {"h": pa.int64(), "template": pa.int32(), "at": pa.int32(), "slots": pa.list_(pa.int64())}
 
 
+def _item_words(canon: Canon, text: str, width: int) -> tuple[int, int, list[int]]:
+    """How many words a window of an item has (none: 0), a hash of the item's words, and the readings in which it has templates."""
+    own, readings = canon(text)
+    literals = {reading: np.count_nonzero(~slot) for reading, (_, slot) in readings.items()}
+    using = [r for r, n in literals.items() if n >= (LITERALS if r == STARTS_ARE_NAMES else 1)]
+    return min(width, len(own)), xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63), using
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def item_runs(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
+    """(item_id, width) and the runs of slots of each item that hold windows of slots alone; of items with the same words, those of the one with the smallest id."""
+
+    def rows(batches):
+        canon = Canon()
+        for batch in batches:
+            out: dict[str, list] = {n: [] for n in ("item_id", "words", "width", *_RUN_TYPES)}
+            for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                w, words, using = _item_words(canon, text, width)
+                if w < LEAST_WORDS:
+                    continue
+                for run in slot_runs(canon, text, w):
+                    if run[0] in using:
+                        for column, x in zip(out.values(), (item, words, w, *run), strict=True):
+                            column.append(x)
+            yield _arrays(out, {"item_id": pa.int64(), "words": pa.int64(), "width": pa.int32()} | _RUN_TYPES)
+
+    found = arrow_rows(_items(benchmark), rows, f"item_id long, words long, width int, {RUNS}")
+    return found.groupBy("words", "width", *_RUN_TYPES).agg(F.min("item_id").alias("item_id")).drop("words")
+
+
 def item_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     """(item_id, n, width) and the windows of each item; of items with the same words, the one with the smallest id."""
 
@@ -216,26 +266,23 @@ def item_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
         for batch in batches:
             out: dict[str, list] = {n: [] for n in ("item_id", "words", "n", "width", "weak", *_TYPES)}
             for item, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-                own, readings = canon(text)
-                w = min(width, len(own))
+                w, words, using = _item_words(canon, text, width)
                 if not w:
                     continue
-                literals = {reading: np.count_nonzero(~slot) for reading, (_, slot) in readings.items()}
-                words = xxhash.xxh64_intdigest(own.tobytes()) - (1 << 63)
+                n = len(canon(text)[0]) - w + 1
                 for hashes, template, more, _ in windows(canon, text, [w]):
-                    if template and literals[template] < (LITERALS if template == STARTS_ARE_NAMES else 1):
+                    if template and template not in using:
                         continue
                     use, values = more if more else (np.arange(len(hashes)), None)
                     for h, at in zip(hashes.view(np.int64).tolist(), use.tolist(), strict=True):
                         slots = _slots(values, at, w) if template else []
                         weak = template != PLAIN and w - len(slots) < LITERALS
-                        found = (item, words, len(own) - w + 1, w, weak, h, template, at, slots)
+                        found = (item, words, n, w, weak, h, template, at, slots)
                         for column, x in zip(out.values(), found, strict=True):
                             column.append(x)
             yield _arrays(out, {"item_id": pa.int64(), "words": pa.int64(), "n": pa.int32(), "width": pa.int32(), "weak": pa.bool_()} | _TYPES)
 
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = arrow_rows(items, rows, f"item_id long, words long, n int, width int, weak boolean, {WINDOWS}")
+    found = arrow_rows(_items(benchmark), rows, f"item_id long, words long, n int, width int, weak boolean, {WINDOWS}")
     return found.groupBy("words", "n", "width", "weak", "h", "template", "at", "slots").agg(F.min("item_id").alias("item_id")).drop("words")
 
 
@@ -251,8 +298,9 @@ def _bitmap(items: DataFrame) -> np.ndarray:
     return np.unpackbits(bits.view(np.uint8), bitorder="little").astype(bool)
 
 
-def document_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, check) and those windows of each document that an item may have."""
+def document_windows(docs: DataFrame, items: DataFrame, least_run: int | None = None) -> DataFrame:
+    """(doc_id, check) and those windows of each document that an item may have, and for documents with such template windows their runs of
+    ``least_run`` slots or more: rows with ``types`` and without ``h``."""
     widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most WINDOW rows
     bitmap = docs.sparkSession.sparkContext.broadcast(np.packbits(_bitmap(items)))
 
@@ -260,25 +308,30 @@ def document_windows(docs: DataFrame, items: DataFrame) -> DataFrame:
         canon, known = Canon(), np.unpackbits(bitmap.value).astype(bool)
         low = np.uint64((1 << BITMAP_BITS) - 1)
         for batch in batches:
-            out: dict[str, list] = {n: [] for n in ("doc_id", "check", *_TYPES)}
+            out: dict[str, list] = {n: [] for n in ("doc_id", "check", *_TYPES, "types", "after_word")}
             columns = (batch[c].to_pylist() for c in ("doc_id", "check", "text"))
             for doc_id, check, text in zip(*columns, strict=True):
+                templates = False
                 for hashes, template, more, width in windows(canon, text, widths):
                     hit = np.flatnonzero(known[hashes & low])
                     if not len(hit):
                         continue
                     if template:
                         use, values = more
+                        templates = True
                         found = [(h, int(use[i]), _slots(values, use[i], width)) for i, h in zip(hit, hashes[hit].view(np.int64).tolist(), strict=True)]
                     else:  # once for each document: word for word, its place does not matter
                         found = [(h, 0, []) for h in np.unique(hashes[hit]).view(np.int64).tolist()]
                     for h, at, slots in found:
-                        for column, x in zip(out.values(), (doc_id, check, h, template, at, slots), strict=True):
+                        for column, x in zip(out.values(), (doc_id, check, h, template, at, slots, None, None), strict=True):
                             column.append(x)
-            yield _arrays(out, {"doc_id": pa.int64(), "check": pa.int64()} | _TYPES)
+                for template, at, types, slots, after in slot_runs(canon, text, least_run) if templates and least_run else ():
+                    for column, x in zip(out.values(), (doc_id, check, None, template, at, slots, types, after), strict=True):
+                        column.append(x)
+            yield _arrays(out, {"doc_id": pa.int64(), "check": pa.int64()} | _TYPES | {n: _RUN_TYPES[n] for n in ("types", "after_word")})
 
     texts = id_and_text(docs).withColumn("check", F.xxhash64("text"))
-    return arrow_rows(texts, rows, f"doc_id long, check long, {WINDOWS}")
+    return arrow_rows(texts, rows, f"doc_id long, check long, {WINDOWS}, types array<long>, after_word boolean")
 
 
 def _longest_run(places: Column) -> Column:
@@ -292,23 +345,70 @@ def _longest_run(places: Column) -> Column:
     return F.aggregate(F.sort_array(places), start, step)["best"]
 
 
+def _agreeing(item_slots: str, slots: str) -> Column:
+    """Values of the item, of the document, and pairs of them are equally many."""
+    pairs = F.size(F.array_distinct(F.arrays_zip(item_slots, slots)))
+    return (F.size(F.array_distinct(item_slots)) == pairs) & (F.size(F.array_distinct(slots)) == pairs)
+
+
+def _with_runs(places: DataFrame, runs: DataFrame, document_runs: DataFrame, pair: list[str]) -> DataFrame:
+    """Pairs of which an alignment holds the whole item, its runs of slots included.
+
+    ``places`` has all alignments of a pair. Those that lack nothing but the windows of slots alone are compared run by run. An item with templates has a
+    word, so a run has a word before it, or else one after it: its start or its end is known in the document, and the join is on that place.
+    """
+    own = runs.withColumn("size", F.size("slots"))
+    own_places = F.sequence(F.col("at"), F.col("at") + F.col("size") - F.col("width"))
+    lacking = own.groupBy("item_id", "template").agg(F.flatten(F.collect_list(own_places)).alias("lacking"), F.count("*").alias("runs"))
+    one = places.select(*pair, "plain", F.explode("aligned").alias("alignment")).select(*pair, "plain", "alignment.*")
+    others = F.array_except(F.array_union("places", "plain"), "lacking")
+    near = one.join(lacking, ["item_id", "template"]).where(F.size(others) + F.size("lacking") == F.col("n"))
+    expected = near.join(own.select("item_id", "template", "at", "size", "after_word", F.col("types").alias("item_types"), F.col("slots").alias("run_slots")), ["item_id", "template"])
+    start = F.col("at") + F.col("shift")
+    expected = expected.withColumn("place", F.when(F.col("after_word"), start).otherwise(start + F.col("size"))).drop("at")
+    size = F.size("slots")
+    ends = F.explode(F.array(F.struct(F.col("at").alias("place"), F.lit(True).alias("from_start")), F.struct((F.col("at") + size).alias("place"), F.lit(False).alias("from_start"))))
+    there = document_runs.select(F.col("doc_id").alias("run_doc"), F.col("check").alias("run_check"), F.col("template").alias("run_template"), "types", F.col("slots").alias("values"), ends.alias("end"))
+    there = there.select("run_doc", "run_check", "run_template", "types", "values", F.col("end.place").alias("run_place"), "end.from_start")
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("run_doc")) & (F.col("check") == F.col("run_check")) & (F.col("template") == F.col("run_template"))
+        & (F.col("place") == F.col("run_place")) & (F.col("after_word") == F.col("from_start"))
+    )
+    first = F.when(F.col("after_word"), F.lit(1)).otherwise(F.size("types") - F.col("size") + 1)
+    met = expected.join(there, same).where(F.size("types") >= F.col("size"))
+    met = met.where(F.slice("types", first, F.col("size")) == F.col("item_types")).withColumn("values", F.slice("values", first, F.col("size")))
+    whole = met.groupBy(*pair, "template", "shift", "runs").agg(
+        F.count("*").alias("found_runs"),
+        F.flatten(F.collect_list("run_slots")).alias("run_slots"), F.flatten(F.collect_list("values")).alias("values"),
+        F.any_value("item_slots").alias("item_slots"), F.any_value("slots").alias("slots"),
+    ).where("found_runs = runs")
+    joined = whole.select(*pair, F.concat("item_slots", "run_slots").alias("item_slots"), F.concat("slots", "values").alias("slots"))
+    return joined.where(_agreeing("item_slots", "slots")).select(*pair).distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) -> DataFrame:
     """A row for each document and item found in it: doc_id, check, item_id, found (windows of the item), share."""
     items = stored(item_windows(benchmark), "items")
+    runs = stored(item_runs(benchmark), "item_runs")
+    least_run = runs.agg(F.min("width")).first()[0]
     known = items.select("h", "template", "item_id", "n", "weak", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
-    both = stored(document_windows(docs, items).join(known, ["h", "template"]), "found_windows")  # documents are read once
+    seen = document_windows(docs, items, least_run)
+    if least_run:
+        seen = stored(seen, "seen_windows")  # documents are read once
+    both = seen.where("h IS NOT NULL").drop("types", "after_word").join(known, ["h", "template"])
+    both = stored(both, "found_windows")
     pair = ["doc_id", "check", "item_id", "n"]
-    # along one alignment: values of the item, of the document, and pairs of them are equally many
     aligned = both.where(F.col("template") != PLAIN).groupBy(*pair, "template", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.flatten(F.collect_list("item_slots")).alias("item_slots"),
         F.flatten(F.collect_list("slots")).alias("slots"),
         F.sort_array(F.collect_set("item_at")).alias("places"),
         F.sort_array(F.collect_set(F.when(~F.col("weak"), F.col("item_at")))).alias("strong"),
     )
-    pairs = F.size(F.array_distinct(F.arrays_zip("item_slots", "slots")))
-    agreeing = aligned.where((F.size(F.array_distinct("item_slots")) == pairs) & (F.size(F.array_distinct("slots")) == pairs))
+    # along one alignment
+    agreeing = aligned.where(_agreeing("item_slots", "slots"))
     plain = both.where(F.col("template") == PLAIN).select(*pair, "item_at")
-    places = plain.unionByName(agreeing.select(*pair, F.struct("places", "strong").alias("aligned")), allowMissingColumns=True)
+    more = ("template", "shift", "item_slots", "slots") if least_run else ()
+    places = plain.unionByName(agreeing.select(*pair, F.struct("places", "strong", *more).alias("aligned")), allowMissingColumns=True)
     places = places.groupBy(*pair).agg(F.collect_set("item_at").alias("plain"), F.collect_set("aligned").alias("aligned"))
 
     def counted(alignment: Column) -> Column:
@@ -317,6 +417,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, share: float = SHARE) ->
 
     every = F.array_union(F.col("plain"), F.flatten(F.transform("aligned", counted)))
     found = places.select(*pair, F.size(every).alias("found"), _longest_run(every).alias("run")).where("found > 0")
+    if least_run:
+        whole = _with_runs(places, runs, seen.where("h IS NULL"), pair).select(*pair, F.col("n").alias("found"), F.col("n").alias("run"))
+        found = found.unionByName(whole).groupBy(*pair).agg(F.max("found").alias("found"), F.max("run").alias("run"))
     found = found.withColumn("share", F.col("found") / F.col("n"))
     return found.where((F.col("share") >= share) | (F.col("run") + WINDOW - 1 >= RUN)).select("doc_id", "check", "item_id", "found", "share")
 
