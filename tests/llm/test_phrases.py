@@ -67,10 +67,10 @@ def test_blocks_of_few_words(monkeypatch):
         monkeypatch.setattr(phrases, "SLICE", slice_)
         batch = pa.RecordBatch.from_arrays([pa.array([x[1] or "und" for x in rows]), pa.array([x[0] for x in rows])], names=["lang", "text"])
         total = Counter()
-        for block, columns in phrases.blocks(iter([batch]), depth):
-            leaves, n = phrases.counted(columns, len(block.words))
+        for block, columns in phrases.blocks(iter([batch]), depth, None):
+            leaves, n = phrases.counted(columns, block.below)
             for row, times in zip(leaves.tolist(), n.tolist(), strict=True):
-                total[block.langs[row[0]], tuple(block.words[i] for i in row if i)] += times
+                total[block.names_of[row[0] - 1][1], tuple(block.names_of[i - 1][0] for i in row if i)] += times
         if depth == 3:
             assert not seen or total == seen
             seen = total
@@ -91,6 +91,12 @@ def test_ranks(spark):
         assert got == sorted(want)
 
 
+def test_a_full_bitmap_changes_nothing(spark, table, monkeypatch):
+    rows = texts_of(random.Random(11), 100)
+    monkeypatch.setattr(phrases, "BITMAP_BITS", 6)
+    assert rows_of(phrases.collocations(table([(i, t, lang) for i, (t, lang) in enumerate(rows)]), least=3)) == brute(rows, least=3)
+
+
 def test_scores_beyond_64_bits(spark):
     big = 3 * 10**12
     made = [("en", "x", 1, big + 1, []), ("en", "y", 1, big + 2, []), ("en", "x y", 2, big, [big + 1])]

@@ -5,8 +5,10 @@ group may hold is replaced by its extensions by a word, and so on; then prefixes
 holds its share. The suffixes that begin with a group's prefixes, cut off at the depth that phrases need, make its subtree, which is built
 without looking at other groups. How often a phrase occurs is the sum of the leaf totals below its node.
 
-How it runs: tasks cut texts into blocks and number the block's words, so that suffixes are columns of numbers. Equal
-suffixes of a block are one leaf with its total. A block sends to each group one row with its leaves and the words these use. Prefixes are dealt
+How it runs: tasks cut texts into blocks and number the block's words, so that suffixes are columns of numbers. Words are counted
+first. One that occurs less than ``least`` times is in no phrase that does, so suffixes neither begin with it nor go on to it; a bitmap, of a size
+by the number of words that are left and 8 MB at most, tells tasks which these are, and those it lets through in vain only cost their place. Equal
+suffixes of a block are one leaf with its total. A block sends to each group one row with its leaves, compressed, and the words these use. Prefixes are dealt
 in the order of their hashes: what all tasks must know is where a group's range of hashes begins, and the prefixes that were
 extended. There are at most (words of the corpus / ``group_words``) of either, times the depth for the second; a group has at most
 twice ``group_words`` suffixes, and fewer leaves. A phrase of full depth that is more frequent than that is one leaf for each block.
@@ -22,7 +24,9 @@ table give no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +43,12 @@ WORDS = 3
 LEAST = 10
 TOP = 2000
 GROUP_WORDS = 1_000_000
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
+BITMAP_BITS = 26  #: at most, as a power of two
 SLICE = 1 << 20
 
 BREAK = b"\xff"  #: no byte of UTF-8
+_ZERO = np.zeros(1, np.int32)
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + BREAK * 10 + b" ")
 
 Hot = list[dict[bytes, int]]  #: for each depth the extended prefixes, by name, with their counts
@@ -81,6 +87,19 @@ def packed(columns: list[np.ndarray], below: int) -> np.ndarray:
     return key
 
 
+class Numbers(dict):
+    """Numbers of the words of one language from 1, given as they come; ``names`` lists the words of all languages."""
+
+    def __init__(self, lang: bytes, names: list[tuple[bytes, bytes]]):
+        self.lang, self.names = lang, names
+        self[BREAK] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        self.names.append((word, self.lang))
+        self[word] = number = len(self.names)
+        return number
+
+
 class Block:
     """The words of some texts as numbers from 1, with 0 at the end of a piece."""
 
@@ -89,56 +108,81 @@ class Block:
         self.clear()
 
     def clear(self) -> None:
-        self.words, self.langs = [BREAK], [b""]
-        self.numbers: dict[bytes, dict[bytes, int]] = {}
+        self.names_of: list[tuple[bytes, bytes]] = []
+        self.numbers: dict[bytes, Numbers] = {}
         self.parts: list[np.ndarray] = []
         self.size = 0
 
     def add(self, lang: bytes, words: list[bytes]) -> None:
-        own = self.numbers.setdefault(lang, {BREAK: 0})
-        for word in set(words).difference(own):
-            own[word] = len(self.words)
-            self.words.append(word)
-            self.langs.append(lang)
-        self.parts.append(np.fromiter(map(own.__getitem__, words), np.int64, len(words)))
+        if lang not in self.numbers:
+            self.numbers[lang] = Numbers(lang, self.names_of)
+        self.parts.append(np.fromiter(map(self.numbers[lang].__getitem__, words), np.int32, len(words)))
         self.size += len(words)
 
-    def suffixes(self, last: bool) -> list[np.ndarray]:
-        """Columns of the suffixes, cut off at the depth and filled with 0; those that may go on in the next block are left to it."""
-        row = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int64)
-        tail = [] if last else [(self.langs[i], self.words[i]) for i in row[len(row) - self.depth + 1 :].tolist()] if self.depth > 1 else []
-        n = len(row) - len(tail)
-        row = np.concatenate([row, np.zeros(self.depth, np.int64)])
+    def end(self) -> None:
+        """The end of a text."""
+        self.parts.append(_ZERO)
+
+    def hashes(self) -> np.ndarray:
+        return np.array([0, *(hashed(named(w, lang)) for w, lang in self.names_of)], np.int64)
+
+    def suffixes(self, last: bool, frequent: np.ndarray | None) -> list[np.ndarray]:
+        """Columns of the suffixes, cut off at the depth and filled with 0; those that may go on in the next block are left to it.
+
+        With a bitmap of ``frequent`` words the others count as ends of pieces."""
+        row = np.concatenate(self.parts) if self.parts else _ZERO[:0]
+        self.tail = [] if last or self.depth == 1 else [self.names_of[i - 1] if i else None for i in row[len(row) - self.depth + 1 :].tolist()]
+        self.known = self.hashes()
+        if frequent is not None:
+            keep = among(self.known, frequent)
+            keep[0] = False
+            row = np.where(keep[row], row, 0)
+        n = len(row) - len(self.tail)
+        row = np.concatenate([row, np.zeros(self.depth, row.dtype)])
         columns = [row[:n]]
         for k in range(1, self.depth):
             columns.append(np.where(columns[-1] > 0, row[k : n + k], 0))
         there = columns[0] > 0
-        self.tail = tail
         return [c[there] for c in columns]
 
     def next(self) -> None:
         tail = self.tail
         self.clear()
-        for lang, word in tail:
-            self.add(lang, [word])
+        for name in tail:
+            if name is None:
+                self.end()
+            else:
+                self.add(name[1], [name[0]])
 
     def names(self, rows: np.ndarray) -> list[bytes]:
         """The phrases of rows of numbers, with their languages."""
-        words, langs = self.words, self.langs
-        return [named(b" ".join([words[i] for i in row]), langs[row[0]]) for row in rows.tolist()]
+        names = self.names_of
+        return [named(b" ".join([names[i - 1][0] for i in row]), names[row[0] - 1][1]) for row in rows.tolist()]
+
+    @property
+    def below(self) -> int:
+        """All numbers are below this one."""
+        return len(self.names_of) + 1
+
+
+def among(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    """Whether the bit of each hash is set."""
+    place = hashes & (64 * len(bitmap) - 1)
+    return (bitmap[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
 
 
-def blocks(batches: Iterator[pa.RecordBatch], depth: int) -> Iterator[tuple[Block, list[np.ndarray]]]:
+def blocks(batches: Iterator[pa.RecordBatch], depth: int, frequent: np.ndarray | None) -> Iterator[tuple[Block, list[np.ndarray]]]:
     block = Block(depth)
+    most = BLOCK_WORDS * WORDS // depth  # fewer columns, more words
     for batch in few_rows(batches):
         for lang, text in zip(raw_texts(batch["lang"]), raw_texts(batch["text"]), strict=True):
             for words in tokens(text):
                 block.add(lang, words)
-                if block.size >= BLOCK_WORDS:
-                    yield block, block.suffixes(False)
+                if block.size >= most:
+                    yield block, block.suffixes(False, frequent)
                     block.next()
-            block.add(lang, [BREAK])
-    yield block, block.suffixes(True)
+            block.end()
+    yield block, block.suffixes(True, frequent)
 
 
 def counted(columns: list[np.ndarray], below: int) -> tuple[np.ndarray, np.ndarray]:
@@ -167,36 +211,60 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def prefix_counts(texts: DataFrame, depth: int, hot: Hot) -> DataFrame:
+def prefix_counts(texts: DataFrame, depth: int, hot: Hot, frequent: np.ndarray | None) -> DataFrame:
     """(name, h, n) of the phrases of this many words whose phrase without the last word is extended; of all words at depth 1."""
-    shared = texts.sparkSession.sparkContext.broadcast(hot)
+    shared = texts.sparkSession.sparkContext.broadcast((hot, frequent))
 
     def rows(batches):
-        for block, columns in blocks(batches, depth):
-            found, n = counted(columns, len(block.words))
-            keep = (extended(block, found, shared.value) == depth) & (found[:, -1] > 0) if depth > 1 else slice(None)
-            names = block.names(found[keep])
-            n = n[keep]
+        hot, frequent = shared.value
+        for block, columns in blocks(batches, depth, frequent):
+            if depth == 1:
+                n = np.bincount(columns[0], minlength=block.below)[1:]
+                names, h = [named(*name) for name in block.names_of], block.known[1:]
+            else:
+                found, n = counted(columns, block.below)
+                keep = (extended(block, found, hot) == depth) & (found[:, -1] > 0)
+                names, n = block.names(found[keep]), n[keep]
+                h = np.array([hashed(x) for x in names], np.int64)
             for i in range(0, len(names), 50_000):
-                some = names[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.binary()), pa.array([hashed(x) for x in some], pa.int64()), pa.array(n[i : i + 50_000])], names=["name", "h", "n"]
-                )
+                some = slice(i, i + 50_000)
+                yield pa.RecordBatch.from_arrays([pa.array(names[some], pa.binary()), pa.array(h[some]), pa.array(n[some])], names=["name", "h", "n"])
 
     return arrow_rows(texts, rows, "name binary, h long, n long").groupBy("name", "h").agg(F.sum("n").alias("n"))
 
 
-def vertical(texts: DataFrame, depth: int, group_words: int) -> tuple[DataFrame, Hot, np.ndarray]:
-    """All words with their counts, the extended prefixes, and the hashes at which groups begin."""
+def bitmap(words: DataFrame) -> np.ndarray:
+    """Bits by the hashes of words, some 16 for each as far as ``BITMAP_BITS`` allow."""
+    bits = 1 << min(max(16, (16 * words.count() - 1).bit_length()), BITMAP_BITS)
+    place = F.col("h").bitwiseAND(bits - 1)
+    sums = words.select(place.alias("place")).groupBy(F.shiftright("place", 6).alias("at"))
+    found = sums.agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 63 AS int))")).alias("bits")).toArrow()  # one row for 64 bits at most
+    made = np.zeros(bits // 64, np.int64)
+    made[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return made.view(np.uint64)
+
+
+class Plan(NamedTuple):
+    """What tasks know of the whole: the extended prefixes, the hashes at which groups begin, and the bitmap of words to go on with."""
+
+    hot: Hot
+    starts: np.ndarray
+    frequent: np.ndarray
+
+
+def vertical(texts: DataFrame, depth: int, least: int, group_words: int) -> tuple[DataFrame, Plan]:
+    """All words with their counts, and how the prefixes are dealt to groups."""
+    words = stored(prefix_counts(texts, 1, [], None), "prefixes")
+    prefixes = words.where(F.col("n") >= least)
+    frequent = bitmap(prefixes)
     hot: Hot = []
-    words = prefixes = stored(prefix_counts(texts, 1, hot), "prefixes")
-    dealt = words.where(F.col("n") <= group_words) if depth > 1 else words
+    dealt = prefixes.where(F.col("n") <= group_words) if depth > 1 else prefixes
     for d in range(1, depth):
         own = {bytes(r["name"]): r["n"] for r in prefixes.where(F.col("n") > group_words).select("name", "n").collect()}
         if not own:
             break
         hot.append(own)
-        prefixes = stored(prefix_counts(texts, d + 1, hot), "prefixes")
+        prefixes = stored(prefix_counts(texts, d + 1, hot, frequent), "prefixes")
         dealt = dealt.union(prefixes.where(F.col("n") <= group_words) if d + 1 < depth else prefixes)
     ranges = max(4, (shuffle_partitions(texts.sparkSession) - 1).bit_length())
     order = Window.partitionBy("range").orderBy("h")
@@ -204,29 +272,29 @@ def vertical(texts: DataFrame, depth: int, group_words: int) -> tuple[DataFrame,
     filled = dealt.select("h", "n", F.shiftright("h", 64 - ranges).alias("range")).select("h", "range", F.floor(before / group_words).alias("filled"))
     first = filled.withColumn("last", F.lag("filled").over(order)).where("last IS NULL OR last < filled")
     starts = sorted(r["h"] for r in first.select("h").collect())
-    return words, hot, np.array(starts, np.int64)
+    return words, Plan(hot, np.array(starts, np.int64), frequent)
 
 
-LEAVES = "group int, names array<binary>, levels array<tinyint>, numbers array<int>, totals array<long>"
+LEAVES = "group int, leaves binary"
 
 
-def leaf_rows(texts: DataFrame, depth: int, hot: Hot, starts: np.ndarray) -> DataFrame:
-    """For each block and group a row: the names of words, and the leaves as numbers of these (from 1), level and total."""
-    shared = texts.sparkSession.sparkContext.broadcast((hot, starts))
+def leaf_rows(texts: DataFrame, depth: int, plan: Plan) -> DataFrame:
+    """For each block and group a row with its leaves and the words these use (see ``packed_leaves``)."""
+    shared = texts.sparkSession.sparkContext.broadcast(plan)
 
     def rows(batches):
-        hot, starts = shared.value
-        for block, columns in blocks(batches, depth):
-            below = len(block.words)
+        hot, starts, frequent = shared.value
+        for block, columns in blocks(batches, depth, frequent):
+            below = block.below
             leaves, totals = counted(columns, below)
             levels = extended(block, leaves, hot)
-            group = np.full(len(leaves), -1)
-            for level in range(1, depth + 1):
+            group = np.full(len(leaves), -1, np.int32)
+            at = np.flatnonzero(levels == 1)
+            group[at] = np.searchsorted(starts, block.known[leaves[at, 0]], "right")
+            for level in range(2, depth + 1):
                 at = np.flatnonzero(levels == level)
-                prefix, inverse = np.unique(packed([leaves[at, k] for k in range(level)], below), return_inverse=True)
-                some = np.zeros(len(prefix), np.int64)
-                some[inverse] = at  # any leaf of each prefix
-                h = np.array([hashed(x) for x in block.names(leaves[some, :level])], np.int64)
+                prefix, some, inverse = np.unique(packed([leaves[at, k] for k in range(level)], below), return_index=True, return_inverse=True)
+                h = np.array([hashed(x) for x in block.names(leaves[at[some], :level])], np.int64)
                 group[at] = np.searchsorted(starts, h, "right")[inverse]
             order = np.argsort(group, kind="stable")
             order = order[np.searchsorted(group[order], 0) :]  # leaves without a group end within extended prefixes, whose counts are known
@@ -237,74 +305,113 @@ def leaf_rows(texts: DataFrame, depth: int, hot: Hot, starts: np.ndarray) -> Dat
 
 def _leaf_batches(block: Block, group: np.ndarray, leaves: np.ndarray, levels: np.ndarray, totals: np.ndarray) -> Iterator[pa.RecordBatch]:
     groups, first = np.unique(group, return_index=True)
-    ends = np.append(first, len(group))
-    rank = np.repeat(np.arange(len(groups)), np.diff(ends))
-    below = len(block.words)
-    # words by group, numbered from 1 in each
-    used = np.unique((rank[:, None] * below + leaves)[leaves > 0])
-    word_ends = np.searchsorted(used, np.arange(len(groups) + 1) * below)
-    number = np.where(leaves > 0, np.searchsorted(used, rank[:, None] * below + leaves) - word_ends[rank][:, None] + 1, 0).astype(np.int32)
-    all_names = pa.array([named(w, lang) for w, lang in zip(block.words, block.langs, strict=True)], pa.binary())
-    for at in range(0, len(groups), 64):
-        to = min(at + 64, len(groups))
-        own = slice(int(ends[at]), int(ends[to]))
-        words = all_names.take(pa.array(used[word_ends[at] : word_ends[to]] % below))
-        leaf_offsets = (ends[at : to + 1] - ends[at]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(groups[at:to].astype(np.int32)),
-                pa.ListArray.from_arrays(pa.array((word_ends[at : to + 1] - word_ends[at]).astype(np.int32)), words),
-                pa.ListArray.from_arrays(pa.array(leaf_offsets), pa.array(levels[own])),
-                pa.ListArray.from_arrays(pa.array(leaf_offsets * leaves.shape[1]), pa.array(number[own].ravel())),
-                pa.ListArray.from_arrays(pa.array(leaf_offsets), pa.array(totals[own])),
-            ],
-            names=["group", "names", "levels", "numbers", "totals"],
-        )
+    ends = np.append(first, len(group)).tolist()
+    made: list[tuple] = []
+    size = 0
+    for number, a, b in zip(groups.tolist(), ends, ends[1:], strict=False):
+        used, index = np.unique(leaves[a:b], return_inverse=True)
+        index = index.reshape(b - a, -1) + (used[0] > 0)  # 0 stays 0
+        data = packed_leaves(block, used[used > 0].tolist(), index, levels[a:b], totals[a:b])
+        made.append((number, data))
+        size += len(data)
+        if size > 4_000_000:
+            yield _leaf_batch(made)
+            made, size = [], 0
+    if made:
+        yield _leaf_batch(made)
+
+
+def _leaf_batch(made: list[tuple]) -> pa.RecordBatch:
+    groups, data = zip(*made, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(groups, pa.int32()), pa.array(data, pa.binary())], names=["group", "leaves"])
+
+
+_HEAD = struct.Struct("<IIHBBI")  #: leaves, bytes of the words, languages, width of numbers, width of totals, bytes of all that follows
+
+
+def packed_leaves(block: Block, used: list[int], index: np.ndarray, levels: np.ndarray, totals: np.ndarray) -> bytes:
+    """Words (in order of language) and leaves: levels, numbers of the words (from 1) by depth, and totals, in few bytes each and compressed if that pays."""
+    names = block.names_of
+    by_lang: dict[bytes, list[int]] = {}
+    for at, i in enumerate(used):
+        by_lang.setdefault(names[i - 1][1], []).append(at)
+    if len(by_lang) > 1:
+        number = np.zeros(len(used) + 1, np.int64)
+        number[np.concatenate([np.array(own) for own in by_lang.values()]) + 1] = np.arange(1, len(used) + 1)
+        index = number[index]
+    words = b"\n".join([names[used[at] - 1][0] for own in by_lang.values() for at in own])  # no word holds a line break
+    langs = b"".join(struct.pack("<II", len(lang), len(own)) + lang for lang, own in by_lang.items())
+    numbers = np.ascontiguousarray(index.T.astype(np.min_scalar_type(len(used))))
+    times = totals.astype(np.min_scalar_type(totals.max()))
+    body = langs + words + levels.tobytes() + numbers.tobytes() + times.tobytes()
+    head = _HEAD.pack(len(levels), len(words), len(by_lang), numbers.itemsize, times.itemsize, len(body))
+    small = pa.compress(body, "zstd", asbytes=True) if len(body) > 100 else body
+    return head + min(body, small, key=len)  # of equal length it is the plain one
+
+
+def unpacked(rows: pa.Table, depth: int) -> tuple[list[tuple[bytes, bytes]], np.ndarray, np.ndarray, np.ndarray]:
+    """The words of all rows with their languages, and the leaves with numbers of these (from 1), levels and totals."""
+    numbers: dict[bytes, dict[bytes, int]] = {}
+    names: list[tuple[bytes, bytes]] = []
+    leaves, levels, totals = [], [], []
+    for data in rows["leaves"].to_pylist():
+        n, n_words, n_langs, width, total_width, size = _HEAD.unpack_from(data)
+        data = data[_HEAD.size :] if len(data) == size + _HEAD.size else pa.decompress(data[_HEAD.size :], size, "zstd", asbytes=True)
+        at, own = 0, []
+        for _ in range(n_langs):
+            length, count = struct.unpack_from("<II", data, at)
+            own.append((data[at + 8 : at + 8 + length], count))
+            at += 8 + length
+        words = data[at : at + n_words].split(b"\n")
+        at += n_words
+        code, done = [0], 0
+        for lang, count in own:
+            known = numbers.get(lang)
+            if known is None:
+                known = numbers[lang] = Numbers(lang, names)
+            code += map(known.__getitem__, words[done : done + count])
+            done += count
+        levels.append(np.frombuffer(data, np.int8, n, at))
+        leaves.append(np.array(code, np.int32)[np.frombuffer(data, f"u{width}", n * depth, at + n)].reshape(depth, n))
+        totals.append(np.frombuffer(data, f"u{total_width}", n, at + n * (1 + depth * width)).astype(np.int64))
+    return names, np.concatenate(leaves, axis=1), np.concatenate(levels), np.concatenate(totals)
 
 
 NODES = "lang string, phrase string, size int, f long, parts array<long>"
 
 
-def _node_table(rows: list[tuple]) -> pa.Table:
-    kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
-    columns = zip(*rows, strict=True) if rows else [[]] * len(kinds)
-    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "phrase", "size", "f", "parts"])
-
-
 def subtree(rows: pa.Table, depth: int, least: int, hot: Hot) -> pa.Table:
     """The nodes of one group that occur often enough: their counts, and those of the nodes above them, from the leaf totals."""
-    names = pa.concat_arrays([x.values.slice(x.offsets[0].as_py(), x.offsets[-1].as_py() - x.offsets[0].as_py()) for x in rows["names"].chunks])
-    n_names = pc.list_value_length(rows["names"]).to_numpy()
-    n_leaves = pc.list_value_length(rows["levels"]).to_numpy()
-    coded = names.dictionary_encode()
-    code = np.append(0, coded.indices.to_numpy() + 1)
-    number = pc.list_flatten(rows["numbers"]).to_numpy().reshape(-1, depth)
-    base = np.repeat(np.cumsum(n_names) - n_names, n_leaves)[:, None]
-    leaves = code[np.where(number > 0, number + base, 0)]
-    levels = pc.list_flatten(rows["levels"]).to_numpy()
-    totals = pc.list_flatten(rows["totals"]).to_numpy()
-    words = [x.split(b"\n", 1) for x in coded.dictionary.to_pylist()]
-    order = np.argsort(packed(list(leaves.T), len(words) + 1), kind="stable")
-    leaves, levels, totals = leaves[order], levels[order], totals[order]
-
-    above, found = [], []  # by depth: the node and the count of each leaf's prefix
-    new = np.zeros(len(leaves), bool)
+    names, leaves, levels, totals = unpacked(rows, depth)
+    order = np.argsort(packed(list(leaves), len(names) + 1), kind="stable")
+    leaves, levels, totals = leaves[:, order], levels[order], totals[order]
+    words = pa.array([x[0] for x in names], pa.binary()).cast(pa.string())
+    langs = pa.array([x[1] for x in names], pa.binary()).cast(pa.string())
+
+    above: list[np.ndarray] = []  # by depth: the count of each leaf's prefix
+    tables = []
+    new = np.zeros(len(totals), bool)
     new[:1] = True
     for d in range(1, depth + 1):
-        new = new.copy()
-        new[1:] |= leaves[1:, d - 1] != leaves[:-1, d - 1]
+        new[1:] |= leaves[d - 1, 1:] != leaves[d - 1, :-1]
         starts = np.flatnonzero(new)
         f = np.add.reduceat(totals, starts)
-        above.append(np.repeat(f, np.diff(np.append(starts, len(leaves)))))
-        for at in starts[(f >= least) & (leaves[starts, d - 1] > 0) & (levels[starts] <= d)].tolist():
-            own = leaves[at, :d].tolist()
-            lang = words[own[0] - 1][1]
-            parts = []
-            for k in range(1, d):
-                known = above[k - 1][at] if k >= levels[at] else hot[k - 1][named(b" ".join(words[i - 1][0] for i in own[:k]), lang)]
-                parts.append(int(known))
-            found.append((lang.decode(), b" ".join(words[i - 1][0] for i in own).decode(), d, int(above[d - 1][at]), parts))
-    return _node_table(found)
+        above.append(np.repeat(f, np.diff(np.append(starts, len(totals)))))
+        keep = (f >= least) & (leaves[d - 1, starts] > 0) & (levels[starts] <= d)
+        at = starts[keep]
+        own = leaves[:d, at] - 1
+        parts = np.column_stack([above[k][at] for k in range(d - 1)]) if d > 1 else np.zeros((len(at), 0), np.int64)
+        for i in np.flatnonzero(levels[at] > 1).tolist():  # the first words are an extended prefix, counted before
+            for k in range(1, levels[at[i]]):
+                parts[i, k - 1] = hot[k - 1][named(b" ".join(names[w][0] for w in own[:k, i]), names[own[0, i]][1])]
+        taken = [words.take(pa.array(w)) for w in own]
+        phrase = pc.binary_join_element_wise(*taken, " ") if d > 1 else taken[0]
+        offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * (d - 1), pa.int32())
+        tables.append(pa.table(
+            [langs.take(pa.array(own[0])), phrase, pa.array(np.full(len(at), d, np.int32)), pa.array(f[keep]), pa.ListArray.from_arrays(offsets, pa.array(parts.ravel()))],
+            names=["lang", "phrase", "size", "f", "parts"],
+        ))
+    return pa.concat_tables(tables)
 
 
 def nodes(docs: DataFrame, words: int = WORDS, least: int = LEAST, group_words: int = GROUP_WORDS) -> tuple[DataFrame, DataFrame]:
@@ -312,9 +419,9 @@ def nodes(docs: DataFrame, words: int = WORDS, least: int = LEAST, group_words:
     and the number of words of each language (lang, n)."""
     spark = docs.sparkSession
     texts = _texts(docs)
-    counts, hot, starts = vertical(texts, words, group_words)
-    shared = spark.sparkContext.broadcast(hot)
-    leaves = leaf_rows(texts, words, hot, starts)
+    counts, plan = vertical(texts, words, least, group_words)
+    hot, shared = plan.hot, spark.sparkContext.broadcast(plan.hot)
+    leaves = leaf_rows(texts, words, plan)
     below = leaves.groupBy("group").applyInArrow(lambda rows: subtree(rows, words, least, shared.value), NODES)
     extended_nodes = [
         (lang.decode(), phrase.decode(), d, n, [hot[k - 1][named(b" ".join(phrase.split(b" ")[:k]), lang)] for k in range(1, d)])
