@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import base64
 import math
 import random
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -52,6 +54,40 @@ def test_forward_and_expected_counts(seed):
     assert np.allclose(expected, want)
 
 
+@pytest.mark.parametrize("stretch", [1, 3, 50])
+def test_long_words_as_short_ones(stretch, monkeypatch):
+    """Stretch by stretch the sums are those of whole words, also where plain numbers would be too small."""
+    pieces, scores = small(9)
+    tree = lattice.Pieces(pieces)
+    rng = random.Random(stretch)
+    words = [bytes(rng.choices(b"ab", k=k)) for k in (1, 2, 5, 17, 60)] + [b"ab" * 1500]
+    counts = np.arange(1.0, 7)
+    results = []
+    for long_word in (10_000, 0):
+        monkeypatch.setattr(lattice, "LONG_WORD", long_word)
+        monkeypatch.setattr(lattice, "STRETCH", stretch)
+        got, expected = np.empty(len(words)), np.zeros(len(scores))
+        for at, matrix in lattice.by_length(words):
+            got[at] = tree.forward(matrix, scores)
+            expected += tree.expected(matrix, counts[at], scores)
+        results.append((got, expected))
+    assert np.allclose(results[0][0], results[1][0], rtol=1e-12) and np.allclose(results[0][1], results[1][1], rtol=1e-9)
+    assert results[0][0].min() < -800  # beyond the smallest number
+
+
+def test_an_unbroken_blob():
+    """A megabyte without a space takes seconds."""
+    blob = base64.b64encode(random.Random(3).randbytes(750_000)).lower()
+    pieces, start = lattice.read_vocabulary(PATH)
+    tree = lattice.Pieces(pieces)
+    ((_, matrix),) = lattice.by_length([blob])
+    begun = time.process_time()
+    expected = tree.expected(matrix, np.array([2.0]), start)
+    assert time.process_time() - begun < 30  # 3.5 on an idle machine
+    letters = sum(n * len(p) for n, p in zip(expected, pieces, strict=False))
+    assert math.isclose(letters, 2 * (len(blob) + 1), rel_tol=1e-6)  # every byte is in one piece
+
+
 def test_probabilities_of_all_words_are_a_distribution():
     """The chance of ending after any number of pieces sums to one, so texts have a total of one at most."""
     pieces, start = lattice.read_vocabulary(PATH)

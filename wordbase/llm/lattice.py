@@ -10,7 +10,8 @@ one distribution; single bytes are pieces, so every text has a probability.
 How it runs: tasks cut documents into blocks, and turn each document into numbers of the block's own
 words. What is shuffled is one row for each block and distinct word, to count and to bring back what the
 word is worth, and the documents' numbers. A frequent word is a row for each block, not for each time it
-occurs. Each distinct word runs through the lattice once, whole arrays of words of equal length at a time.
+occurs. Each distinct word runs through the lattice once, whole arrays of words of equal length at a time; a very long one in stretches, of which
+the recursion needs the last places only.
 
 Defined results: a null or empty text is the end alone. A null id counts as a training document. Rows
 with equal ids get a row each. An empty table gives no rows; without training documents the vocabulary's own
@@ -19,6 +20,7 @@ scores remain and every token is unknown. Other columns are not looked at.
 
 from __future__ import annotations
 
+import math
 import os
 from collections import Counter
 from functools import lru_cache
@@ -37,6 +39,9 @@ BLOCK_BYTES = 16_000_000
 ROUNDS = 3
 PRIOR = 1.0  #: weight of the starting distribution, in counts for each piece
 WORDS_AT_ONCE = 20_000
+LONG_WORD = 1000  #: bytes; longer words go through the lattice one by one, many places at once
+STRETCH = 50_000  #: places whose matches are held at a time
+_SCALED = math.log(1e100)
 
 
 class Pieces:
@@ -78,8 +83,72 @@ class Pieces:
                 if full.any():
                     yield start, stop, at[full], piece[full]
 
+    def matches_within(self, word: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(from, to, pieces) of one word, for all places from ``a`` to before ``b`` at once."""
+        start = np.arange(max(a, 0), min(b, len(word)))
+        state = np.ones(len(start), np.int32)
+        found = []
+        for size in range(1, self.longest + 1):
+            inside = start + size <= len(word)
+            start, state = start[inside], state[inside]
+            state = self.next[state, word[start + size - 1]]
+            alive = state > 0
+            start, state = start[alive], state[alive]
+            piece = self.piece_at[state]
+            full = piece >= 0
+            found.append((start[full], start[full] + size, piece[full]))
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+    def along(self, word: np.ndarray, scores: np.ndarray, back: bool) -> np.ndarray:
+        """Log sums over all ways to each place of one word from its start, or, by distance from the end, from its end.
+
+        The recursion looks back ``longest`` places only. It runs on plain numbers, which are scaled up when they get small.
+        """
+        n, reach = len(word), self.longest
+        made = np.full(n + 1, -np.inf)
+        made[0], window, offset = 0.0, [1.0], 0.0
+        for a in range(0, n, STRETCH):
+            b = min(a + STRETCH, n)
+            if back:
+                start, stop, piece = self.matches_within(word, n - b, n - a)
+                start, stop = n - stop, n - start
+            else:
+                start, stop, piece = self.matches_within(word, a - reach + 1, b)
+                new = stop > a
+                start, stop, piece = start[new], stop[new], piece[new]
+            inside = stop <= b
+            start, stop, piece = start[inside], stop[inside], piece[inside]
+            order = np.argsort(stop, kind="stable")
+            window = window[-reach:]
+            first = a + 1 - len(window)  # the place of the window's first number
+            origin, chance = (start[order] - first).tolist(), np.exp(scores[piece[order]]).tolist()
+            ends = np.searchsorted(stop[order], np.arange(a + 1, b + 2)).tolist()
+            for j in range(b - a):
+                total = 0.0
+                for i in range(ends[j], ends[j + 1]):
+                    total += window[origin[i]] * chance[i]
+                window.append(total)
+                if total > 0:
+                    made[a + j + 1] = math.log(total) + offset
+                    if total < 1e-100:
+                        window[-reach:] = [x * 1e100 for x in window[-reach:]]
+                        offset -= _SCALED
+        return made
+
+    def expected_along(self, word: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        """Expected counts of the pieces in one word."""
+        reached, left = self.along(word, scores, False), self.along(word, scores, True)
+        total = np.zeros(len(scores))
+        for a in range(0, len(word), STRETCH):
+            start, stop, piece = self.matches_within(word, a, a + STRETCH)
+            share = np.exp(reached[start] + scores[piece] + left[len(word) - stop] - reached[-1])
+            total += np.bincount(piece, share, len(scores))
+        return total
+
     def forward(self, words: np.ndarray, scores: np.ndarray) -> np.ndarray:
         """Log probabilities of words of one length."""
+        if words.shape[1] > LONG_WORD:
+            return np.array([self.along(word, scores, False)[-1] for word in words])
         reached = np.full((words.shape[1] + 1, len(words)), -np.inf)
         reached[0] = 0
         for start, stop, at, piece in self.matches(words):
@@ -88,6 +157,8 @@ class Pieces:
 
     def expected(self, words: np.ndarray, counts: np.ndarray, scores: np.ndarray) -> np.ndarray:
         """Expected counts of the pieces in words of one length, given how often each word occurs."""
+        if words.shape[1] > LONG_WORD:
+            return sum((n * self.expected_along(word, scores) for word, n in zip(words, counts, strict=True)), np.zeros(len(scores)))
         found = list(self.matches(words))
         reached = np.full((words.shape[1] + 1, len(words)), -np.inf)
         reached[0] = 0
