@@ -4,8 +4,10 @@ import itertools
 import json
 import math
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from wordbase.operators import graph_changes, lookups, network
 from wordbase.schemas import EDGE, MIRROR, NODE, rows_to_table
@@ -217,3 +219,43 @@ def test_confirmed_words_leave_all_three_tables(spark):
     assert [tuple(r) for r in done.edges.collect()] == [("b", "SYNONYM_OF", "c")]
     assert sorted(r.key for r in done.mirror.collect()) == ["lexicon:b", "lexicon:c", "lexicon:d"]
     assert sorted(tuple(r) for r in done.rejects.collect()) == [("b", "not confirmed"), ("d", "unknown word")]
+
+
+def clusters_of(spark, degrees, k=3):
+    table = spark.createDataFrame(list(enumerate(degrees)), "node long, degree long")
+    rows = network.degree_clusters(table, k).collect()
+    assert len(rows) == len(degrees)
+    return {r["degree"]: r["cluster"] for r in rows}
+
+
+def spread_of(degrees, clusters):
+    """Squared distance of all degrees to the means of their clusters."""
+    total = 0.0
+    for c in set(clusters.values()):
+        own = [d for d in degrees if clusters[d] == c]
+        mean = sum(own) / len(own)
+        total += sum((d - mean) ** 2 for d in own)
+    return total
+
+
+def test_more_degrees_than_are_told_apart(spark, monkeypatch):
+    """In bins, clusters are still ranges, cost hardly more than the best ones, and their borders are off by the stated factor at most."""
+    rng = random.Random(4)
+    degrees = [int(rng.paretovariate(0.8) * 10) for _ in range(3000)]
+    exact = clusters_of(spark, degrees)
+    monkeypatch.setattr(network, "EXACT_DEGREES", 50)
+    binned = clusters_of(spark, degrees)
+    ordered = [binned[d] for d in sorted(binned)]
+    assert ordered == sorted(ordered) and set(ordered) == {0, 1, 2}
+    assert spread_of(degrees, exact) <= spread_of(degrees, binned) <= 1.05 * spread_of(degrees, exact)
+    monkeypatch.setattr(network, "EXACT_DEGREES", len(set(degrees)))
+    assert clusters_of(spark, degrees) == exact
+
+
+def test_very_many_degrees_take_bounded_time(spark):
+    table = spark.range(1, 60_001).select(F.col("id").alias("node"), (F.col("id") * F.col("id") + 10**9).alias("degree"))
+    bins = network.degree_bins(table)
+    assert len(bins) <= math.log(3.6e9 + 1e9) / math.log1p(network.DEGREE_ERROR) and sum(b.n for b in bins) == 60_000
+    assert sum(b.squares for b in bins) == sum((i * i + 10**9) ** 2 for i in range(1, 60_001))  # exact, beyond 64 bits
+    begun = time.process_time()
+    assert len(network.best_bin_ranges(bins, 3)) == 3 and time.process_time() - begun < 20

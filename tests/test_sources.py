@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordbase.operators import graph_changes, sentiment, sets
 from wordbase.operators.records import build_lexicon, shape_records
@@ -183,3 +184,27 @@ def test_keyed_scan(spark):
     flat = build_lexicon(shape_records(rows_to_table(spark, [("ab", 1), ("b", 2)], FREQUENCY), seq=1))
     assert len(stores.keyed_scan(flat).columns) == 11
     assert [r.key for r in stores.keyed_scan(flat, "word:?").collect()] == ["word:b"]
+
+
+def test_bad_records_are_set_aside(spark, tmp_path):
+    """Every record is a row or a reject with its place, quoted fields and blank ones included."""
+    (tmp_path / "in").mkdir()
+    lines = ["word,count,score", "a,1,0.5", '"b, ""c""",2,', "d,x,0.1", "e,3", "f,4,0.2,more", "g,,bad", ",,", "h,5,1e3"]
+    (tmp_path / "in" / "one.csv").write_text("\n".join(lines) + "\n")
+    (tmp_path / "in" / "two.csv").write_text("word,count,score\ni,6,nan\nj,7.5,1\n")
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("count", T.LongType()), T.StructField("score", T.DoubleType())])
+    good, rejects = csv.read_csv_checked(spark, str(tmp_path / "in"), schema)
+    assert sorted(map(str, good.select("word", "count").collect())) == sorted(
+        map(str, spark.createDataFrame([("a", 1), ('b, "c"', 2), (None, None), ("h", 5), ("i", 6)], "word string, count long").collect())
+    )
+    got = {(r["file"].rsplit("/", 1)[1], r["record"], r["reason"]) for r in rejects.collect()}
+    assert got == {
+        ("one.csv", "d,x,0.1", "count is no bigint"), ("one.csv", "e,3", "wrong number of fields"), ("one.csv", "f,4,0.2,more", "wrong number of fields"),
+        ("one.csv", "g,,bad", "score is no double"), ("two.csv", "j,7.5,1", "count is no bigint"),
+    }
+    places = [(r["file"], r["block"], r["row"]) for r in rejects.collect()]
+    assert len(set(places)) == len(places)
+    assert good.select("word").count() == 5 and rejects.select("reason").count() == 5  # whichever columns are asked for
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "empty.csv").write_text("word,count,score\n")
+    assert [df.count() for df in csv.read_csv_checked(spark, str(tmp_path / "none"), schema)] == [0, 0]

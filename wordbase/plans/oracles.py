@@ -464,6 +464,12 @@ ORACLES = {
 
 # the same result by another way: in place, out of pruned tables, by what changed
 ORACLES |= {
+    "csv_checked": """
+        SELECT word, CASE WHEN word NOT LIKE '%z' THEN "count" END AS "count" FROM counts WHERE NOT regexp_matches(word, '[xqv]$')""",
+    "csv_rejects": """
+        SELECT word || ',' || "count" || ',more' AS record, 'wrong number of fields' AS reason FROM counts WHERE word LIKE '%x'
+        UNION ALL SELECT word, 'wrong number of fields' FROM counts WHERE word LIKE '%q'
+        UNION ALL SELECT word || ',bad', 'count is no bigint' FROM counts WHERE word LIKE '%v'""",
     "titles_text_laid_out": ORACLES["titles_text"],
     "stream_word_count_laid_out": ORACLES["stream_word_count"],
     "upsert_in_place": ORACLES["upsert_words"],

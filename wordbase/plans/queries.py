@@ -30,7 +30,7 @@ from wordbase.operators import (
 from wordbase.operators.keyed import listed
 from wordbase.plans.stand_ins import ASKED, Inputs
 from wordbase.runtime import scratch_path
-from wordbase.schemas import MIRROR_PREFIX, NODE_PROPERTIES, SCORED
+from wordbase.schemas import FREQUENCY, MIRROR_PREFIX, NODE_PROPERTIES, SCORED
 from wordbase.sources import articles, csv, keyed_tables, messages, runs, stores
 from wordbase.streaming import clean
 
@@ -176,6 +176,33 @@ def _held_out(word):
     return F.crc32(word.cast("binary")) % 5 == 1
 
 
+def _careless_lines(i: Inputs) -> str:
+    """The corpus counts as lines of a CSV, some with a field too many or too few, or with a bad or a blank count."""
+    word = F.col("word")
+    rest = (
+        F.when(word.endswith("x"), F.concat(F.lit(","), "count", F.lit(",more")))
+        .when(word.endswith("q"), "")
+        .when(word.endswith("v"), ",bad")
+        .when(word.endswith("z"), ",")
+        .otherwise(F.concat(F.lit(","), "count"))
+    )
+    path = scratch_path(i.spark, "lines")
+    i.counts.select(F.concat(word, rest).alias("value")).write.text(path)
+    return path
+
+
+@query("counts")
+def csv_checked(i):
+    """The lines that are as declared."""
+    return csv.read_csv_checked(i.spark, _careless_lines(i), FREQUENCY, header=False)[0]
+
+
+@query("counts")
+def csv_rejects(i):
+    """The lines that are not, with the reason."""
+    return csv.read_csv_checked(i.spark, _careless_lines(i), FREQUENCY, header=False)[1].select("record", "reason")
+
+
 @query("counts", "scores")
 def sentiment_scored_by_fitted_model(i):
     """All corpus words, by a model of the labelled words but a fifth."""

@@ -10,6 +10,7 @@ from wordbase.functions.parse import safe_double
 from wordbase.schemas import NODE
 
 FILE_ORDER = "seq"
+_BAD, _REASON = "__bad_record", "__reason"
 
 
 def _typed(column: Column, kind: T.DataType) -> Column:
@@ -37,6 +38,35 @@ def read_csv(
     )
 
 
+def read_csv_checked(spark: SparkSession, path: str, schema: T.StructType, header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The rows of a CSV that are as declared, and the others: ``file, block, row`` (the place in the block of the file that a task reads),
+    ``record`` and ``reason``.
+
+    A record is refused if it has more or fewer fields than ``schema``, or if a field that is not blank is no value of its type; the first such field is
+    named. Fields are those of the schema in order. Nothing is dropped silently: each record is in one of both tables.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField(_BAD, T.StringType())])
+    raw = (
+        spark.read.schema(text).option("header", header).option("escape", '"').option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", _BAD).option("columnPruning", False).csv(path)
+    )
+    typed = [_typed(F.col(f"`{f.name}`"), f.dataType) for f in schema]
+    no_value = [
+        F.when(F.col(f"`{f.name}`").isNotNull() & value.isNull(), F.lit(f"{f.name} is no {f.dataType.simpleString()}"))
+        for f, value in zip(schema, typed, strict=True)
+        if not isinstance(f.dataType, T.StringType)
+    ]
+    reason = F.coalesce(F.when(F.col(_BAD).isNotNull(), "wrong number of fields"), *no_value, F.lit(None))
+    judged = raw.withColumn(_REASON, reason)
+    fields = F.to_csv(F.struct(*(F.col(f"`{f.name}`") for f in schema)))
+    rejects = judged.where(F.col(_REASON).isNotNull()).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("row"), F.coalesce(_BAD, fields).alias("record"), F.col(_REASON).alias("reason"),
+    )
+    good = judged.where(F.col(_REASON).isNull()).select(*(value.alias(f.name) for f, value in zip(schema, typed, strict=True)))
+    return good, rejects
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a headed CSV, replacing what was there. Line breaks stay, in quotes; quotes are doubled."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
