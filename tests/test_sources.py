@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 import re
 from datetime import datetime
 
@@ -208,3 +209,32 @@ def test_bad_records_are_set_aside(spark, tmp_path):
     (tmp_path / "none").mkdir()
     (tmp_path / "none" / "empty.csv").write_text("word,count,score\n")
     assert [df.count() for df in csv.read_csv_checked(spark, str(tmp_path / "none"), schema)] == [0, 0]
+
+
+@pytest.mark.parametrize("block", [64, 200, 1000, 1 << 20])
+def test_a_long_file_is_read_by_many_tasks(spark, tmp_path, settings, block):
+    """Records over several lines, over the borders of blocks and over whole blocks, as one task would read them."""
+    rng = random.Random(block)
+    fields = ["plain", "", "a, b", 'say "x"', "two\nlines", '"', '""\n"', "long " * 60, "\n" * 5, "été\n中"]
+    (tmp_path / "in").mkdir()
+    for name in ("one", "two"):
+        rows = [(f"w{i}", str(i), *(rng.choice(fields) for _ in range(2))) for i in range(150)]
+        lines = [",".join(f'"{x.replace(chr(34), chr(34) * 2)}"' if rng.random() < 0.7 or re.search('[,"\n\r]', x) else x for x in row) for row in rows]
+        end = "\r\n" if name == "two" else "\n"
+        (tmp_path / "in" / f"{name}.csv").write_text(end.join(["word,count,a,b", *lines[:70], "", *lines[70:]]) + end, newline="")
+    settings(files__maxPartitionBytes=str(block), files__openCostInBytes="0")
+    schema = T.StructType([T.StructField("word", T.StringType()), T.StructField("count", T.LongType())])
+    got = csv.read_long_csv(spark, str(tmp_path / "in"), schema)
+    want = csv.read_csv(spark, str(tmp_path / "in"), schema, multi_line=True)
+    assert got.dtypes == want.dtypes and want.count() == 300
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    lines = spark.read.text(str(tmp_path / "in"))
+    assert lines.rdd.getNumPartitions() > 20 or block >= 1000
+
+
+def test_long_files_without_rows(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("word,count\n")
+    assert csv.read_long_csv(spark, str(tmp_path / "t.csv"), FREQUENCY).count() == 0
+    (tmp_path / "u.csv").write_text('"a\r\nb",1\n\nc,bad', newline="")
+    got = csv.read_long_csv(spark, str(tmp_path / "u.csv"), FREQUENCY, header=False)
+    assert sorted(map(tuple, got.collect())) == [("a\r\nb", 1), ("c", None)]  # line breaks in quotes stay as they are

@@ -1,0 +1,39 @@
+"""Run the rest without the training-data package: ``python tests/without_llm.py [pytest arguments]``.
+
+Copies the repository without ``wordbase/llm``, ``tests/llm`` and ``corpus_pipeline.py`` to a new temporary folder, checks which queries are left, and
+runs the tests there if arguments are given.
+"""
+
+from __future__ import annotations
+
+import shutil
+import subprocess
+import sys
+import tempfile
+from pathlib import Path
+
+LEFT_OUT = ("wordbase/llm", "tests/llm", "corpus_pipeline.py", ".git")
+CHECK = """
+import __spark_entry__ as entry
+from wordbase.plans.oracles import ORACLES
+from wordbase.plans.queries import QUERIES
+assert set(entry.queries()) == set(QUERIES) and set(entry.oracle_sql()) == set(ORACLES), "other queries are registered"
+print(len(QUERIES), "queries,", len(ORACLES), "SQL twins")
+"""
+
+
+def main() -> int:
+    top = Path(__file__).resolve().parent.parent
+    copy = Path(tempfile.mkdtemp(prefix="wordbase-without-llm-")) / "repo"
+
+    def left_out(folder: str, names: list[str]) -> list[str]:
+        here = Path(folder).relative_to(top)
+        return [n for n in names if str(here / n) in LEFT_OUT or n == "__pycache__"]
+
+    shutil.copytree(top, copy, ignore=left_out)
+    subprocess.run([sys.executable, "-B", "-c", CHECK], cwd=copy, check=True)
+    return subprocess.run([sys.executable, "-B", "-m", "pytest", *sys.argv[1:]], cwd=copy, check=False).returncode if sys.argv[1:] else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())

@@ -470,6 +470,8 @@ ORACLES |= {
         SELECT word || ',' || "count" || ',more' AS record, 'wrong number of fields' AS reason FROM counts WHERE word LIKE '%x'
         UNION ALL SELECT word, 'wrong number of fields' FROM counts WHERE word LIKE '%q'
         UNION ALL SELECT word || ',bad', 'count is no bigint' FROM counts WHERE word LIKE '%v'""",
+    "node_csv_long": """
+        SELECT name, "POS", CASE WHEN name LIKE '%e' THEN 'a "b",' || chr(10) || meaning ELSE meaning END AS meaning FROM batch_nodes""",
     "titles_text_laid_out": ORACLES["titles_text"],
     "stream_word_count_laid_out": ORACLES["stream_word_count"],
     "upsert_in_place": ORACLES["upsert_words"],

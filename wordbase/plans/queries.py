@@ -30,7 +30,7 @@ from wordbase.operators import (
 from wordbase.operators.keyed import listed
 from wordbase.plans.stand_ins import ASKED, Inputs
 from wordbase.runtime import scratch_path
-from wordbase.schemas import FREQUENCY, MIRROR_PREFIX, NODE_PROPERTIES, SCORED
+from wordbase.schemas import FREQUENCY, MIRROR_PREFIX, NODE, NODE_PROPERTIES, SCORED
 from wordbase.sources import articles, csv, keyed_tables, messages, runs, stores
 from wordbase.streaming import clean
 
@@ -822,3 +822,12 @@ def node_csv_import(i):
     csv.write_csv(i.batch_nodes.withColumn("meaning", broken).withColumnRenamed("name", "word"), path)
     read = csv.read_node_csv(i.spark, path, multi_line=True)
     return _rounded(graph_changes.create_nodes(i.nodes, read), "sentiment_score")
+
+
+@query()
+def node_csv_long(i):
+    """The same lines as rows, put together by tasks that each read a block."""
+    path = scratch_path(i.spark, "nodes")
+    broken = F.when(F.col("name").endswith("e"), F.concat(F.lit('a "b",\n'), "meaning")).otherwise(F.col("meaning"))
+    csv.write_csv(i.batch_nodes.select("name", "POS", broken.alias("meaning")), path)
+    return csv.read_long_csv(i.spark, path, NODE)
