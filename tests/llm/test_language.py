@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import AWKWARD
@@ -136,3 +137,29 @@ def test_unlearned_texts_go_and_short_clean_ones_stay(spark, table):
     short = [(n, invented(rng, n, 6)) for n in range(30) for _ in range(20)]
     assert language.drop_unknown(table(short), many).count() == 600
     assert language.drop_unknown(table(list(enumerate(foreign))), many).count() == 0
+
+
+def test_numbers_are_no_letters():
+    """Numbers of all kinds are none, so the fit's letters and those of a prediction are the same."""
+    for text in ("\u00bd \u00b2 \u2167 \u2460", "12 \u0663 _", "\u3007\u2028", "\u4e00"):
+        assert (len(language.grams(text)) > 0) == any(c.isalpha() for c in text), text
+    assert language.grams("a\u00bdb").tolist() == language.grams("a b").tolist() == language.grams("a1b").tolist()
+
+
+@pytest.mark.parametrize("folded", [64, 0])
+def test_batches_score_as_single_texts(spark, monkeypatch, folded):
+    """Whatever the blocks, with empty and unknown texts among them, scores are those of the kernel with each landmark."""
+    rng = random.Random(12)
+    words = {"x": ["abba", "cada", "bac"], "y": ["zyx", "yzy", "xoz"], "z": ["mnm", "nono", "mon"]}
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randint(1, 30))), lang) for i, lang in enumerate("xyz" * 20)]
+    monkeypatch.setattr(language, "FOLDED", folded)
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=60, landmarks=20)
+    texts = [language.grams(t) for t in ["", "qqqq", *(r[1] for r in rows[:25]), "", "abba zyx mon", "\u4e2d"]]
+    single = np.concatenate([model.scores([own]) for own in texts])
+    for block in (1, 50, 10**6):
+        monkeypatch.setattr(language, "BLOCK", block)
+        assert np.allclose(model.scores(texts), single, atol=1e-9)
+    if not folded:
+        by_hand = np.stack([model.intercept + (model.marks.kernel(own) @ model.weights if len(own) else 0) for own in texts])
+        assert np.allclose(single, by_hand, atol=1e-6)
+    assert model.scores([]).shape == (0, 3)

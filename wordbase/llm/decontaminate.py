@@ -192,7 +192,8 @@ def windows(canon: Canon, text: str, widths: list[int]):
         for reading, (template, slot) in readings.items():
             # windows with a slot and with a word
             filled = np.cumsum(np.concatenate([[0], slot]))
-            use = np.flatnonzero((filled[width:] > filled[:-width]) & (filled[width:] < filled[:-width] + width))
+            n_slots = filled[width:] - filled[:-width]
+            use = np.flatnonzero((n_slots > 0) & (n_slots < width))
             if len(use):
                 values = np.where(slot, own | np.uint64(1), np.uint64(0))
                 yield _windows(template, width)[use], reading, (use, values), width

@@ -50,8 +50,11 @@ LEAST_SCORE = 0.0
 PIECES = (10, 20, 40, 80, 160, 320, 640, 1280)
 MARGIN = 2.0
 LENGTHS = 33
+BLOCK = 200_000  #: n-grams of the texts that are scored together
 
-_OTHERS = re.compile(r"[\W\d_]+")
+# \w takes letters, and numbers of all kinds, of which \d are the decimal ones
+_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
+_OTHERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 _DIGITS = re.compile(r"\w*\d\w*")
 
 
@@ -86,6 +89,15 @@ class Postings:
         at[at == len(self.grams)] = 0
         return at[self.grams[at] == own]
 
+    def product(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The sparse matrix of a block of texts by known n-grams: (rows, columns) of its ones."""
+        own = np.concatenate(texts)
+        row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        at = np.searchsorted(self.grams, own)
+        at[at == len(self.grams)] = 0
+        known = self.grams[at] == own
+        return row[known], at[known]
+
     def kernel(self, own: np.ndarray) -> np.ndarray:
         """Kernels of a text with each of the texts."""
         at = self.places(own)
@@ -119,15 +131,29 @@ class Model:
     lacking: np.ndarray  #: by label and length: the largest share of unknown n-grams that passes
 
     def scores(self, texts: list[np.ndarray]) -> np.ndarray:
-        """Regression values of a batch of texts, given as their n-grams."""
+        """Regression values of a batch of texts, given as their n-grams.
+
+        A block of texts is a sparse matrix of the n-grams they have, multiplied by the rows of weights; or by the landmarks' postings and then by the weights."""
         out = np.tile(self.intercept, (len(texts), 1))
-        folded = len(self.labels) <= FOLDED
-        for i, own in enumerate(texts):
-            if len(own):
-                if folded:
-                    out[i] += self.weights[self.marks.places(own)].sum(axis=0) / np.sqrt(len(own))
-                else:
-                    out[i] += self.marks.kernel(own) @ self.weights
+        sizes = np.array([len(own) for own in texts], np.int64)
+        ends = np.cumsum(sizes)
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] - sizes[first] + BLOCK, "right")))
+            n = last - first
+            row, at = self.marks.product(texts[first:last])
+            norms = np.sqrt(np.maximum(sizes[first:last], 1))
+            if len(self.labels) <= FOLDED:
+                sums = np.column_stack([np.bincount(row, self.weights[at, label], n) for label in range(len(self.labels))])
+            else:
+                size = self.marks.starts[at + 1] - self.marks.starts[at]
+                runs = np.cumsum(size)
+                entries = np.arange(runs[-1] if len(runs) else 0) + np.repeat(self.marks.starts[at] - (runs - size), size)
+                width = len(self.marks.roots)
+                shared = np.bincount(np.repeat(row, size) * width + self.marks.texts[entries], minlength=n * width).reshape(n, width)
+                sums = (shared / self.marks.roots) @ self.weights
+            out[first:last] += sums / norms[:, None]
+            first = last
         return out
 
     def learned(self, text: str, own: np.ndarray, label: int) -> bool:
