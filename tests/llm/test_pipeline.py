@@ -36,4 +36,4 @@ def test_stages(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))

@@ -147,7 +147,8 @@ class Canon:
         known = self.known
         if not text.isascii():
             text = _UNSPACED.sub(r" \g<0> ", text)
-        at = np.array([known[w] for w in text.replace("\n", f" {_BREAK} ").split()], np.int64)
+        words = text.replace("\n", f" {_BREAK} ").split()
+        at = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         heads = np.flatnonzero(known.glued[at] >= 0)
         while len(heads):
             at = np.insert(at, heads + 1, known.glued[at[heads]])
@@ -176,7 +177,8 @@ def _windows(hashes: np.ndarray, width: int) -> np.ndarray:
     n = len(hashes) - width + 1
     total = np.full(n, width, np.uint64)
     for i in range(width):
-        total = total * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total += hashes[i : i + n]
     return total ^ (total >> np.uint64(29))
 
 

@@ -16,7 +16,7 @@ further kinds: private key blocks, signed web tokens, keys whose makers gave the
 
 Defined results: a null text is an empty one. Repeated rows get a row each. A text without findings has zero counts, the digest of an empty string and
 an empty list. An empty table gives no rows. Other columns are not looked at. The table is read twice and must give the same rows in the same order, as
-files do; a scan that cannot find a content again raises an error instead of passing it over.
+files do; anything else has to be written first.
 """
 
 from __future__ import annotations
@@ -148,7 +148,10 @@ def scan(versions: DataFrame, ledger: str, rules: list[Rule] = RULES) -> DataFra
             rest = stored(listing.select("row").join(todo.select("row"), "row", "left_anti"), "copies")
             texts = source.join(rest, "row", "left_anti").withColumn("rules", every)
         else:
-            texts = source.withColumn("check", F.xxhash64("text")).join(todo.select("row", "check", "rules"), ["row", "check"])
+            changed = F.raise_error(F.lit("a text changed while it was scanned")).cast("array<string>")
+            texts = source.join(todo.select("row", "check", "rules"), "row").withColumn(
+                "rules", F.when(F.xxhash64("text") == F.col("check"), F.col("rules")).otherwise(changed)
+            )
         found = matches(texts.select("row", "text", "rules"), rules)
         new = todo.join(found, "row", "left")
         findings = F.coalesce("findings", F.expr(f"cast(array() AS array<{FINDING}>)"))
