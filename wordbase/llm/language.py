@@ -52,15 +52,18 @@ MARGIN = 2.0
 LENGTHS = 33
 BLOCK = 200_000  #: n-grams of the texts that are scored together
 
-# \w takes letters, and numbers of all kinds, of which \d are the decimal ones
-_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isnumeric() and not c.isalpha() and not c.isdecimal())
-_OTHERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_OTHERS = re.compile(r"[\W\d_]+")
 _DIGITS = re.compile(r"\w*\d\w*")
 
 
 def grams(text: str) -> np.ndarray:
     """The distinct n-grams of the letters of a text, sorted; empty if it has none."""
     letters = _OTHERS.sub(" ", text.lower()).strip()
+    if not letters.isascii():
+        # numbers that are not decimal ones are no letters
+        numbers = {ord(c): " " for c in set(letters) if not c.isalpha()}
+        if len(numbers) > 1 or numbers and " " not in letters:
+            letters = " ".join(letters.translate(numbers).split())
     if not letters:
         return np.empty(0, np.uint32)
     b = np.frombuffer(f" {letters} ".encode(), np.uint8).astype(np.uint32)
