@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -77,6 +78,38 @@ def test_blocks_of_few_words(monkeypatch):
     assert seen[b"en", (b"york", b"city", b"new")] >= 299 and not any((b"one", b"two") == phrase[:2] for _, phrase in seen)
 
 
+@pytest.mark.parametrize("below", [7, 1 << 20, 1 << 21])
+def test_counts_of_rows(below):
+    """Rows whose number fits give it back; the others are found by their place."""
+    rng = random.Random(below)
+    some = [rng.randrange(below) for _ in range(4)] + [0, below - 1]
+    rows = [tuple(rng.choice(some) for _ in range(3)) for _ in range(500)]
+    found, times = phrases.counted([np.array(c, np.int32) for c in zip(*rows, strict=True)], below)
+    assert list(zip(map(tuple, found.tolist()), times.tolist(), strict=True)) == sorted(Counter(rows).items())
+
+
+def test_extended_prefixes_are_looked_up_not_the_leaves(monkeypatch):
+    """The few extended phrases are looked for among the numbers of a block; its many leaves are never spelled out."""
+    block = phrases.Block(3)
+    for lang, text in ((b"en", b"new york city new york"), (b"a\nb", b"new york new"), (b"en", b"city")):
+        block.add(lang, text.split())
+        block.end()
+    leaves, _ = phrases.counted(block.suffixes(True, None), block.below)
+    names = [[block.names_of[i - 1] for i in row if i] for row in leaves.tolist()]
+    hot = [{b"new\nen": 9, b"york\na\nb": 9, b"gone\nen": 9, b"new\nfr": 9}, {b"new york\nen": 9, b"york new\na\nb": 9, b"new gone\nen": 9}]
+
+    def level(row):
+        for depth, own in enumerate(hot, 1):
+            if phrases.named(b" ".join(w for w, _ in row[:depth]), row[0][1]) not in own:
+                return depth
+            if len(row) == depth:
+                return 0
+        return 3
+
+    monkeypatch.setattr(phrases.Block, "names", None)
+    assert phrases.extended(block, leaves, hot).tolist() == [level(row) for row in names]
+
+
 def test_ranks(spark):
     """Ties go by count and then by phrase; each language has its own ranks, however long."""
     rng = random.Random(2)

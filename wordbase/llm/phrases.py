@@ -25,7 +25,7 @@ table give no rows. Other columns are not looked at.
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -124,7 +124,10 @@ class Block:
         self.parts.append(_ZERO)
 
     def hashes(self) -> np.ndarray:
-        return np.array([0, *(hashed(named(w, lang)) for w, lang in self.names_of)], np.int64)
+        digest, names = xxhash.xxh64_intdigest, self.names_of
+        made = np.zeros(len(names) + 1, np.uint64)
+        made[1:] = np.fromiter((digest(b"%b\n%b" % name) for name in names), np.uint64, len(names))
+        return made.view(np.int64)
 
     def suffixes(self, last: bool, frequent: np.ndarray | None) -> list[np.ndarray]:
         """Columns of the suffixes, cut off at the depth and filled with 0; those that may go on in the next block are left to it.
@@ -159,6 +162,17 @@ class Block:
         names = self.names_of
         return [named(b" ".join([names[i - 1][0] for i in row]), names[row[0] - 1][1]) for row in rows.tolist()]
 
+    def rows(self, names: Iterable[bytes], size: int) -> np.ndarray:
+        """The rows of numbers of those phrases of ``size`` words, named with their languages, whose words the block all has."""
+        found = []
+        for name in names:
+            phrase, lang = name.split(b"\n", 1)
+            numbers = self.numbers.get(lang, {})
+            row = [numbers.get(word, 0) for word in phrase.split(b" ")]
+            if all(row):
+                found.append(row)
+        return np.array(found, np.int64).reshape(len(found), size)
+
     @property
     def below(self) -> int:
         """All numbers are below this one."""
@@ -186,9 +200,19 @@ def blocks(batches: Iterator[pa.RecordBatch], depth: int, frequent: np.ndarray |
 
 
 def counted(columns: list[np.ndarray], below: int) -> tuple[np.ndarray, np.ndarray]:
-    """Different rows of the columns, and how often each occurs."""
-    _, at, times = np.unique(packed(columns, below), return_index=True, return_counts=True)
-    return np.column_stack([c[at] for c in columns]), times
+    """Different rows of the columns, in order, and how often each occurs."""
+    if below ** len(columns) >= 1 << 62:
+        _, at, times = np.unique(packed(columns, below), return_index=True, return_counts=True)
+        return np.column_stack([c[at] for c in columns]), times
+    # a number gives its row back, so plain numbers are sorted, not places
+    keys, times = np.unique(packed(columns, below), return_counts=True)
+    rows = np.empty((len(keys), len(columns)), columns[0].dtype)
+    for k in range(len(columns) - 1, 0, -1):
+        left = keys // below
+        rows[:, k] = keys - left * below
+        keys = left
+    rows[:, 0] = keys
+    return rows, times
 
 
 def extended(block: Block, leaves: np.ndarray, hot: Hot) -> np.ndarray:
@@ -198,9 +222,15 @@ def extended(block: Block, leaves: np.ndarray, hot: Hot) -> np.ndarray:
         at = np.flatnonzero(level == depth)
         if not own or not len(at):
             break
-        rows, inverse = np.unique(leaves[at, :depth], axis=0, return_inverse=True) if depth > 1 else np.unique(leaves[at, 0], return_inverse=True)
-        deeper = np.array([name in own for name in block.names(rows.reshape(len(rows), depth))])[inverse.ravel()]
-        at = at[deeper]
+        here = block.rows(own, depth)
+        if depth == 1:
+            deeper = np.zeros(block.below, bool)
+            deeper[here] = True
+            at = at[deeper[leaves[at, 0]]]
+        else:
+            both = np.concatenate([here, leaves[at, :depth]])
+            keys = packed([both[:, k] for k in range(depth)], block.below)
+            at = at[np.isin(keys[len(here) :], keys[: len(here)])]
         level[at] = np.where(leaves[at, depth] > 0, depth + 1, 0)
     return level
 
@@ -306,12 +336,14 @@ def leaf_rows(texts: DataFrame, depth: int, plan: Plan) -> DataFrame:
 def _leaf_batches(block: Block, group: np.ndarray, leaves: np.ndarray, levels: np.ndarray, totals: np.ndarray) -> Iterator[pa.RecordBatch]:
     groups, first = np.unique(group, return_index=True)
     ends = np.append(first, len(group)).tolist()
+    number_of = {lang: i for i, lang in enumerate(block.numbers)}
+    lang_at = np.fromiter((number_of[lang] for _, lang in block.names_of), np.int64, len(block.names_of))
     made: list[tuple] = []
     size = 0
     for number, a, b in zip(groups.tolist(), ends, ends[1:], strict=False):
         used, index = np.unique(leaves[a:b], return_inverse=True)
         index = index.reshape(b - a, -1) + (used[0] > 0)  # 0 stays 0
-        data = packed_leaves(block, used[used > 0].tolist(), index, levels[a:b], totals[a:b])
+        data = packed_leaves(block, used[used > 0], lang_at, index, levels[a:b], totals[a:b])
         made.append((number, data))
         size += len(data)
         if size > 4_000_000:
@@ -329,18 +361,18 @@ def _leaf_batch(made: list[tuple]) -> pa.RecordBatch:
 _HEAD = struct.Struct("<IIHBBI")  #: leaves, bytes of the words, languages, width of numbers, width of totals, bytes of all that follows
 
 
-def packed_leaves(block: Block, used: list[int], index: np.ndarray, levels: np.ndarray, totals: np.ndarray) -> bytes:
+def packed_leaves(block: Block, used: np.ndarray, lang_at: np.ndarray, index: np.ndarray, levels: np.ndarray, totals: np.ndarray) -> bytes:
     """Words (in order of language) and leaves: levels, numbers of the words (from 1) by depth, and totals, in few bytes each and compressed if that pays."""
     names = block.names_of
-    by_lang: dict[bytes, list[int]] = {}
-    for at, i in enumerate(used):
-        by_lang.setdefault(names[i - 1][1], []).append(at)
-    if len(by_lang) > 1:
+    order = np.argsort(lang_at[used - 1], kind="stable")
+    own, counts = np.unique(lang_at[used - 1], return_counts=True)
+    if len(own) > 1:
         number = np.zeros(len(used) + 1, np.int64)
-        number[np.concatenate([np.array(own) for own in by_lang.values()]) + 1] = np.arange(1, len(used) + 1)
+        number[order + 1] = np.arange(1, len(used) + 1)
         index = number[index]
-    words = b"\n".join([names[used[at] - 1][0] for own in by_lang.values() for at in own])  # no word holds a line break
-    langs = b"".join(struct.pack("<II", len(lang), len(own)) + lang for lang, own in by_lang.items())
+    words = b"\n".join([names[i][0] for i in (used[order] - 1).tolist()])  # no word holds a line break
+    by_lang = list(zip([list(block.numbers)[i] for i in own.tolist()], counts.tolist(), strict=True))
+    langs = b"".join(struct.pack("<II", len(lang), n) + lang for lang, n in by_lang)
     numbers = np.ascontiguousarray(index.T.astype(np.min_scalar_type(len(used))))
     times = totals.astype(np.min_scalar_type(totals.max()))
     body = langs + words + levels.tobytes() + numbers.tobytes() + times.tobytes()
@@ -383,7 +415,7 @@ NODES = "lang string, phrase string, size int, f long, parts array<long>"
 def subtree(rows: pa.Table, depth: int, least: int, hot: Hot) -> pa.Table:
     """The nodes of one group that occur often enough: their counts, and those of the nodes above them, from the leaf totals."""
     names, leaves, levels, totals = unpacked(rows, depth)
-    order = np.argsort(packed(list(leaves), len(names) + 1), kind="stable")
+    order = np.argsort(packed(list(leaves), len(names) + 1))
     leaves, levels, totals = leaves[:, order], levels[order], totals[order]
     words = pa.array([x[0] for x in names], pa.binary()).cast(pa.string())
     langs = pa.array([x[1] for x in names], pa.binary()).cast(pa.string())
