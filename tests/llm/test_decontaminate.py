@@ -182,3 +182,19 @@ def test_tables_of_numbers_meet_nobody(spark, table, items, monkeypatch):
     monkeypatch.setattr(decontaminate, "stored", counting)
     assert found(table, items, docs, [(1, item)]) == {(9, 1): 1.0, (10, 1): 1.0}
     assert kept["found_windows"].count() < 500 and kept["seen_windows"].count() < 600
+
+
+def test_plain_words_need_no_patterns(monkeypatch):
+    """Words of letters, with one mark after them at most, are known without the patterns that others need, as the patterns have them."""
+    bare = ["ten", "Ten", "km", "Anna", "anna", "House", "HOUSE", "hOUSE", "A", "a", "\u00e9t\u00e9", "\u00c9t\u00e9", "\u0130x", "\u1e9eu", "\u4e2d", "\u01c5a", "\u00aa", "twenty"]
+    plain = [w + mark for w in bare for mark in ("", ".", ",", ";", ":", "!", "?")]
+    others = ["5km", "x1", "1", "-", ".", "?", "a-b", "five-day", "(a", "a)", "a..", "a,.", "\u2160", "\u00bd", "a_", "_", "don't", decontaminate._BREAK, "a\u0301", "'a'"]
+    want = {w: (*decontaminate.classify(decontaminate.parted(w)[0]), decontaminate.parted(w)[1]) for w in plain + others}
+    asked = []
+    monkeypatch.setattr(decontaminate, "classify", lambda word, of=decontaminate.classify: asked.append(word) or of(word))
+    known = decontaminate._Known()
+    for w, (kind, value, ends, rest) in want.items():
+        at = known[w]
+        assert (known.kind[at], known.hash[at], known.ends[at]) == (kind, value, ends), w
+        assert known.glued[at] == (known[rest] if rest else -1), w
+    assert not set(asked) & set(plain)

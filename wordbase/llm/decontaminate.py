@@ -67,6 +67,8 @@ _NUMBER = re.compile(r"\d(?:[\d.,:/-]*\d)?(?:st|nd|rd|th)?")
 _UNSPACED = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 _SENTENCE_END = re.compile(r"[.!?:][^\w]*$")
 _GLUED = re.compile(r"([\W_]*\d(?:[\d.,:/-]*\d)?)(-?)([^\W\d_].*)", re.DOTALL)
+_END_MARKS = ".!?:"
+_MARKS = _END_MARKS + ",;"
 _SETS = frozenset(NUMBERS), frozenset(UNITS), frozenset(NAMES)
 
 
@@ -126,6 +128,19 @@ class _Known(dict):
         if number == len(self.kind):
             arrays = self.kind, self.hash, self.ends, self.glued
             self.kind, self.hash, self.ends, self.glued = (np.concatenate([x, np.zeros_like(x)]) for x in arrays)
+        # most words are letters, with one mark after them at most: nothing is glued to these
+        letters = word if word.isalpha() else word[:-1] if word[-1] in _MARKS and word[:-1].isalpha() else ""
+        if letters:
+            low = letters.lower()
+            numbers, units, names = _SETS
+            self.hash[number] = xxhash.xxh64_intdigest(low.encode())
+            self.ends[number] = word[-1] in _END_MARKS
+            self.kind[number] = (
+                NUMBER if low in numbers else UNIT if low in units else NAME if letters in names
+                else CAPITAL if letters[0].isupper() and letters[1:].islower() else LITERAL
+            )
+            self.glued[number] = -1
+            return number
         head, rest = parted(word)
         self.kind[number], self.hash[number], self.ends[number] = classify(head)
         after = self[rest] if rest else -1
