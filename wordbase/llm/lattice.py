@@ -106,7 +106,7 @@ class Pieces:
         """
         n, reach = len(word), self.longest
         made = np.full(n + 1, -np.inf)
-        made[0], window, offset = 0.0, [1.0], 0.0
+        made[0], window, scaled = 0.0, [1.0], 0
         for a in range(0, n, STRETCH):
             b = min(a + STRETCH, n)
             if back:
@@ -129,10 +129,10 @@ class Pieces:
                     total += window[origin[i]] * chance[i]
                 window.append(total)
                 if total > 0:
-                    made[a + j + 1] = math.log(total) + offset
+                    made[a + j + 1] = math.log(total) - scaled * _SCALED
                     if total < 1e-100:
                         window[-reach:] = [x * 1e100 for x in window[-reach:]]
-                        offset -= _SCALED
+                        scaled += 1  # counted, as a sum of logarithms would gather rounding
         return made
 
     def expected_along(self, word: np.ndarray, scores: np.ndarray) -> np.ndarray:
