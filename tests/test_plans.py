@@ -90,6 +90,12 @@ def test_each_input_is_read_once_or_twice(spark):
     assert plan(QUERIES["set_relation"](spark, SF)).count("FileScan") < 40
 
 
+def test_importing_is_a_step_of_its_own(spark):
+    """Tasks that import nodes hold neither the words being counted nor those being scored: these are written first."""
+    read = QUERIES["node_csv_import"](spark, SF).inputFiles()
+    assert read and not any("documents" in path or "conversations" in path for path in read)
+
+
 def test_large_sides_are_never_forced_into_a_broadcast(spark, settings, tmp_path):
     settings(autoBroadcastJoinThreshold="-1")
     lexicon = saved(spark, tmp_path, FLAT, [(f"w{i}", i, "-", "-", "-", 0.0, "-", "-", "-", "-") for i in range(100)])
